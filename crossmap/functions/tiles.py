@@ -92,9 +92,10 @@ def best_cells(scores, threshold, k, digits):
     """Row, column and score of the k best cells of each row, ties by column."""
     slack = 10.0**-digits
     floor = np.full(len(scores), threshold, dtype=np.float64)
-    if scores.shape[1] > k:
+    crowded = np.flatnonzero(np.count_nonzero(scores >= threshold - slack, axis=1) > k)
+    if len(crowded):
         last = scores.shape[1] - k
-        floor = np.maximum(floor, np.partition(scores, last, axis=1)[:, last])
+        floor[crowded] = np.maximum(threshold, np.partition(scores[crowded], last, axis=1)[:, last])
     rows, columns = np.nonzero(scores >= (floor - slack)[:, None])
     kept = np.round(scores[rows, columns], digits)
     strong = kept >= threshold

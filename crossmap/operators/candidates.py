@@ -72,16 +72,16 @@ def candidates(
     Scores come from the given vectors, else from the encoder, else from the
     words of the requirement texts.
     """
-    sizes = similarity.framework_sizes(requirements)
-    if pairs is None:
-        pairs = framework_pairs(in_name_order(sizes), sources, targets)
     if vectors is None and encoder is not None:
         vectors = similarity.embed(requirements, encoder)
-    if vectors is None:
-        words = similarity.term_vectors(requirements)
-        cells = similarity.term_cells(words, pairs, threshold, k, digits=digits, sizes=sizes)
-    else:
+    words = similarity.term_vectors(requirements) if vectors is None else None
+    sizes = similarity.framework_sizes(requirements if words is None else words)
+    if pairs is None:
+        pairs = framework_pairs(in_name_order(sizes), sources, targets)
+    if words is None:
         cells = similarity.cosine_cells(vectors, pairs, threshold, k, digits=digits, sizes=sizes)
+    else:
+        cells = similarity.term_cells(words, pairs, threshold, k, digits=digits, sizes=sizes)
     return dedupe_first(name_candidates(select_candidates(cells, threshold, k), requirements))
 
 

@@ -22,7 +22,3 @@ def incremental(pairs: DataFrame, done: DataFrame | None, force: bool = False) -
     keys = [name for name in (*PAIR, *SETTINGS) if name in pairs.columns and name in done.columns]
     return pairs.join(done.select(*keys).distinct(), keys, "left_anti")
 
-
-def merge_increment(stored: DataFrame | None, fresh: DataFrame) -> DataFrame:
-    """Stored rows of finished pairs with the rows of the fresh ones."""
-    return fresh if stored is None else stored.unionByName(fresh, allowMissingColumns=True)

@@ -23,8 +23,9 @@ from crossmap.sources.schemas import CELL, GRID, GRID_SUMMARY
 
 cloudpickle.register_pickle_by_value(tiles)
 
-DENSE_ROWS = 2048
+DENSE_ROWS = 4096
 TERM_ROWS = 512
+TILE_VALUES = 1 << 22
 DIGITS = 12
 DENSE = (tiles.dense_tile, tiles.dense_scores)
 TERMS = (tiles.term_tile, tiles.term_scores)
@@ -55,13 +56,34 @@ def encoding_text() -> Column:
 
 
 def term_vectors(requirements: DataFrame) -> DataFrame:
-    """(framework, pos, terms): the words of each requirement, the default encoding."""
-    return requirements.select("framework", "pos", text.terms(encoding_text()).alias("terms"))
+    """(framework, pos, terms, weight): the words of each requirement, the default encoding."""
+    texts = requirements.select("framework", "pos", encoding_text().alias("content"))
+    return texts.select(
+        "framework", "pos", text.terms(F.col("content")).alias("terms"), F.length("content").alias("weight")
+    )
+
+
+def framework_sizes(rows: DataFrame) -> DataFrame:
+    """(framework, n, weight): one short row per framework, read once and kept small.
+
+    `weight` adds up the column of that name, or counts the rows without one.
+    """
+    weight = F.sum("weight") if "weight" in rows.columns else F.count("*")
+    return broadcast_if_small(
+        rows.groupBy("framework").agg(F.count("*").alias("n"), weight.alias("weight"))
+    )
 
 
-def framework_sizes(vectors: DataFrame) -> DataFrame:
-    """(framework, n): one short row per framework, read once and kept small."""
-    return broadcast_if_small(vectors.groupBy("framework").agg(F.count("*").alias("n")))
+def _dimension(vectors: DataFrame) -> int:
+    first = vectors.select(F.size("embedding").alias("dimension")).first()
+    return 1 if first is None else max(first["dimension"], 1)
+
+
+def _tile_counts(sizes: DataFrame, rows: int, values_per_weight: int) -> DataFrame:
+    """(framework, blocks): enough tiles that none has too many rows or values."""
+    values = F.col("weight") * values_per_weight / TILE_VALUES
+    blocks = F.ceil(F.greatest(F.col("n") / rows, values))
+    return sizes.select("framework", blocks.alias("blocks"))
 
 
 def _tiles(vectors: DataFrame, census: DataFrame, payload: str) -> DataFrame:
@@ -78,16 +100,12 @@ def _side(df: DataFrame, letter: str) -> DataFrame:
     return df.withColumnsRenamed({name: f"{name}_{letter}" for name in df.columns})
 
 
-def paired_tiles(
-    vectors: DataFrame, pairs: DataFrame, payload: str, rows: int, sizes: DataFrame | None = None
-) -> DataFrame:
+def paired_tiles(vectors: DataFrame, pairs: DataFrame, payload: str, census: DataFrame) -> DataFrame:
     """Every pair of tiles of every framework pair, one row each.
 
     The list of tile pairs carries numbers only. It is spread over the cluster
     before the tiles are joined to it by framework and block.
     """
-    sizes = framework_sizes(vectors) if sizes is None else sizes
-    census = sizes.select("framework", F.ceil(F.col("n") / rows).alias("blocks"))
     blocks = _tiles(vectors, census, payload)
     counted = pairs.join(_side(census, "A"), "framework_A").join(_side(census, "B"), "framework_B")
     each_a = F.explode(F.sequence(F.lit(0), F.col("blocks_A") - 1)).alias("block_A")
@@ -104,13 +122,15 @@ def paired_tiles(
     )
 
 
-def _scored(vectors, pairs, payload, kind, rows, sizes, job, schema):
-    return paired_tiles(vectors, pairs, payload, rows, sizes).mapInArrow(job(*kind), schema)
+def _dense_pairs(vectors: DataFrame, pairs: DataFrame, rows: int, sizes: DataFrame | None) -> DataFrame:
+    sizes = framework_sizes(vectors) if sizes is None else sizes
+    per_row = sizes.withColumn("weight", F.col("n"))
+    return paired_tiles(vectors, pairs, "embedding", _tile_counts(per_row, rows, _dimension(vectors)))
 
 
-def _best(vectors, pairs, payload, kind, rows, sizes, threshold, k, digits):
+def _best_cells(paired: DataFrame, kind: tuple, threshold: float, k: int, digits: int) -> DataFrame:
     pick = partial(tiles.best_cells, threshold=threshold, k=k, digits=digits)
-    return _scored(vectors, pairs, payload, kind, rows, sizes, partial(tiles.cell_job, pick=pick), CELL)
+    return paired.mapInArrow(tiles.cell_job(*kind, pick=pick), CELL)
 
 
 def cosine_cells(
@@ -118,22 +138,23 @@ def cosine_cells(
     rows: int = DENSE_ROWS, digits: int = DIGITS, sizes: DataFrame | None = None,
 ) -> DataFrame:
     """The k best cells per tile row from the threshold up, for (framework, pos, embedding)."""
-    return _best(vectors, pairs, "embedding", DENSE, rows, sizes, threshold, k, digits)
+    return _best_cells(_dense_pairs(vectors, pairs, rows, sizes), DENSE, threshold, k, digits)
 
 
 def term_cells(
     vectors: DataFrame, pairs: DataFrame, threshold: float, k: int,
     rows: int = TERM_ROWS, digits: int = DIGITS, sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """The same for term counts, (framework, pos, terms)."""
-    return _best(vectors, pairs, "terms", TERMS, rows, sizes, threshold, k, digits)
+    """The same for term counts, (framework, pos, terms, weight)."""
+    sizes = framework_sizes(vectors) if sizes is None else sizes
+    paired = paired_tiles(vectors, pairs, "terms", _tile_counts(sizes, rows, 1))
+    return _best_cells(paired, TERMS, threshold, k, digits)
 
 
-def all_cells(vectors: DataFrame, pairs: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Every cell as a row, for vectors that were thinned out for display."""
-    pick = partial(tiles.all_cells, digits=digits)
-    job = partial(tiles.cell_job, pick=pick)
-    return _scored(vectors, pairs, "embedding", DENSE, DENSE_ROWS, None, job, CELL)
+def display_cells(vectors: DataFrame, pairs: DataFrame, names: DataFrame, digits: int = DIGITS) -> DataFrame:
+    """Every cell as a row, for frameworks thinned out to the size of one tile."""
+    paired = paired_tiles(vectors, pairs, "embedding", names.select("framework", F.lit(1).alias("blocks")))
+    return paired.mapInArrow(tiles.cell_job(*DENSE, pick=partial(tiles.all_cells, digits=digits)), CELL)
 
 
 def similarity_matrix(
@@ -141,8 +162,8 @@ def similarity_matrix(
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """The whole matrix of every framework pair as row-major grids, a strip of a pair of tiles each."""
-    job = partial(tiles.grid_job, digits=digits)
-    return _scored(vectors, pairs, "embedding", DENSE, rows, sizes, job, GRID)
+    paired = _dense_pairs(vectors, pairs, rows, sizes)
+    return paired.mapInArrow(tiles.grid_job(*DENSE, digits=digits), GRID)
 
 
 def matrix_cells(grids: DataFrame) -> DataFrame:
@@ -162,8 +183,8 @@ def matrix_summary(
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Cells, mean and extremes of every whole matrix; tiles are summed up where they are scored."""
-    job = partial(tiles.summary_job, digits=digits)
-    parts = _scored(vectors, pairs, "embedding", DENSE, rows, sizes, job, GRID_SUMMARY)
+    paired = _dense_pairs(vectors, pairs, rows, sizes)
+    parts = paired.mapInArrow(tiles.summary_job(*DENSE, digits=digits), GRID_SUMMARY)
     return parts.groupBy("framework_A", "framework_B").agg(
         F.sum("cells").alias("cells"),
         (F.sum("total") / F.sum("cells")).alias("mean_score"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crossmap.functions import text
@@ -20,7 +20,8 @@ def section_counts(requirements: DataFrame, expected: DataFrame) -> DataFrame:
     parts, first, two = text.section_keys(F.col("id"))
     shape = F.when(parts >= 3, 3).otherwise(parts)
     whole = F.when(parts == 1, F.col("id")).otherwise(first)
-    shaped = requirements.select("framework", shape.alias("parts"), whole.alias("one"), F.when(parts >= 3, two).alias("two"))
+    longer = F.when(parts >= 3, two).otherwise(whole)
+    shaped = requirements.select("framework", shape.alias("parts"), whole.alias("one"), longer.alias("two"))
     counted = shaped.groupBy("framework", "parts", "one", "two").agg(F.count("*").alias("n"))
     known = expected.select("framework", "section").distinct()
     has_two = known.select("framework", F.col("section").alias("two"), F.lit(True).alias("has_two"))
@@ -37,21 +38,26 @@ def section_counts(requirements: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def validate_counts(requirements: DataFrame, expected: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per-section counts and a report row per framework that has expected counts."""
+    """Sections with both counts and a status, and a report row per registered framework.
+
+    The sections table is the full list of what is missing or over; the report
+    has their numbers.
+    """
     parsed = section_counts(requirements, expected)
     registered = expected.select("framework").distinct()
+    missing = (F.col("expected") > 0) & (F.col("parsed") < F.col("expected"))
+    over = F.col("parsed") > F.col("expected")
     sections = (
         expected.join(parsed, ["framework", "section"], "full_outer")
         .select("framework", "section", F.coalesce("expected", F.lit(0)).alias("expected"), F.coalesce("parsed", F.lit(0)).alias("parsed"))
         .join(registered, "framework", "left_semi")
+        .withColumn("status", F.when(missing, "missing").when(over, "over").otherwise("equal"))
     )
-    missing = (F.col("expected") > 0) & (F.col("parsed") < F.col("expected"))
-    over = F.col("parsed") > F.col("expected")
     report = sections.groupBy("framework").agg(
         F.sum("expected").alias("total_expected"),
         F.sum("parsed").alias("total_parsed"),
-        F.sort_array(F.collect_list(F.when(missing, F.col("section")))).alias("missing_sections"),
-        F.sort_array(F.collect_list(F.when(over, F.col("section")))).alias("over_sections"),
+        F.count_if(F.col("status") == "missing").alias("missing"),
+        F.count_if(F.col("status") == "over").alias("over"),
     )
     return sections, report.withColumns({
         "ok": F.col("total_expected") == F.col("total_parsed"),
@@ -59,11 +65,19 @@ def validate_counts(requirements: DataFrame, expected: DataFrame) -> tuple[DataF
     })
 
 
-def shown_sections(report: DataFrame, limit: int = SHOWN_IN_REPORT) -> DataFrame:
-    """The report with its lists cut for display."""
-    return report.withColumns({
-        name: F.slice(name, 1, limit) for name in ("missing_sections", "over_sections")
-    })
+def shown_sections(sections: DataFrame, limit: int = SHOWN_IN_REPORT) -> DataFrame:
+    """(framework, missing_sections, over_sections): the first sections of either kind in text order."""
+    order = Window.partitionBy("framework", "status").orderBy("section")
+    first = sections.filter("status <> 'equal'").withColumn("_place", F.row_number().over(order))
+    listed = {
+        kind: F.sort_array(F.collect_list(F.when(F.col("status") == kind, F.col("section"))))
+        for kind in ("missing", "over")
+    }
+    return (
+        first.filter(F.col("_place") <= limit)
+        .groupBy("framework")
+        .agg(*(column.alias(f"{kind}_sections") for kind, column in listed.items()))
+    )
 
 
 def expand_na(selectors: DataFrame, sections: DataFrame) -> DataFrame:

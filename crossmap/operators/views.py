@@ -36,9 +36,9 @@ def by_score(rows: DataFrame, score: str = "semantic_score") -> DataFrame:
     return rows.orderBy(F.desc(score), *PAIR, "id_A", "id_B")
 
 
-def column_floor(rows: DataFrame, column: str) -> DataFrame:
-    """The lowest value of a column, where a display filter starts."""
-    return rows.agg(F.min(column).alias(column))
+def column_floors(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The lowest value of each column, where a display filter starts."""
+    return rows.agg(*(F.min(name).alias(name) for name in columns))
 
 
 def score_histogram(candidates: DataFrame, bins: int = BINS, score: str = "semantic_score") -> DataFrame:
@@ -63,17 +63,19 @@ def score_histogram(candidates: DataFrame, bins: int = BINS, score: str = "seman
     )
 
 
-def thin_out(vectors: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
+def thin_out(vectors: DataFrame, sizes: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
     """Every n-th requirement of a framework, so that fewer than twice `max_labels` stay."""
-    sizes = similarity.framework_sizes(vectors)
-    step = sizes.select("framework", F.greatest(F.lit(1), F.floor(F.col("n") / max_labels)).alias("step"))
-    placed = position_index(vectors, "_index").join(step, "framework")
+    step = F.greatest(F.lit(1), F.floor(F.col("n") / max_labels)).alias("step")
+    placed = position_index(vectors, "_index").join(sizes.select("framework", step), "framework")
     return placed.filter(F.col("_index") % F.col("step") == 0).drop("_index", "step")
 
 
-def sample_matrix(vectors: DataFrame, pairs: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
+def sample_matrix(
+    vectors: DataFrame, pairs: DataFrame, max_labels: int = MAX_LABELS, sizes: DataFrame | None = None
+) -> DataFrame:
     """The displayed matrix: rows and columns are thinned out before anything is scored."""
-    cells = similarity.all_cells(thin_out(vectors, max_labels), pairs)
+    sizes = similarity.framework_sizes(vectors) if sizes is None else sizes
+    cells = similarity.display_cells(thin_out(vectors, sizes, max_labels), pairs, sizes)
     return cells.withColumnRenamed("semantic_score", "score")
 
 

@@ -11,8 +11,6 @@ from crossmap.functions import relations as R
 from crossmap.operators import similarity
 from crossmap.operators.candidates import candidates, reduction_ratio
 from crossmap.operators.cleanup import cleanup
-from crossmap.operators.incremental import incremental, merge_increment, with_settings
-from crossmap.operators.ordering import PAIR
 from crossmap.operators.pairs import framework_pairs, in_name_order
 from crossmap.operators.reports import report_table
 from crossmap.operators.sizes import cut
@@ -54,26 +52,25 @@ def run_mapping(
     thresh_cov: float | None = None,
     min_confidence: float = R.MIN_CONFIDENCE,
     skip_cleanup: bool = False,
-    stored: DataFrame | None = None,
-    force: bool = False,
+    pairs: DataFrame | None = None,
+    found: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Tables of a run over all framework pairs, or over sources against targets.
+    """Tables of a run over all framework pairs, over given ones, or sources against targets.
 
     `judge` turns request rows into (framework_A, framework_B, batch_no, raw).
-    Without it the run ends after the candidates. `stored` are candidates of an
-    earlier run with the same settings; their pairs are not computed again.
-    Candidates feed several tables and are therefore checkpointed.
+    Without it the run ends after the candidates. `found` are candidates that
+    are there already, such as stored ones. What feeds several tables is
+    checkpointed.
     """
     sizes = similarity.framework_sizes(requirements)
-    pairs = framework_pairs(in_name_order(sizes), sources, targets)
-    todo = incremental(with_settings(pairs, threshold, k), stored, force).select(*PAIR)
-    fresh = candidates(requirements, vectors, encoder, threshold=threshold, k=k, pairs=todo)
-    fresh = fresh.withColumns({"threshold": F.lit(float(threshold)), "k": F.lit(int(k))})
-    found = cut(fresh if force else merge_increment(stored, fresh))
+    if pairs is None:
+        pairs = framework_pairs(in_name_order(sizes), sources, targets)
+    if found is None:
+        found = cut(candidates(requirements, vectors, encoder, threshold=threshold, k=k, pairs=pairs))
     tables = {"pairs": pairs, "candidates": found, "reduction": reduction_ratio(found, requirements, pairs)}
     if judge is None:
         return tables
-    thresholds = resolve_thresholds(found, thresh_eq, thresh_cov)
+    thresholds = cut(resolve_thresholds(found, thresh_eq, thresh_cov))
     batched = cut(V.assign_batches(found))
     first = cut(judged(batched, requirements, judge, thresholds))
     related = cut(second_opinion(first, requirements, judge, thresholds))

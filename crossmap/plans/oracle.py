@@ -138,6 +138,8 @@ sections AS (SELECT coalesce(e.framework, p.framework) AS framework, coalesce(e.
                     coalesce(expected, 0) AS expected, coalesce(parsed, 0) AS parsed
              FROM expected_keys e FULL JOIN parsed p ON e.framework = p.framework AND e.section = p.section)"""
 
+STATUS = "CASE WHEN expected > 0 AND parsed < expected THEN 'missing' WHEN parsed > expected THEN 'over' ELSE 'equal' END"
+
 SCORE = "CAST(json_extract(props, '$.k') AS INT)"
 EVENTS = f"""
 e AS (SELECT event_id, 'events' AS framework_A, CAST(event_id % 3 AS VARCHAR) AS framework_B, event_id // 30 AS batch_no,
@@ -352,11 +354,16 @@ ORACLE: dict[str, str] = {
     "config_sections": f"""WITH {SEGMENTS} SELECT framework, section, subsection, expected,
         CASE WHEN section = '2' THEN '7' ELSE section END AS effective_id,
         concat_ws('.', section, subsection) IN ('1.6', '4') AS is_flat FROM expected""",
-    "section_counts": f"WITH {SEGMENTS} SELECT * FROM sections",
-    "validation_report": f"""WITH {SEGMENTS} SELECT framework, CAST(sum(expected) AS BIGINT) AS total_expected, CAST(sum(parsed) AS BIGINT) AS total_parsed,
-        coalesce(string_agg(section, ',' ORDER BY section) FILTER (WHERE expected > 0 AND parsed < expected), '') AS missing_sections,
-        coalesce(string_agg(section, ',' ORDER BY section) FILTER (WHERE parsed > expected), '') AS over_sections,
-        sum(expected) = sum(parsed) AS ok, CAST(sum(parsed) - sum(expected) AS BIGINT) AS difference FROM sections GROUP BY framework""",
+    "section_totals": f"""WITH {SEGMENTS} SELECT framework, section, CAST(sum(expected) AS BIGINT) AS expected
+        FROM expected GROUP BY framework, section""",
+    "section_counts": f"WITH {SEGMENTS} SELECT *, {STATUS} AS status FROM sections",
+    "validation_report": f"""WITH {SEGMENTS}, marked AS (SELECT *, {STATUS} AS status FROM sections),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY framework, status ORDER BY section) AS place FROM marked)
+        SELECT framework, CAST(sum(expected) AS BIGINT) AS total_expected, CAST(sum(parsed) AS BIGINT) AS total_parsed,
+        count(*) FILTER (WHERE status = 'missing') AS missing, count(*) FILTER (WHERE status = 'over') AS over,
+        coalesce(string_agg(section, ',' ORDER BY section) FILTER (WHERE status = 'missing' AND place <= 5), '') AS missing_sections,
+        coalesce(string_agg(section, ',' ORDER BY section) FILTER (WHERE status = 'over' AND place <= 5), '') AS over_sections,
+        sum(expected) = sum(parsed) AS ok, CAST(sum(parsed) - sum(expected) AS BIGINT) AS difference FROM placed GROUP BY framework""",
     "expand_na": f"""WITH {SEGMENTS},
         flat AS (SELECT framework, expected FROM expected WHERE section = '4'),
         nested AS (SELECT framework, section, subsection, expected, CAST(subsection AS INT) % 3 AS kind FROM expected WHERE section <> '4')

@@ -95,14 +95,14 @@ def similarity_matrix(spark, sf):
 
 @query
 def matrix_sample(spark, sf):
-    _, pairs = B.vector_pairs(spark, sf)
-    return views.sample_matrix(B.vectors(spark, sf), pairs).withColumn("score", F.round("score", 4))
+    sizes, pairs = B.vector_pairs(spark, sf)
+    return views.sample_matrix(B.vectors(spark, sf), pairs, sizes=sizes).withColumn("score", F.round("score", 4))
 
 
 @query
 def matrix_floor(spark, sf):
-    _, pairs = B.vector_pairs(spark, sf)
-    floors = views.matrix_floor(views.sample_matrix(B.vectors(spark, sf), pairs))
+    sizes, pairs = B.vector_pairs(spark, sf)
+    floors = views.matrix_floor(views.sample_matrix(B.vectors(spark, sf), pairs, sizes=sizes))
     return floors.withColumn("floor", F.round("floor", 4))
 
 
@@ -363,12 +363,18 @@ def section_counts(spark, sf):
 
 @query
 def validation_report(spark, sf):
-    report = _checked(spark, sf)[1]
-    return report.withColumns({
+    sections, report = _checked(spark, sf)
+    shown = validate.shown_sections(sections, 5)
+    return report.join(shown, "framework", "left").withColumns({
         name: F.array_join(name, ",") for name in ("missing_sections", "over_sections")
     })
 
 
+@query
+def section_totals(spark, sf):
+    return D.section_totals(D.config_from_text(B.customer_config(spark, sf)))
+
+
 @query
 def expand_na(spark, sf):
     config = D.config_from_text(B.customer_config(spark, sf))
@@ -407,8 +413,7 @@ def filter_relations(spark, sf):
 
 @query
 def display_floors(spark, sf):
-    related = B.vector_relations(spark, sf)
-    return related.agg(F.min("semantic_score").alias("semantic_score"), F.min("confidence").alias("confidence"))
+    return views.column_floors(B.vector_relations(spark, sf), ["semantic_score", "confidence"])
 
 
 def _kept(spark, sf):

@@ -7,22 +7,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossmap.functions import text
+from crossmap.operators.sizes import broadcast_if_small
 from crossmap.sources import decode
 from crossmap.sources.schemas import NODE
 
 cloudpickle.register_pickle_by_value(decode)
 
 
-def list_frameworks(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
-    """(framework, path) of every document below a folder; contents stay unread."""
-    files = (
+def _files(spark: SparkSession, paths: str | list[str], recursive: bool) -> DataFrame:
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", str(recursive).lower())
         .option("pathGlobFilter", "*.yaml" if recursive else "*.{yaml,yml}")
-        .load(root)
-        .select("path")
+        .load(paths)
     )
-    return latest(files.withColumn("framework", text.framework_name(F.col("path"))))
+
+
+def list_frameworks(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+    """(framework, path) of every document below a folder; contents stay unread."""
+    name = text.framework_name(F.col("path")).alias("framework")
+    return latest(_files(spark, root, recursive).select(name, "path"))
 
 
 def latest(files: DataFrame) -> DataFrame:
@@ -38,16 +42,18 @@ def framework_counts(frameworks: DataFrame) -> DataFrame:
     )
 
 
-def read_documents(spark: SparkSession, paths: str | list[str], name: Column | None = None) -> DataFrame:
-    """(framework, path, content), one row per framework document."""
+def read_documents(
+    spark: SparkSession, paths: str | list[str], name: Column | None = None, recursive: bool = False
+) -> DataFrame:
+    """(framework, path, content), one row per framework document.
+
+    The choice between files of the same name looks at the paths only.
+    """
     name = text.framework_name(F.col("path")) if name is None else name
-    files = (
-        spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(paths)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
-        .withColumn("framework", name)
-    )
-    chosen = latest(files.select("framework", "path"))
-    return files.join(chosen, ["framework", "path"], "left_semi")
+    files = _files(spark, paths, recursive).withColumn("framework", name)
+    chosen = broadcast_if_small(latest(files.select("framework", "path")))
+    content = F.decode("content", F.lit("UTF-8")).alias("content")
+    return files.select("framework", "path", content).join(chosen, ["framework", "path"], "left_semi")
 
 
 def decode_documents(documents: DataFrame) -> DataFrame:
