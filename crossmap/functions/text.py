@@ -12,7 +12,6 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WHITESPACE_RUN = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 ELLIPSIS = "…"
 TITLE_LENGTH = 120
 SENTENCE_LENGTH = 200
@@ -31,8 +30,14 @@ def strip(text: Column) -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """Text with every run of white space turned into one space, stripped."""
-    return F.btrim(F.regexp_replace(text, WHITESPACE_RUN, " "), F.lit(" "))
+    """Text with every run of white space turned into one space, stripped.
+
+    The pattern is only run on texts that hold two spaces in a row.
+    """
+    other = WHITESPACE.replace(" ", "")
+    spaced = F.translate(text, other, " " * len(other))
+    single = F.when(F.contains(spaced, F.lit("  ")), F.regexp_replace(spaced, "  +", " ")).otherwise(spaced)
+    return F.btrim(single)
 
 
 def clean_id(raw: Column) -> Column:
@@ -67,7 +72,7 @@ def requirement_id(own: Column, inherited: Column, n: Column) -> Column:
 
 def embedding_text(tags: Column, title: Column, description: Column) -> Column:
     """Text that is encoded: last tag, title and first sentence."""
-    sentence = F.substring(strip(F.split_part(description, F.lit("."), F.lit(1))), 1, SENTENCE_LENGTH)
+    sentence = F.substring(strip(F.substring_index(description, ".", 1)), 1, SENTENCE_LENGTH)
     content = F.when(sentence != "", F.concat(title, F.lit(": "), sentence)).otherwise(title)
     return F.when(
         F.size(tags) > 0, F.concat_ws(" | ", F.try_element_at(tags, F.lit(-1)), content)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,7 +67,7 @@ def candidate_index(df: DataFrame, name: str = "index", by: list[str] = PAIR) ->
 
 
 def exact_quantiles(df: DataFrame, by: list[str], value: str, points: dict[str, float]) -> DataFrame:
-    """Exact quantiles per group, with linear interpolation between neighbours.
+    """Count, mean and exact quantiles per group, with linear interpolation between neighbours.
 
     Values are counted first, so ties collapse. A coarse histogram then tells
     which steps hold the wanted ranks, and only the values of those steps are
@@ -72,29 +75,34 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, points: dict[str,
     """
     counts = df.groupBy(*by, F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
     counts = counts.withColumn("_step", F.floor(F.col("_value") * SCORE_STEPS))
-    steps = counts.groupBy(*by, "_step").agg(F.sum("_n").alias("_n"))
-    steps = steps.withColumn("_before", _running_start(by, ["_step"], "_n")).withColumn(
-        "_total", F.sum("_n").over(Window.partitionBy(*by))
+    steps = counts.groupBy(*by, "_step").agg(
+        F.sum("_n").alias("_n"), F.sum(F.col("_value") * F.col("_n")).alias("_sum")
+    )
+    group = Window.partitionBy(*by)
+    steps = steps.select(
+        *by, "_step", "_n",
+        _running_start(by, ["_step"], "_n").alias("_before"),
+        F.sum("_n").over(group).alias("n"),
+        (F.sum("_sum").over(group) / F.sum("_n").over(group)).alias("mean"),
     )
     ranks = {}
     for name, point in points.items():
-        place = F.lit(point) * (F.col("_total") - 1)
+        place = F.lit(point) * (F.col("n") - 1)
         ranks[f"_low_{name}"], ranks[f"_high_{name}"] = F.floor(place), F.ceil(place)
+
+    def holds(rank: str, start: str) -> Column:
+        return F.col(rank).between(F.col(start), F.col(start) + F.col("_n") - 1)
+
     steps = steps.withColumns(ranks)
-    wanted = F.lit(False)
-    for rank in ranks:
-        wanted = wanted | F.col(rank).between(F.col("_before"), F.col("_before") + F.col("_n") - 1)
+    wanted = reduce(or_, (holds(rank, "_before") for rank in ranks))
     kept = counts.join(steps.filter(wanted).drop("_n"), [*by, "_step"])
-    first = F.col("_before") + _running_start([*by, "_step"], ["_value"], "_n")
-    kept = kept.withColumn("_first", first)
+    kept = kept.withColumn("_first", F.col("_before") + _running_start([*by, "_step"], ["_value"], "_n"))
     found = kept.groupBy(*by).agg(
-        F.max("_total").alias("_total"),
-        *(
-            F.max(F.when(F.col(rank).between(F.col("_first"), F.col("_first") + F.col("_n") - 1), F.col("_value"))).alias(rank)
-            for rank in ranks
-        ),
+        F.max("n").alias("n"),
+        F.max("mean").alias("mean"),
+        *(F.max(F.when(holds(rank, "_first"), F.col("_value"))).alias(rank) for rank in ranks),
     )
-    return found.select(*by, *(_between(name, point).alias(name) for name, point in points.items()))
+    return found.select(*by, "n", "mean", *(_between(name, point).alias(name) for name, point in points.items()))
 
 
 def _between(name: str, point: float) -> Column:
@@ -102,7 +110,7 @@ def _between(name: str, point: float) -> Column:
     low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
     if point == 0.5:
         return (low + high) / 2
-    place = F.lit(point) * (F.col("_total") - 1)
+    place = F.lit(point) * (F.col("n") - 1)
     share = place - F.floor(place)
     from_low, from_high = low + (high - low) * share, high - (high - low) * (1 - share)
     return F.when(share >= 0.5, from_high).otherwise(from_low)

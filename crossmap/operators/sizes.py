@@ -25,6 +25,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a small input over all cores; an input with enough partitions is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     """Checkpointed rows: computed once, kept in the shared checkpoint folder."""
     spark = df.sparkSession

@@ -13,12 +13,9 @@ QUANTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75, "p90": 0.9}
 
 def score_distribution(candidates: DataFrame, score: str = "semantic_score") -> DataFrame:
     """Count, mean, median, quartiles and 90th percentile of every framework pair."""
-    basic = candidates.groupBy(*PAIR).agg(
-        F.count("*").alias("n"), R.exact_round(F.avg(score), 4).alias("mean")
-    )
-    quantiles = exact_quantiles(candidates, PAIR, score, QUANTILES)
-    rounded = [R.exact_round(F.col(name), 4).alias(name) for name in ("median", "q25", "q75", "p90")]
-    return basic.join(quantiles.select(*PAIR, *rounded), PAIR)
+    spread = exact_quantiles(candidates, PAIR, score, QUANTILES)
+    names = ("mean", "median", "q25", "q75", "p90")
+    return spread.select(*PAIR, "n", *(R.exact_round(F.col(name), 4).alias(name) for name in names))
 
 
 def adaptive_thresholds(

@@ -11,6 +11,7 @@ from crossmap.operators.candidates import candidates
 from crossmap.operators.ordering import PAIR
 from crossmap.operators.pairs import framework_pairs, in_name_order
 from crossmap.operators import verdicts as V
+from crossmap.operators.sizes import cut
 from crossmap.sources.tables import requirements_from_documents
 
 VECTOR_THRESHOLD = 0.20
@@ -61,8 +62,10 @@ def document_requirements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requirements_from_documents(table(spark, sf_dir, "documents"))
 
 
-def document_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candidates(document_requirements(spark, sf_dir), threshold=TERM_THRESHOLD, k=K, digits=DIGITS)
+def document_candidates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(requirements, candidates) of the documents, requirements normalised once."""
+    rows = cut(document_requirements(spark, sf_dir))
+    return rows, candidates(rows, threshold=TERM_THRESHOLD, k=K, digits=DIGITS)
 
 
 def hundredths(a: int, b: int, shift: int = 0) -> Column:

@@ -47,7 +47,7 @@ def candidate_pairs(spark, sf):
 
 @query
 def sparse_cosine_topk(spark, sf):
-    return B.document_candidates(spark, sf).select(*CANDIDATE)
+    return B.document_candidates(spark, sf)[1].select(*CANDIDATE)
 
 
 @query
@@ -238,7 +238,7 @@ def escaped_pages(spark, sf):
 
 @query
 def dedupe_first(spark, sf):
-    found = B.document_candidates(spark, sf)
+    _, found = B.document_candidates(spark, sf)
     folded = found.withColumns({
         "id_A": (F.col("pos_A") % 50).cast("string"), "id_B": (F.col("pos_B") % 50).cast("string"),
     })
@@ -258,8 +258,8 @@ def batches(spark, sf):
 
 @query
 def request_texts(spark, sf):
-    found = cut(B.document_candidates(spark, sf))
-    return V.build_requests(found, B.document_requirements(spark, sf), instructions="Score the pairs.")
+    rows, found = B.document_candidates(spark, sf)
+    return V.build_requests(cut(found), rows, instructions="Score the pairs.")
 
 
 @query

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossmap.functions import text
+from crossmap.operators.sizes import spread
 from crossmap.sources.schemas import REQUIREMENT
 
 VERSION = "4"
@@ -48,10 +49,10 @@ def read_versioned(spark: SparkSession, path: str, version: str = VERSION) -> Da
 
 def requirements_from_documents(documents: DataFrame, framework: str = "lang") -> DataFrame:
     """Requirements from (doc_id, text, source): first line as title, the rest as description."""
-    first = F.split_part("text", F.lit("\n"), F.lit(1))
+    first = F.substring_index("text", "\n", 1)
     rest = F.substr("text", F.length(first) + 2)
     title, description = text.title_and_description(first, rest)
-    return documents.select(
+    return spread(documents).select(
         F.col(framework).alias("framework"),
         F.col("doc_id").cast("string").alias("id"),
         title.alias("title"),
