@@ -62,7 +62,7 @@ CONFIG_COLUMNS = (
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:
     """Expected-count configuration from JSON: {survey key: {groups, flatGroups, ...}}."""
-    files = spark.read.option("wholetext", "true").text(path)
+    files = spark.read.text(path, wholetext=True)
     return config_from_text(files)
 
 

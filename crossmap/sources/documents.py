@@ -52,7 +52,7 @@ def read_documents(
     name = text.framework_name(F.col("path")) if name is None else name
     files = _files(spark, paths, recursive).withColumn("framework", name)
     chosen = broadcast_if_small(latest(files.select("framework", "path")))
-    content = F.decode("content", F.lit("UTF-8")).alias("content")
+    content = F.decode("content", "UTF-8").alias("content")
     return files.select("framework", "path", content).join(chosen, ["framework", "path"], "left_semi")
 
 

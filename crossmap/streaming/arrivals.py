@@ -26,7 +26,7 @@ def arriving_documents(spark: SparkSession, folder: str) -> DataFrame:
     files = (
         spark.readStream.format("binaryFile").schema(FILE).option("pathGlobFilter", "*.{yaml,yml}").load(folder)
     )
-    content = F.decode("content", F.lit("UTF-8")).alias("content")
+    content = F.decode("content", "UTF-8").alias("content")
     return files.select(text.framework_name(F.col("path")).alias("framework"), "path", content)
 
 
