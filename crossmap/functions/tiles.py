@@ -13,17 +13,20 @@ import pyarrow.compute as pc
 
 ROWS_AT_ONCE = 512
 TERMS_AT_ONCE = 4096
+NUMBERS_AT_ONCE = 1 << 20
+MANY_TIES = 64
 
 
 def dense_tile(cell):
-    """Positions and unit vectors of a tile, in position order."""
+    """Positions, unit vectors and their short form of a tile, in position order."""
     members = cell.values
     pos = members.field("pos").to_numpy(zero_copy_only=False)
     flat = members.field("payload").flatten().to_numpy(zero_copy_only=False)
     order = np.argsort(pos)
     vectors = flat.reshape(len(pos), -1)[order].astype(np.float64)
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return pos[order], np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
+    unit = np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
+    return pos[order], unit, unit.astype(np.float32)
 
 
 def dense_scores(tile_a, tile_b):
@@ -33,6 +36,67 @@ def dense_scores(tile_a, tile_b):
         yield start, unit_a[start : start + ROWS_AT_ONCE] @ unit_b.T
 
 
+def first_best(scores, threshold, k):
+    """Row, column and score of the k best cells of each row; among equals the first columns."""
+    keep = scores >= threshold
+    crowded = np.flatnonzero(np.count_nonzero(keep, axis=1) > k)
+    if len(crowded):
+        part = scores[crowded]
+        last = part.shape[1] - k
+        level = np.partition(part, last, axis=1)[:, last, None]
+        above, equal = part > level, part == level
+        room = k - np.count_nonzero(above, axis=1, keepdims=True)
+        keep[crowded] = above | (equal & (np.cumsum(equal, axis=1) <= room))
+    rows, columns = np.nonzero(keep)
+    return rows, columns, scores[rows, columns]
+
+
+def dense_best(tile_a, tile_b, threshold, k, digits):
+    """Yields (rows, columns, scores) that hold the k best cells of every row.
+
+    A first pass in single precision leaves out what cannot be among the best:
+    for unit vectors its error is at most (dimension + 4) roundings. What is
+    left is scored in double precision. A row with many ties is scored as a
+    whole.
+    """
+    _, unit_a, short_a = tile_a
+    _, unit_b, short_b = tile_b
+    error = (unit_a.shape[1] + 4) * 2.0**-24
+    floor = threshold - 2 * error
+    for start in range(0, len(unit_a), ROWS_AT_ONCE):
+        rough = short_a[start : start + ROWS_AT_ONCE] @ short_b.T
+        keep = rough >= floor
+        counts = np.count_nonzero(keep, axis=1)
+        crowded = np.flatnonzero(counts > k)
+        if len(crowded):
+            part = rough[crowded]
+            last = part.shape[1] - k
+            level = np.partition(part, last, axis=1)[:, last] - 3 * error
+            keep[crowded] = part >= np.maximum(level, floor)[:, None]
+            counts[crowded] = np.count_nonzero(keep[crowded], axis=1)
+        tied = np.flatnonzero(counts > k + MANY_TIES)
+        if len(tied):
+            exact = np.round(unit_a[start + tied] @ unit_b.T, digits)
+            rows, columns, kept = first_best(exact, threshold, k)
+            yield start + tied[rows], columns, kept
+            keep[tied] = False
+        rows, columns = np.nonzero(keep)
+        rows += start
+        step = max(NUMBERS_AT_ONCE // max(unit_a.shape[1], 1), 1)
+        for low in range(0, len(rows), step):
+            r, c = rows[low : low + step], columns[low : low + step]
+            kept = np.round(np.einsum("ij,ij->i", unit_a[r], unit_b[c]), digits)
+            strong = kept >= threshold
+            yield r[strong], c[strong], kept[strong]
+
+
+def dense_all(tile_a, tile_b, digits):
+    """Yields (rows, columns, scores) of every cell."""
+    for start, scores in dense_scores(tile_a, tile_b):
+        rows, columns = np.indices(scores.shape)
+        yield start + rows.ravel(), columns.ravel(), np.round(scores, digits).ravel()
+
+
 def term_tile(cell):
     """Positions, vocabulary, counts per (row, term) and norms of a tile."""
     members = cell.values
@@ -69,7 +133,7 @@ def _columns(entries, shared, height):
 
 
 def term_scores(tile_a, tile_b):
-    """Yields (first row, cosine rows) of two term-count tiles."""
+    """Cosines of two term-count tiles."""
     pos_a, vocabulary_a, entries_a, norms_a = tile_a
     pos_b, vocabulary_b, entries_b, norms_b = tile_b
     where = pc.index_in(vocabulary_b, value_set=vocabulary_a)
@@ -85,32 +149,12 @@ def term_scores(tile_a, tile_b):
     for part_a, part_b in zip(slices_a, slices_b):
         dots += part_a @ part_b.T
     lengths = np.outer(norms_a, norms_b)
-    yield 0, np.divide(dots, lengths, out=np.zeros_like(dots), where=lengths > 0)
+    return np.divide(dots, lengths, out=np.zeros_like(dots), where=lengths > 0)
 
 
-def best_cells(scores, threshold, k, digits):
-    """Row, column and score of the k best cells of each row, ties by column."""
-    slack = 10.0**-digits
-    floor = np.full(len(scores), threshold, dtype=np.float64)
-    crowded = np.flatnonzero(np.count_nonzero(scores >= threshold - slack, axis=1) > k)
-    if len(crowded):
-        last = scores.shape[1] - k
-        floor[crowded] = np.maximum(threshold, np.partition(scores[crowded], last, axis=1)[:, last])
-    rows, columns = np.nonzero(scores >= (floor - slack)[:, None])
-    kept = np.round(scores[rows, columns], digits)
-    strong = kept >= threshold
-    rows, columns, kept = rows[strong], columns[strong], kept[strong]
-    order = np.lexsort((columns, -kept, rows))
-    rows, columns, kept = rows[order], columns[order], kept[order]
-    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    inside = place < k
-    return rows[inside], columns[inside], kept[inside]
-
-
-def all_cells(scores, digits):
-    """Row, column and score of every cell."""
-    rows, columns = np.indices(scores.shape)
-    return rows.ravel(), columns.ravel(), np.round(scores, digits).ravel()
+def term_best(tile_a, tile_b, threshold, k, digits):
+    """Yields (rows, columns, scores) of the k best cells of every row."""
+    yield first_best(np.round(term_scores(tile_a, tile_b), digits), threshold, k)
 
 
 def tile_pairs(batches, read):
@@ -128,18 +172,17 @@ def tile_pairs(batches, read):
             yield name_a, name_b, last_tile, read(rows_b[i])
 
 
-def cell_job(read, score, pick):
-    """Arrow task that gives the picked cells of every pair of tiles."""
+def cell_job(read, cells):
+    """Arrow task that gives the wanted cells of every pair of tiles."""
 
     def run(batches):
         for name_a, name_b, tile_a, tile_b in tile_pairs(batches, read):
-            for start, scores in score(tile_a, tile_b):
-                rows, columns, kept = pick(scores)
+            for rows, columns, kept in cells(tile_a, tile_b):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.repeat(pa.scalar(name_a, pa.string()), len(kept)),
                         pa.repeat(pa.scalar(name_b, pa.string()), len(kept)),
-                        pa.array(tile_a[0][start + rows], pa.int64()),
+                        pa.array(tile_a[0][rows], pa.int64()),
                         pa.array(tile_b[0][columns], pa.int64()),
                         pa.array(kept, pa.float64()),
                     ],
@@ -149,12 +192,12 @@ def cell_job(read, score, pick):
     return run
 
 
-def grid_job(read, score, digits):
+def grid_job(digits):
     """Arrow task that gives every pair of tiles as one row-major grid."""
 
     def run(batches):
-        for name_a, name_b, tile_a, tile_b in tile_pairs(batches, read):
-            for start, scores in score(tile_a, tile_b):
+        for name_a, name_b, tile_a, tile_b in tile_pairs(batches, dense_tile):
+            for start, scores in dense_scores(tile_a, tile_b):
                 grid = np.round(scores, digits)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -170,12 +213,12 @@ def grid_job(read, score, digits):
     return run
 
 
-def summary_job(read, score, digits):
+def summary_job(digits):
     """Arrow task that gives count, sum and extremes of every pair of tiles."""
 
     def run(batches):
-        for name_a, name_b, tile_a, tile_b in tile_pairs(batches, read):
-            for _, scores in score(tile_a, tile_b):
+        for name_a, name_b, tile_a, tile_b in tile_pairs(batches, dense_tile):
+            for _, scores in dense_scores(tile_a, tile_b):
                 if not scores.size:
                     continue
                 grid = np.round(scores, digits)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from crossmap.functions.relations import SEMANTIC_THRESHOLD, TOP_K
 from crossmap.operators import similarity
 from crossmap.operators.pairs import framework_pairs, in_name_order
+from crossmap.operators.sizes import broadcast_if_small
 
 PAIR = ["framework_A", "framework_B"]
 
@@ -72,6 +73,15 @@ def candidates(
     Scores come from the given vectors, else from the encoder, else from the
     words of the requirement texts.
     """
+    if pairs is not None:
+        named = [pairs.select(F.col(name).alias("framework")) for name in PAIR]
+        needed = broadcast_if_small(named[0].union(named[1]).distinct())
+        requirements = requirements.join(needed, "framework", "left_semi")
+        vectors = vectors if vectors is None else vectors.join(needed, "framework", "left_semi")
+    elif sources is not None and targets is not None:
+        needed = F.col("framework").isin([*sources, *targets])
+        requirements = requirements.filter(needed)
+        vectors = vectors if vectors is None else vectors.filter(needed)
     if vectors is None and encoder is not None:
         vectors = similarity.embed(requirements, encoder)
     words = similarity.term_vectors(requirements) if vectors is None else None

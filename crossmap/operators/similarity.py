@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from math import isqrt
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -25,10 +27,13 @@ cloudpickle.register_pickle_by_value(tiles)
 
 DENSE_ROWS = 4096
 TERM_ROWS = 512
-TILE_VALUES = 1 << 22
+FEWEST_ROWS = 128
+BYTES_PER_NUMBER = 8
+TILE_BYTES = 1 << 24
+BROADCAST_BYTES = 1 << 27
+TASKS_PER_CORE = 4
+MOST_COPIES = 64
 DIGITS = 12
-DENSE = (tiles.dense_tile, tiles.dense_scores)
-TERMS = (tiles.term_tile, tiles.term_scores)
 
 
 def embed(requirements: DataFrame, encoder: Callable[[pd.Series], np.ndarray]) -> DataFrame:
@@ -79,17 +84,30 @@ def _dimension(vectors: DataFrame) -> int:
     return 1 if first is None else max(first["dimension"], 1)
 
 
-def _tile_counts(sizes: DataFrame, rows: int, values_per_weight: int) -> DataFrame:
-    """(framework, blocks): enough tiles that none has too many rows or values."""
-    values = F.col("weight") * values_per_weight / TILE_VALUES
-    blocks = F.ceil(F.greatest(F.col("n") / rows, values))
-    return sizes.select("framework", blocks.alias("blocks"))
+class Layout(NamedTuple):
+    """How frameworks are cut into tiles, and how the tiles meet."""
 
+    counts: DataFrame  # (framework, blocks)
+    tiles: int
+    fits_broadcast: bool
 
-def _tiles(vectors: DataFrame, census: DataFrame, payload: str) -> DataFrame:
+
+def _layout(sizes: DataFrame, rows: int, bytes_per_weight: int) -> Layout:
+    """Tiles of at most `rows` rows and a bounded size, small enough to keep all cores busy."""
+    parts = shuffle_partitions(sizes.sparkSession)
+    amount = F.col("weight") * bytes_per_weight
+    total = sizes.agg(F.sum("n").alias("n"), F.sum(amount).alias("bytes")).first()
+    n, size = total["n"] or 0, total["bytes"] or 0
+    rows = min(rows, max(FEWEST_ROWS, isqrt(n * n // (2 * parts * TASKS_PER_CORE))))
+    blocks = F.ceil(F.greatest(F.col("n") / rows, amount / TILE_BYTES))
+    counts = sizes.select("framework", blocks.alias("blocks"))
+    return Layout(counts, max(n // rows, size // TILE_BYTES, 1), size <= BROADCAST_BYTES)
+
+
+def _tiles(vectors: DataFrame, counts: DataFrame, payload: str) -> DataFrame:
     """(framework, block, rows): positions are spread over the tiles by hash."""
     return (
-        vectors.join(census, "framework")
+        vectors.join(counts, "framework")
         .withColumn("block", F.pmod(F.xxhash64("pos"), "blocks"))
         .groupBy("framework", "block")
         .agg(F.collect_list(F.struct("pos", F.col(payload).alias("payload"))).alias("rows"))
@@ -100,45 +118,61 @@ def _side(df: DataFrame, letter: str) -> DataFrame:
     return df.withColumnsRenamed({name: f"{name}_{letter}" for name in df.columns})
 
 
-def paired_tiles(vectors: DataFrame, pairs: DataFrame, payload: str, census: DataFrame) -> DataFrame:
+def _add_tile(work: DataFrame, blocks: DataFrame, letter: str, other: str, copies: int) -> DataFrame:
+    """The work list with the tiles of one side.
+
+    A tile meets many others. With few tiles that would leave most cores idle,
+    so each tile is laid out in several copies, and the work on it is spread
+    over them by the other side's tile.
+    """
+    keys = [f"framework_{letter}", f"block_{letter}"]
+    side = _side(blocks, letter)
+    if copies > 1:
+        spread_by = F.pmod(F.xxhash64(f"framework_{other}", f"block_{other}"), F.lit(copies))
+        work = work.withColumn("_copy", spread_by)
+        side = side.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)).cast("array<bigint>")))
+        keys.append("_copy")
+    return work.join(side, keys).drop("_copy")
+
+
+def paired_tiles(vectors: DataFrame, pairs: DataFrame, payload: str, layout: Layout) -> DataFrame:
     """Every pair of tiles of every framework pair, one row each.
 
-    The list of tile pairs carries numbers only. It is spread over the cluster
-    before the tiles are joined to it by framework and block.
+    The list of tile pairs carries numbers only and is spread evenly over the
+    cluster. Tiles whose total size is known to be small are broadcast to it;
+    otherwise both sides are shuffled by tile.
     """
-    blocks = _tiles(vectors, census, payload)
-    counted = pairs.join(_side(census, "A"), "framework_A").join(_side(census, "B"), "framework_B")
+    parts = shuffle_partitions(vectors.sparkSession)
+    blocks = _tiles(vectors, layout.counts, payload)
+    counted = pairs.join(_side(layout.counts, "A"), "framework_A").join(_side(layout.counts, "B"), "framework_B")
     each_a = F.explode(F.sequence(F.lit(0), F.col("blocks_A") - 1)).alias("block_A")
     each_b = F.explode(F.sequence(F.lit(0), F.col("blocks_B") - 1)).alias("block_B")
-    work = (
-        counted.select("framework_A", "framework_B", "blocks_B", each_a)
-        .repartition(shuffle_partitions(vectors.sparkSession), "framework_A", "block_A", "framework_B")
-        .select("framework_A", "block_A", "framework_B", each_b)
-    )
-    return (
-        work.join(_side(blocks, "B"), ["framework_B", "block_B"])
-        .join(_side(blocks, "A"), ["framework_A", "block_A"])
-        .select("framework_A", "block_A", "framework_B", "rows_A", "rows_B")
-    )
+    work = counted.select("framework_A", "framework_B", "blocks_B", each_a)
+    if layout.fits_broadcast:
+        work = work.select("framework_A", "block_A", "framework_B", each_b).repartition(parts)
+        blocks, copies = F.broadcast(blocks), 1
+    else:
+        work = work.repartition(parts).select("framework_A", "block_A", "framework_B", each_b)
+        copies = min(MOST_COPIES, -(-parts * TASKS_PER_CORE // layout.tiles))
+    work = _add_tile(work, blocks, "B", "A", copies)
+    work = _add_tile(work, blocks, "A", "B", copies)
+    return work.select("framework_A", "block_A", "framework_B", "rows_A", "rows_B")
 
 
 def _dense_pairs(vectors: DataFrame, pairs: DataFrame, rows: int, sizes: DataFrame | None) -> DataFrame:
     sizes = framework_sizes(vectors) if sizes is None else sizes
     per_row = sizes.withColumn("weight", F.col("n"))
-    return paired_tiles(vectors, pairs, "embedding", _tile_counts(per_row, rows, _dimension(vectors)))
-
-
-def _best_cells(paired: DataFrame, kind: tuple, threshold: float, k: int, digits: int) -> DataFrame:
-    pick = partial(tiles.best_cells, threshold=threshold, k=k, digits=digits)
-    return paired.mapInArrow(tiles.cell_job(*kind, pick=pick), CELL)
+    layout = _layout(per_row, rows, _dimension(vectors) * BYTES_PER_NUMBER)
+    return paired_tiles(vectors, pairs, "embedding", layout)
 
 
 def cosine_cells(
     vectors: DataFrame, pairs: DataFrame, threshold: float, k: int,
     rows: int = DENSE_ROWS, digits: int = DIGITS, sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """The k best cells per tile row from the threshold up, for (framework, pos, embedding)."""
-    return _best_cells(_dense_pairs(vectors, pairs, rows, sizes), DENSE, threshold, k, digits)
+    """Cells from the threshold up that hold the k best of each row, for (framework, pos, embedding)."""
+    best = partial(tiles.dense_best, threshold=threshold, k=k, digits=digits)
+    return _dense_pairs(vectors, pairs, rows, sizes).mapInArrow(tiles.cell_job(tiles.dense_tile, best), CELL)
 
 
 def term_cells(
@@ -147,14 +181,17 @@ def term_cells(
 ) -> DataFrame:
     """The same for term counts, (framework, pos, terms, weight)."""
     sizes = framework_sizes(vectors) if sizes is None else sizes
-    paired = paired_tiles(vectors, pairs, "terms", _tile_counts(sizes, rows, 1))
-    return _best_cells(paired, TERMS, threshold, k, digits)
+    paired = paired_tiles(vectors, pairs, "terms", _layout(sizes, rows, 1))
+    best = partial(tiles.term_best, threshold=threshold, k=k, digits=digits)
+    return paired.mapInArrow(tiles.cell_job(tiles.term_tile, best), CELL)
 
 
 def display_cells(vectors: DataFrame, pairs: DataFrame, names: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Every cell as a row, for frameworks thinned out to the size of one tile."""
-    paired = paired_tiles(vectors, pairs, "embedding", names.select("framework", F.lit(1).alias("blocks")))
-    return paired.mapInArrow(tiles.cell_job(*DENSE, pick=partial(tiles.all_cells, digits=digits)), CELL)
+    counts = names.select("framework", F.lit(1).cast("bigint").alias("blocks"))
+    paired = paired_tiles(vectors, pairs, "embedding", Layout(counts, 1, False))
+    every = partial(tiles.dense_all, digits=digits)
+    return paired.mapInArrow(tiles.cell_job(tiles.dense_tile, every), CELL)
 
 
 def similarity_matrix(
@@ -163,7 +200,7 @@ def similarity_matrix(
 ) -> DataFrame:
     """The whole matrix of every framework pair as row-major grids, a strip of a pair of tiles each."""
     paired = _dense_pairs(vectors, pairs, rows, sizes)
-    return paired.mapInArrow(tiles.grid_job(*DENSE, digits=digits), GRID)
+    return paired.mapInArrow(tiles.grid_job(digits), GRID)
 
 
 def matrix_cells(grids: DataFrame) -> DataFrame:
@@ -184,7 +221,7 @@ def matrix_summary(
 ) -> DataFrame:
     """Cells, mean and extremes of every whole matrix; tiles are summed up where they are scored."""
     paired = _dense_pairs(vectors, pairs, rows, sizes)
-    parts = paired.mapInArrow(tiles.summary_job(*DENSE, digits=digits), GRID_SUMMARY)
+    parts = paired.mapInArrow(tiles.summary_job(digits), GRID_SUMMARY)
     return parts.groupBy("framework_A", "framework_B").agg(
         F.sum("cells").alias("cells"),
         (F.sum("total") / F.sum("cells")).alias("mean_score"),

@@ -38,7 +38,7 @@ def write_versioned(df: DataFrame, path: str, keys: list[str] | None = None, mod
 
 def read_versioned(spark: SparkSession, path: str, version: str = VERSION) -> DataFrame:
     """Rows of one version; rows without a version are accepted as they are."""
-    rows = spark.read.option("mergeSchema", "true").parquet(path)
+    rows = spark.read.parquet(path)
     if "_v" not in rows.columns:
         return rows
     kept = rows.filter(F.col("_v").isNull() | (F.col("_v").cast("string") == version))

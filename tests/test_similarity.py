@@ -56,6 +56,34 @@ def test_tile_size_does_not_change_the_result(spark, tile_rows):
     assert found == brute_force(vectors, 0.4, 5)
 
 
+def test_shuffled_tiles_give_the_same_result(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BROADCAST_BYTES", 0)
+    vectors = hot_vectors(spark)
+    pairs = P.framework_pairs(P.frameworks_of(vectors))
+    cells = similarity.cosine_cells(vectors, pairs, 0.4, 5, rows=40, digits=9)
+    found = rows(C.select_candidates(cells, 0.4, 5).select(
+        "framework_A", "framework_B", "pos_A", "pos_B", F.round("semantic_score", 9), "rank"
+    ))
+    assert found == brute_force(vectors, 0.4, 5)
+
+
+def test_rough_pass_keeps_what_double_precision_needs():
+    rng = np.random.default_rng(3)
+    near = rng.normal(size=(1, 32)) + rng.normal(size=(700, 32)) * 1e-5
+    mixed = np.vstack([near, rng.normal(size=(300, 32)), np.tile(near[:1], (200, 1))])
+    unit = mixed / np.linalg.norm(mixed, axis=1, keepdims=True)
+    tile = (np.arange(len(unit)), unit, unit.astype(np.float32))
+    found = {}
+    for r, c, s in tiles.dense_best(tile, tile, 0.3, 5, 12):
+        for row, column, score in zip(r, c, s):
+            found.setdefault(int(row), []).append((-float(score), int(column)))
+    exact = np.round(np.einsum("id,jd->ij", unit, unit), 12)
+    for row in range(len(unit)):
+        wanted = sorted((-float(x), j) for j, x in enumerate(exact[row]) if x >= 0.3)[:5]
+        got = sorted(found.get(row, []))[:5]
+        assert [j for _, j in got] == [j for _, j in wanted] or np.allclose([x for x, _ in got], [x for x, _ in wanted], atol=2e-12, rtol=0)
+
+
 def test_term_tiles_equal_token_join(spark):
     words = spark.createDataFrame(
         [(f, p, [f"w{(p * i + len(f)) % 9}" for i in range(1, 2 + p % 6)]) for f in ("x", "yy", "zzz") for p in range(30)],
@@ -85,9 +113,9 @@ def test_wide_vocabulary_is_worked_off_in_slices(monkeypatch):
 
     a = tiles.term_tile(cell([["p", "q", "q"], ["r", "s", "t", "u"], []]))
     b = tiles.term_tile(cell([["q", "u"], ["t", "s", "x", "p"]]))
-    [(_, whole)] = tiles.term_scores(a, b)
+    whole = tiles.term_scores(a, b)
     monkeypatch.setattr(tiles, "TERMS_AT_ONCE", 2)
-    [(_, sliced)] = tiles.term_scores(a, b)
+    sliced = tiles.term_scores(a, b)
     assert np.allclose(whole, sliced) and whole[2].sum() == 0
 
 
