@@ -55,14 +55,14 @@ def dense_best(tile_a, tile_b, threshold, k, digits):
     """Yields (rows, columns, scores) that hold the k best cells of every row.
 
     A first pass in single precision leaves out what cannot be among the best:
-    for unit vectors its error is at most (dimension + 4) roundings. What is
-    left is scored in double precision. A row with many ties is scored as a
-    whole.
+    for unit vectors its error is at most (dimension + 4) roundings, to which
+    the rounding of the scores adds. What is left is scored in double
+    precision. A row with many ties is scored as a whole.
     """
     _, unit_a, short_a = tile_a
     _, unit_b, short_b = tile_b
-    error = (unit_a.shape[1] + 4) * 2.0**-24
-    floor = threshold - 2 * error
+    slack = 3 * (unit_a.shape[1] + 4) * 2.0**-24 + 10.0**-digits
+    floor = threshold - slack
     for start in range(0, len(unit_a), ROWS_AT_ONCE):
         rough = short_a[start : start + ROWS_AT_ONCE] @ short_b.T
         keep = rough >= floor
@@ -71,7 +71,7 @@ def dense_best(tile_a, tile_b, threshold, k, digits):
         if len(crowded):
             part = rough[crowded]
             last = part.shape[1] - k
-            level = np.partition(part, last, axis=1)[:, last] - 3 * error
+            level = np.partition(part, last, axis=1)[:, last] - slack
             keep[crowded] = part >= np.maximum(level, floor)[:, None]
             counts[crowded] = np.count_nonzero(keep[crowded], axis=1)
         tied = np.flatnonzero(counts > k + MANY_TIES)

@@ -29,6 +29,7 @@ DENSE_ROWS = 4096
 TERM_ROWS = 512
 FEWEST_ROWS = 128
 BYTES_PER_NUMBER = 8
+BYTES_PER_LETTER = 4
 TILE_BYTES = 1 << 24
 BROADCAST_BYTES = 1 << 27
 TASKS_PER_CORE = 4
@@ -181,7 +182,7 @@ def term_cells(
 ) -> DataFrame:
     """The same for term counts, (framework, pos, terms, weight)."""
     sizes = framework_sizes(vectors) if sizes is None else sizes
-    paired = paired_tiles(vectors, pairs, "terms", _layout(sizes, rows, 1))
+    paired = paired_tiles(vectors, pairs, "terms", _layout(sizes, rows, BYTES_PER_LETTER))
     best = partial(tiles.term_best, threshold=threshold, k=k, digits=digits)
     return paired.mapInArrow(tiles.cell_job(tiles.term_tile, best), CELL)
 

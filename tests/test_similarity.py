@@ -67,6 +67,19 @@ def test_shuffled_tiles_give_the_same_result(spark, monkeypatch):
     assert found == brute_force(vectors, 0.4, 5)
 
 
+@pytest.mark.parametrize("digits", [1, 2, 4])
+def test_rounding_can_lift_a_score_to_the_threshold(digits):
+    rng = np.random.default_rng(5)
+    unit = rng.normal(size=(600, 8))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    tile = (np.arange(len(unit)), unit, unit.astype(np.float32))
+    found = {(int(r), int(c)) for rows_, columns, _ in tiles.dense_best(tile, tile, 0.2, 3, digits) for r, c in zip(rows_, columns)}
+    exact = np.round(unit @ unit.T, digits)
+    order = np.argsort(-exact, axis=1, kind="stable")[:, :3]
+    wanted = {(i, int(j)) for i in range(len(unit)) for j in order[i] if exact[i, j] >= 0.2}
+    assert wanted <= found
+
+
 def test_rough_pass_keeps_what_double_precision_needs():
     rng = np.random.default_rng(3)
     near = rng.normal(size=(1, 32)) + rng.normal(size=(700, 32)) * 1e-5
