@@ -9,6 +9,7 @@ from crossmap.functions import text
 from crossmap.functions.relations import sheet_colour
 from crossmap.operators.verdicts import output_relations
 from crossmap.sources.schemas import RELATION_COLUMNS
+from crossmap.sources.tables import write_versioned
 
 # Report headings, in order.
 HEADINGS = (
@@ -50,3 +51,8 @@ def write_report(report: DataFrame, path: str, fmt: str = "csv", mode: str = "ov
 def write_rows(rows: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:
     """Candidates or relations, one folder per framework pair."""
     rows.write.mode(mode).partitionBy("framework_A", "framework_B").format(fmt).save(path)
+
+
+def export_relations(relations: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:
+    """All relations of a run with their output columns, marked with the version."""
+    write_versioned(output_relations(relations), path, mode=mode, fmt=fmt)

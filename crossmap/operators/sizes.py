@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tempfile import mkdtemp
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,11 +34,15 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Checkpointed rows: computed once, kept in the shared checkpoint folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
+    """Checkpointed rows: computed once, kept in the shared checkpoint folder.
+
+    Without a configured folder, a local session takes a temporary one; a
+    cluster has to name one that all executors share.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(folder)
+        context.setCheckpointDir(folder or mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=eager)

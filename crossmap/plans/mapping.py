@@ -39,6 +39,17 @@ def second_opinion(first: DataFrame, requirements: DataFrame, judge: Judge, thre
     return V.confirm(first, again, thresholds)
 
 
+def judge_candidates(
+    found: DataFrame, requirements: DataFrame, judge: Judge,
+    thresh_eq: float | None = None, thresh_cov: float | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(relations, thresholds) of checkpointed candidates, after both passes."""
+    thresholds = cut(resolve_thresholds(found, thresh_eq, thresh_cov))
+    batched = cut(V.assign_batches(found))
+    first = cut(judged(batched, requirements, judge, thresholds))
+    return cut(second_opinion(first, requirements, judge, thresholds)), thresholds
+
+
 def run_mapping(
     requirements: DataFrame,
     vectors: DataFrame | None = None,
@@ -70,10 +81,7 @@ def run_mapping(
     tables = {"pairs": pairs, "candidates": found, "reduction": reduction_ratio(found, requirements, pairs)}
     if judge is None:
         return tables
-    thresholds = cut(resolve_thresholds(found, thresh_eq, thresh_cov))
-    batched = cut(V.assign_batches(found))
-    first = cut(judged(batched, requirements, judge, thresholds))
-    related = cut(second_opinion(first, requirements, judge, thresholds))
+    related, thresholds = judge_candidates(found, requirements, judge, thresh_eq, thresh_cov)
     kept, removed = (related, None) if skip_cleanup else cleanup(related, min_confidence)
     tables |= {"thresholds": thresholds, "relations": related, "kept": kept, "report": report_table(kept, removed)}
     if removed is not None:

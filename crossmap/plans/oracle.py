@@ -51,8 +51,8 @@ cells AS (SELECT a.framework AS framework_A, b.framework AS framework_B, a.pos A
           FROM v a JOIN v b ON a.framework < b.framework),
 found AS (SELECT *, CAST(pos_A AS VARCHAR) AS id_A, CAST(pos_B AS VARCHAR) AS id_B,
                  'Vector ' || pos_A AS title_A, 'Vector ' || pos_B AS title_B,
-                 row_number() OVER (PARTITION BY framework_A, framework_B, pos_A
-                                    ORDER BY semantic_score DESC, pos_B) AS rank
+                 CAST(row_number() OVER (PARTITION BY framework_A, framework_B, pos_A
+                                         ORDER BY semantic_score DESC, pos_B) AS INT) AS rank
           FROM cells WHERE semantic_score >= 0.2 QUALIFY rank <= 5)"""
 
 def quantile(point: str) -> str:
@@ -112,8 +112,8 @@ cells AS (SELECT d.framework_A, d.framework_B, d.pos_A, d.pos_B, round(dot / (na
           FROM dots d JOIN norms na ON na.framework = d.framework_A AND na.pos = d.pos_A
                       JOIN norms nb ON nb.framework = d.framework_B AND nb.pos = d.pos_B),
 found AS (SELECT *, CAST(pos_A AS VARCHAR) AS id_A, CAST(pos_B AS VARCHAR) AS id_B,
-                 row_number() OVER (PARTITION BY framework_A, framework_B, pos_A
-                                    ORDER BY semantic_score DESC, pos_B) AS rank
+                 CAST(row_number() OVER (PARTITION BY framework_A, framework_B, pos_A
+                                         ORDER BY semantic_score DESC, pos_B) AS INT) AS rank
           FROM cells WHERE semantic_score >= 0.15 QUALIFY rank <= 5)"""
 
 BATCHED = """

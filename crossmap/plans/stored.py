@@ -1,9 +1,9 @@
-"""Candidates in versioned tables that later runs extend.
+"""Candidates and relations in versioned tables that later runs extend.
 
-Two tables lie in the folder: `candidates`, and `pairs` with one row per
-finished framework pair. Every row carries its run. A pair counts as finished
-only by its row in `pairs`, which is written last, and only candidates of that
-run are read; rows of a run that died are ignored.
+Beside each table lies a list of finished framework pairs with their settings.
+Every row carries its run. A pair counts as finished only by its row in that
+list, which is written last, and only rows of that run are read; what a run
+that died has left behind is ignored.
 """
 
 from __future__ import annotations
@@ -21,32 +21,42 @@ from crossmap.operators.candidates import candidates
 from crossmap.operators.incremental import SETTINGS, incremental, with_settings
 from crossmap.operators.ordering import PAIR
 from crossmap.operators.pairs import framework_pairs, in_name_order
-from crossmap.operators.sizes import broadcast_if_small
+from crossmap.operators.sizes import broadcast_if_small, cut
+from crossmap.plans.mapping import Judge, judge_candidates
 from crossmap.sources.tables import read_versioned, write_versioned
 
+CANDIDATES, RELATIONS = "candidates", "relations"
 
-def _finished(spark: SparkSession, folder: str) -> DataFrame | None:
+
+def finished_pairs(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
     """(framework_A, framework_B, threshold, k, run) with the last run of each pair."""
     try:
-        pairs = read_versioned(spark, f"{folder}/pairs")
+        pairs = read_versioned(spark, f"{folder}/{name}_done")
     except AnalysisException:
         return None
     return pairs.groupBy(*PAIR, *SETTINGS).agg(F.max("run").alias("run"))
 
 
-def stored_candidates(
-    spark: SparkSession, folder: str, threshold: float = SEMANTIC_THRESHOLD, k: int = TOP_K
+def stored(
+    spark: SparkSession, folder: str, name: str, threshold: float = SEMANTIC_THRESHOLD, k: int = TOP_K
 ) -> DataFrame | None:
-    """Candidates of all finished pairs with these settings."""
-    done = _finished(spark, folder)
+    """Rows of all finished pairs with these settings."""
+    done = finished_pairs(spark, folder, name)
     if done is None:
         return None
     settings = (F.col("threshold") == float(threshold)) & (F.col("k") == int(k))
     last = broadcast_if_small(done.filter(settings))
-    rows = read_versioned(spark, f"{folder}/candidates").filter(settings)
+    rows = read_versioned(spark, f"{folder}/{name}").filter(settings)
     return rows.join(last, [*PAIR, *SETTINGS, "run"], "left_semi").drop(*SETTINGS, "run")
 
 
+def _append(rows: DataFrame, pairs: DataFrame, folder: str, name: str, threshold: float, k: int) -> None:
+    run = datetime.now(timezone.utc).isoformat()
+    marks = {"threshold": F.lit(float(threshold)), "k": F.lit(int(k)), "run": F.lit(run)}
+    write_versioned(rows.withColumns(marks), f"{folder}/{name}")
+    write_versioned(pairs.withColumns(marks), f"{folder}/{name}_done")
+
+
 def update_candidates(
     requirements: DataFrame,
     folder: str,
@@ -62,11 +72,33 @@ def update_candidates(
     spark = requirements.sparkSession
     sizes = similarity.framework_sizes(requirements)
     pairs = with_settings(framework_pairs(in_name_order(sizes), sources, targets), threshold, k)
-    todo = broadcast_if_small(incremental(pairs, _finished(spark, folder), force))
+    todo = broadcast_if_small(incremental(pairs, finished_pairs(spark, folder, CANDIDATES), force))
     if not todo.isEmpty():
-        run = datetime.now(timezone.utc).isoformat()
-        marks = {"threshold": F.lit(float(threshold)), "k": F.lit(int(k)), "run": F.lit(run)}
         fresh = candidates(requirements, vectors, encoder, threshold=threshold, k=k, pairs=todo.select(*PAIR))
-        write_versioned(fresh.withColumns(marks), f"{folder}/candidates")
-        write_versioned(todo.withColumns(marks), f"{folder}/pairs")
-    return stored_candidates(spark, folder, threshold, k)
+        _append(fresh, todo, folder, CANDIDATES, threshold, k)
+    return stored(spark, folder, CANDIDATES, threshold, k)
+
+
+def update_relations(
+    requirements: DataFrame,
+    folder: str,
+    judge: Judge,
+    threshold: float = SEMANTIC_THRESHOLD,
+    k: int = TOP_K,
+    thresh_eq: float | None = None,
+    thresh_cov: float | None = None,
+    force: bool = False,
+) -> DataFrame:
+    """Judges the stored candidates of pairs without relations, stores them, gives all relations."""
+    spark = requirements.sparkSession
+    found = stored(spark, folder, CANDIDATES, threshold, k)
+    if found is None:
+        raise ValueError(f"{folder} holds no candidates; run update_candidates first")
+    ready = finished_pairs(spark, folder, CANDIDATES).drop("run")
+    ready = ready.filter((F.col("threshold") == float(threshold)) & (F.col("k") == int(k)))
+    todo = broadcast_if_small(incremental(ready, finished_pairs(spark, folder, RELATIONS), force))
+    if not todo.isEmpty():
+        open_rows = cut(found.join(todo.select(*PAIR), PAIR, "left_semi"))
+        related, _ = judge_candidates(open_rows, requirements, judge, thresh_eq, thresh_cov)
+        _append(related, todo, folder, RELATIONS, threshold, k)
+    return stored(spark, folder, RELATIONS, threshold, k)

@@ -30,15 +30,18 @@ def read_requirements(spark: SparkSession, path: str, fmt: str = "parquet") -> D
     })
 
 
-def write_versioned(df: DataFrame, path: str, keys: list[str] | None = None, mode: str = "append", version: str = VERSION) -> None:
+def write_versioned(
+    df: DataFrame, path: str, keys: list[str] | None = None, mode: str = "append",
+    version: str = VERSION, fmt: str = "parquet",
+) -> None:
     """Rows marked with the version of the logic that made them, foldered by it."""
     stamped = df.withColumn("_v", F.lit(version))
-    stamped.write.mode(mode).partitionBy("_v", *(keys or [])).parquet(path)
+    stamped.write.mode(mode).partitionBy("_v", *(keys or [])).format(fmt).save(path)
 
 
-def read_versioned(spark: SparkSession, path: str, version: str = VERSION) -> DataFrame:
-    """Rows of one version; rows without a version are accepted as they are."""
-    rows = spark.read.parquet(path)
+def read_versioned(spark: SparkSession, path: str, version: str = VERSION, fmt: str = "parquet") -> DataFrame:
+    """Rows of one version; a table without versions is accepted as it is."""
+    rows = spark.read.format(fmt).load(path)
     if "_v" not in rows.columns:
         return rows
     kept = rows.filter(F.col("_v").isNull() | (F.col("_v").cast("string") == version))

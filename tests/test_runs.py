@@ -1,11 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from crossmap.operators import reports
 from crossmap.operators.ordering import PAIR
 from crossmap.plans import bindings as B
 from crossmap.plans import stored
 from crossmap.plans.mapping import mapping_totals, run_mapping
 from crossmap.sources import tables
+from crossmap.sources.schemas import RELATION_COLUMNS
 from crossmap.streaming import arrivals
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -45,7 +47,7 @@ def test_second_run_adds_nothing(spark, tmp_path):
     assert sorted(map(tuple, whole.select(*PAIR, "pos_A", "pos_B").collect())) == sorted(map(tuple, plain.select(*PAIR, "pos_A", "pos_B").collect()))
     again = stored.update_candidates(few, folder, vectors, force=True, **options)
     assert again.count() == whole.count()
-    assert stored.stored_candidates(spark, folder, 0.3, 5).count() == 0
+    assert stored.stored(spark, folder, stored.CANDIDATES, 0.3, 5).count() == 0
 
 
 def test_rows_of_an_unfinished_run_are_ignored(spark, tmp_path):
@@ -54,7 +56,7 @@ def test_rows_of_an_unfinished_run_are_ignored(spark, tmp_path):
     n = found.count()
     broken = found.limit(50).withColumns({"threshold": F.lit(0.2), "k": F.lit(5), "run": F.lit("9999-died")})
     tables.write_versioned(broken, f"{folder}/candidates")
-    assert stored.stored_candidates(spark, folder, 0.2, 5).count() == n
+    assert stored.stored(spark, folder, stored.CANDIDATES, 0.2, 5).count() == n
 
 
 def judge(requests):
@@ -82,6 +84,34 @@ def test_whole_run(spark):
     assert "removed" not in loose
 
 
+def test_judged_pairs_are_not_judged_again(spark, tmp_path):
+    folder, requirements, vectors = str(tmp_path / "s"), B.vector_requirements(spark, SF_DIR), B.vectors(spark, SF_DIR)
+    asked = spark.sparkContext.accumulator(0)
+
+    def counting(requests):
+        asked.add(requests.count())
+        return judge(requests)
+
+    with pytest.raises(ValueError):
+        stored.update_relations(requirements, folder, counting, 0.2)
+    stored.update_candidates(requirements, folder, vectors, sources=["0"], targets=["1"], threshold=0.2)
+    first = stored.update_relations(requirements, folder, counting, 0.2).count()
+    before = asked.value
+    assert first > 0 and before > 0
+    assert stored.update_relations(requirements, folder, counting, 0.2).count() == first and asked.value == before
+    stored.update_candidates(requirements, folder, vectors, sources=["0"], targets=["1", "2"], threshold=0.2)
+    more = stored.update_relations(requirements, folder, counting, 0.2)
+    assert more.filter("framework_B = '1'").count() == first and more.filter("framework_B = '2'").count() > 0
+    assert asked.value > before
+
+
+def test_export_is_marked_with_the_version(spark, tmp_path):
+    relations = B.vector_relations(spark, SF_DIR)
+    reports.export_relations(relations, str(tmp_path / "all"))
+    back = tables.read_versioned(spark, str(tmp_path / "all"), fmt="json")
+    assert set(back.columns) == set(RELATION_COLUMNS) and back.count() == relations.count()
+
+
 def document(title, words):
     items = "".join(f'  {i}_label: "{word}"\n' for i, word in enumerate(words, 1))
     return f"1:\n  title: {title}\n{items}"
@@ -95,11 +125,11 @@ def test_arriving_documents(spark, tmp_path):
         stream = arrivals.arriving_documents(spark, str(inbox))
         writer = arrivals.map_arrivals(stream, folder, str(tmp_path / "cp"), threshold=0.4)
         assert writer.trigger(availableNow=True).start().awaitTermination(120)
-        return {(r["framework_A"], r["framework_B"]) for r in stored.stored_candidates(spark, folder).collect()}
+        return {(r["framework_A"], r["framework_B"]) for r in stored.stored(spark, folder, stored.CANDIDATES).collect()}
 
     (inbox / "a.yaml").write_text(document("t", ["asset list", "backup plan"]))
     (inbox / "b.yaml").write_text(document("t", ["asset list", "other"]))
     assert run() == {("a", "b")}
     (inbox / "c.yaml").write_text(document("t", ["backup plan"]))
     assert run() == {("a", "b"), ("a", "c"), ("b", "c")}
-    assert spark.read.parquet(f"{folder}/pairs").count() == 3
+    assert spark.read.parquet(f"{folder}/candidates_done").count() == 3
