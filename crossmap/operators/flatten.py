@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crossmap.functions import text
+from crossmap.operators.sizes import broadcast_if_small
 
 
 def section_start(framework_known, prefix, overwrite, section):
@@ -37,7 +38,7 @@ def flatten_requirements(nodes: DataFrame, dim: DataFrame) -> DataFrame:
     `pos` counts inside one framework, and one framework is one document that a
     single task has decoded, so the window never holds more than that document.
     """
-    known = dim.select(F.col("key").alias("framework"), "section_id_prefix", "overwrite")
+    known = broadcast_if_small(dim.select(F.col("key").alias("framework"), "section_id_prefix", "overwrite"))
     start = section_start(
         F.col("section_id_prefix").isNotNull(), F.col("section_id_prefix"), F.col("overwrite"), F.col("section")
     )

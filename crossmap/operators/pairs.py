@@ -13,6 +13,11 @@ def in_name_order(names: DataFrame) -> DataFrame:
     return names.select("framework", F.col("framework").alias("fw_ord"))
 
 
+def in_load_order(documents: DataFrame) -> DataFrame:
+    """(framework, fw_ord) of listed documents, in path order."""
+    return documents.select("framework", F.col("path").alias("fw_ord"))
+
+
 def frameworks_of(requirements: DataFrame) -> DataFrame:
     """(framework, fw_ord) of every framework that has requirements."""
     return in_name_order(broadcast_if_small(requirements.select("framework").distinct()))

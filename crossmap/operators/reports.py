@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from crossmap.functions import text
 from crossmap.functions.relations import sheet_colour
+from crossmap.operators.sizes import gather
 from crossmap.operators.verdicts import output_relations
 from crossmap.sources.schemas import RELATION_COLUMNS
 from crossmap.sources.tables import write_versioned
@@ -41,8 +42,8 @@ def pair_report(kept: DataFrame, removed: DataFrame | None = None) -> DataFrame:
 
 
 def write_report(report: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
-    """One folder per sheet; rows are not moved, so a large sheet is many files."""
-    writer = report.write.mode(mode).partitionBy("sheet")
+    """One folder per sheet."""
+    writer = gather(report, "sheet").write.mode(mode).partitionBy("sheet")
     if fmt == "csv":
         writer = writer.option("header", "true").option("escape", '"')
     writer.format(fmt).save(path)
@@ -50,7 +51,8 @@ def write_report(report: DataFrame, path: str, fmt: str = "csv", mode: str = "ov
 
 def write_rows(rows: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:
     """Candidates or relations, one folder per framework pair."""
-    rows.write.mode(mode).partitionBy("framework_A", "framework_B").format(fmt).save(path)
+    gathered = gather(rows, "framework_A", "framework_B")
+    gathered.write.mode(mode).partitionBy("framework_A", "framework_B").format(fmt).save(path)
 
 
 def export_relations(relations: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crossmap.functions import text, tiles
-from crossmap.operators.sizes import broadcast_if_small, shuffle_partitions
+from crossmap.operators.sizes import TASKS_PER_CORE, broadcast_if_small, busy_partitions
 from crossmap.sources.schemas import CELL, GRID, GRID_SUMMARY
 
 cloudpickle.register_pickle_by_value(tiles)
@@ -32,7 +32,6 @@ BYTES_PER_NUMBER = 8
 BYTES_PER_LETTER = 4
 TILE_BYTES = 1 << 24
 BROADCAST_BYTES = 1 << 27
-TASKS_PER_CORE = 4
 MOST_COPIES = 64
 DIGITS = 12
 
@@ -95,7 +94,7 @@ class Layout(NamedTuple):
 
 def _layout(sizes: DataFrame, rows: int, bytes_per_weight: int) -> Layout:
     """Tiles of at most `rows` rows and a bounded size, small enough to keep all cores busy."""
-    parts = shuffle_partitions(sizes.sparkSession)
+    parts = busy_partitions(sizes.sparkSession)
     amount = F.col("weight") * bytes_per_weight
     total = sizes.agg(F.sum("n").alias("n"), F.sum(amount).alias("bytes")).first()
     n, size = total["n"] or 0, total["bytes"] or 0
@@ -143,7 +142,7 @@ def paired_tiles(vectors: DataFrame, pairs: DataFrame, payload: str, layout: Lay
     cluster. Tiles whose total size is known to be small are broadcast to it;
     otherwise both sides are shuffled by tile.
     """
-    parts = shuffle_partitions(vectors.sparkSession)
+    parts = busy_partitions(vectors.sparkSession)
     blocks = _tiles(vectors, layout.counts, payload)
     counted = pairs.join(_side(layout.counts, "A"), "framework_A").join(_side(layout.counts, "B"), "framework_B")
     each_a = F.explode(F.sequence(F.lit(0), F.col("blocks_A") - 1)).alias("block_A")

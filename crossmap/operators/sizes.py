@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+TASKS_PER_CORE = 4
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -27,6 +28,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def busy_partitions(spark: SparkSession) -> int:
+    """Partitions that keep all cores busy and even, within the shuffle partitions."""
+    return min(shuffle_partitions(spark), TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+
+
+def gather(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows brought together by columns for a foldered write.
+
+    Small folders get one file; adaptive execution splits a folder that holds
+    much of the table over many tasks.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows of a small input over all cores; an input with enough partitions is left alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -51,9 +51,9 @@ def stored(
 
 
 def _append(rows: DataFrame, pairs: DataFrame, folder: str, name: str, threshold: float, k: int) -> None:
-    run = datetime.now(timezone.utc).isoformat()
+    run = datetime.now(timezone.utc).strftime("run-%Y%m%dT%H%M%S%f")
     marks = {"threshold": F.lit(float(threshold)), "k": F.lit(int(k)), "run": F.lit(run)}
-    write_versioned(rows.withColumns(marks), f"{folder}/{name}")
+    write_versioned(rows.withColumns(marks), f"{folder}/{name}", keys=["run"])
     write_versioned(pairs.withColumns(marks), f"{folder}/{name}_done")
 
 

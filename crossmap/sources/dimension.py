@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crossmap.operators.sizes import broadcast_if_small
 from crossmap.sources.schemas import CONFIG_ENTRY
 
 # Key, survey key, display name, domain, language, id prefix.
@@ -93,7 +94,7 @@ def framework_dim(spark: SparkSession, config: DataFrame | None = None) -> DataF
 def enrich(rows: DataFrame, dim: DataFrame) -> DataFrame:
     """Rows with the metadata of their framework, or the defaults."""
     named = dim.select(F.col("key").alias("framework"), "survey_key", "display_name", "domain", "language", "section_id_prefix")
-    return rows.join(named, "framework", "left").withColumns({
+    return rows.join(broadcast_if_small(named), "framework", "left").withColumns({
         "display_name": F.coalesce("display_name", "framework"),
         "domain": F.coalesce("domain", F.lit(DEFAULT_DOMAIN)),
         "language": F.coalesce("language", F.lit(DEFAULT_LANGUAGE)),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossmap.functions import text
-from crossmap.operators.sizes import spread
+from crossmap.operators.sizes import gather, spread
 from crossmap.sources.schemas import REQUIREMENT
 
 VERSION = "4"
@@ -18,7 +18,7 @@ class OutdatedTable(ValueError):
 
 def write_requirements(requirements: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Requirement rows, one folder per framework."""
-    requirements.write.mode(mode).partitionBy("framework").format(fmt).save(path)
+    gather(requirements, "framework").write.mode(mode).partitionBy("framework").format(fmt).save(path)
 
 
 def read_requirements(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -35,7 +35,7 @@ def write_versioned(
     version: str = VERSION, fmt: str = "parquet",
 ) -> None:
     """Rows marked with the version of the logic that made them, foldered by it."""
-    stamped = df.withColumn("_v", F.lit(version))
+    stamped = (gather(df, *keys) if keys else df).withColumn("_v", F.lit(version))
     stamped.write.mode(mode).partitionBy("_v", *(keys or [])).format(fmt).save(path)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from crossmap.functions import text
 from crossmap.operators.flatten import flatten_requirements
+from crossmap.operators.sizes import gather
 from crossmap.plans.stored import update_candidates
 from crossmap.sources.dimension import framework_dim
 from crossmap.sources.documents import decode_documents
@@ -41,7 +42,7 @@ def map_arrivals(documents: DataFrame, folder: str, checkpoint: str, **options)
         spark = batch.sparkSession
         table = f"{folder}/requirements"
         fresh = flatten_requirements(decode_documents(batch), framework_dim(spark))
-        writer = fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = gather(fresh, "framework").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("framework").parquet(table)
         update_candidates(read_requirements(spark, table), folder, **options)
 

@@ -54,8 +54,8 @@ def test_rows_of_an_unfinished_run_are_ignored(spark, tmp_path):
     folder, requirements, vectors = str(tmp_path / "s"), B.vector_requirements(spark, SF_DIR), B.vectors(spark, SF_DIR)
     found = stored.update_candidates(requirements, folder, vectors, threshold=0.2)
     n = found.count()
-    broken = found.limit(50).withColumns({"threshold": F.lit(0.2), "k": F.lit(5), "run": F.lit("9999-died")})
-    tables.write_versioned(broken, f"{folder}/candidates")
+    broken = found.limit(50).withColumns({"threshold": F.lit(0.2), "k": F.lit(5), "run": F.lit("run-9999-died")})
+    tables.write_versioned(broken, f"{folder}/candidates", keys=["run"])
     assert stored.stored(spark, folder, stored.CANDIDATES, 0.2, 5).count() == n
 
 
