@@ -64,10 +64,15 @@ def score_histogram(candidates: DataFrame, bins: int = BINS, score: str = "seman
 
 
 def thin_out(vectors: DataFrame, sizes: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
-    """Every n-th requirement of a framework, so that fewer than twice `max_labels` stay."""
+    """Every n-th requirement of a framework, so that fewer than twice `max_labels` stay.
+
+    Only positions are numbered; the few that stay are then looked up.
+    """
     step = F.greatest(F.lit(1), F.floor(F.col("n") / max_labels)).alias("step")
-    placed = position_index(vectors, "_index").join(sizes.select("framework", step), "framework")
-    return placed.filter(F.col("_index") % F.col("step") == 0).drop("_index", "step")
+    placed = position_index(vectors.select("framework", "pos"), "_index")
+    placed = placed.join(sizes.select("framework", step), "framework")
+    picked = broadcast_if_small(placed.filter(F.col("_index") % F.col("step") == 0).select("framework", "pos"))
+    return vectors.join(picked, ["framework", "pos"], "left_semi")
 
 
 def sample_matrix(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossmap.functions import text
 from crossmap.operators import similarity
 from crossmap.operators.candidates import candidates
 from crossmap.operators.ordering import PAIR

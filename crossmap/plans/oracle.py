@@ -160,11 +160,6 @@ def bad_batches(shift: int, source: str = "batched") -> str:
     )
 
 
-def surviving(source: str) -> str:
-    """Batches or single retries that end with a verdict."""
-    return f"SELECT * FROM {source} WHERE (pos_A + pos_B) % 29 <> 0"
-
-
 def escape(text: str) -> str:
     for plain, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("''", "&#x27;")):
         text = f"replace({text}, '{plain}', '{escaped}')"

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossmap.functions import relations as R
 from crossmap.functions import text
 from crossmap.operators import candidates as C
 from crossmap.operators import cleanup as K
@@ -319,12 +318,12 @@ def retried_candidates(spark, sf):
 def judged_relations(spark, sf):
     """Batches out, answers in, single retries, adapted types, second pass."""
     found = cut(B.vector_candidates(spark, sf))
-    limits = thresholds.resolve_thresholds(found)
+    limits = cut(thresholds.resolve_thresholds(found))
 
     def ask(batched, shift):
         requests = batched.groupBy(*PAIR, "batch_no").agg(F.count("*").alias("n"))
-        verdicts, failed = V.parse_responses(requests, B.answers(batched, shift))
-        retried = V.retry_batches(failed, batched)
+        verdicts, failed = V.parse_responses(requests, cut(B.answers(batched, shift)))
+        retried = cut(V.retry_batches(failed, batched))
         single = retried.groupBy(*PAIR, "batch_no").agg(F.count("*").alias("n"))
         again, _ = V.parse_responses(single, B.answers(retried, shift))
         rest = V.match_verdicts(retried.drop("retry_of", "retry_idx"), again)

@@ -1,7 +1,5 @@
 import pytest
-from pyspark.sql import functions as F
-
-from crossmap.operators.flatten import flatten_requirements
+from crossmap.operators import pairs
 from crossmap.sources import dimension, documents, registry
 
 NESTED = """
@@ -95,6 +93,8 @@ def test_listing_skips_hidden_folders_and_keeps_the_last_of_a_name(spark, tmp_pa
     assert set(found) == {"a", "b"} and found["a"].endswith("sub/a-2.yaml")
     flat = documents.list_frameworks(spark, str(tmp_path), recursive=False)
     assert {r["framework"] for r in flat.collect()} == {"a", "d"}
+    loaded = pairs.framework_pairs(pairs.in_load_order(documents.list_frameworks(spark, str(tmp_path))))
+    assert [tuple(r) for r in loaded.collect()] == [("a", "b")]
     counts = documents.framework_counts(documents.list_frameworks(spark, str(tmp_path))).first()
     assert tuple(counts) == (2, 1)
 

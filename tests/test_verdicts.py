@@ -70,3 +70,25 @@ def test_retry_leaves_out_answered_candidates(spark):
     assert again.select("batch_no").distinct().count() == 3
     answered = spark.createDataFrame([("a", "b", 1, 2)], "framework_A STRING, framework_B STRING, batch_no BIGINT, idx BIGINT")
     assert V.retry_batches(failed, batched, answered).count() == 2
+
+
+def test_second_rounds_of_requests(spark):
+    requirements = spark.createDataFrame(
+        [(f, str(i), f"{f}{i}", "", [], i) for f in "ab" for i in range(4)],
+        "framework STRING, id STRING, title STRING, description STRING, tags ARRAY<STRING>, pos BIGINT",
+    )
+    found = spark.createDataFrame(
+        [("a", "b", str(i), str(i), i, i, 1, 0.5 + i / 10, "x", "y") for i in range(4)],
+        "framework_A STRING, framework_B STRING, id_A STRING, id_B STRING, pos_A BIGINT, pos_B BIGINT, rank INT, semantic_score DOUBLE, title_A STRING, title_B STRING",
+    )
+    batched = V.assign_batches(found, 3)
+    failed = spark.createDataFrame([("a", "b", 0, 3)], "framework_A STRING, framework_B STRING, batch_no BIGINT, n BIGINT")
+    single = V.retry_requests(failed, batched, requirements).collect()
+    assert [r["n"] for r in single] == [1, 1, 1] and all(r["batch_no"] < 0 for r in single)
+    assert sorted(r["text"].split("): ")[1].split("\n")[0] for r in single) == ["a1", "a2", "a3"]
+    scored = V.classify(batched.selectExpr(
+        "*", "CASE WHEN pos_A < 2 THEN 0.75D ELSE 0.7D END AS coverage_A_to_B", "0.1D AS coverage_B_to_A", "0.9D AS confidence", "'' AS justification"
+    ))
+    again = V.confirmation_requests(scored, requirements).collect()
+    assert [(r["batch_no"], r["n"]) for r in again] == [(0, 2)]
+    assert again[0]["text"].index("a1") < again[0]["text"].index("a0")
