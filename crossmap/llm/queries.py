@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossmap.llm import decontaminate, html_text, packing, pii, sharding, token_counts, topk
+from crossmap.llm import decontaminate, html_text, near_dup, packing, pii, sharding, token_counts, topk
 from crossmap.llm.common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,12 @@ def op2_token_counts(spark, sf):
     return token_counts.with_limit(token_counts.count_tokens(table(spark, sf, "documents")))
 
 
+@query
+def op3_near_duplicates(spark, sf):
+    found = near_dup.near_duplicates(table(spark, sf, "documents"), shingle=3, threshold=(85, 100))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "kept")
+
+
 @query
 def op4_decontamination(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
