@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossmap.llm import decontaminate, html_text, near_dup, packing, pii, sharding, token_counts, topk
+from crossmap.llm import decontaminate, html_text, near_dup, packing, pii, sharding, token_counts, topk, toxicity
 from crossmap.llm.common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,14 @@ def op6_pii(spark, sf):
                         F.size("added").cast("long").alias("n_added"))
 
 
+@query
+def op7_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out, names = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+    severity, grade, p = (F.col(names[x]) for x in ("severity", "grade", "p_toxic"))
+    return out.select("doc_id", severity.alias("severity"), grade.alias("grade"), p.alias("p_toxic"), (p >= toxicity.REJECT).alias("toxic"))
+
+
 @query
 def op9_topk(spark, sf):
     vectors = topk.integer_vectors(table(spark, sf, "embeddings"))
