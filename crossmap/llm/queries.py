@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossmap.llm import decontaminate, html_text, near_dup, packing, pii, sharding, token_counts, topk, toxicity
+from crossmap.llm import decontaminate, html_text, lm, near_dup, packing, pii, sharding, token_counts, topk, toxicity
 from crossmap.llm.common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,11 @@ def op7_toxicity(spark, sf):
     return out.select("doc_id", severity.alias("severity"), grade.alias("grade"), p.alias("p_toxic"), (p >= toxicity.REJECT).alias("toxic"))
 
 
+@query
+def op8_language_model(spark, sf):
+    return lm.score_texts(table(spark, sf, "documents"))
+
+
 @query
 def op9_topk(spark, sf):
     vectors = topk.integer_vectors(table(spark, sf, "embeddings"))
