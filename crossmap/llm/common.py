@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,20 +39,26 @@ def with_fields(schema: StructType, ddl: str) -> StructType:
     return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Rows computed once and kept in the folder that spark.checkpoint.dir names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, also set for checkpoints.
 
     Where the session names no folder, a local session takes one of its own; a
     cluster has to name one that all executors share.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="checkpoints-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Rows computed once and kept in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -102,3 +109,11 @@ class Words:
             codes = codes[real]
         self.codes, self.ends = codes, ends
         self.counts = np.diff(ends, prepend=0)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Rows written as a Parquet table of their own in the shared checkpoint folder, and read from there."""
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.parquet(folder)
