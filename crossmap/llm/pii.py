@@ -116,7 +116,7 @@ _OPEN, _CLOSE = r"[\[({<]\s*", r"\s*[\])}>]"
 #: One disguise: a mark in brackets, a written @ or . between white space, or a spelled digit in a run of at least three.
 _DISGUISE = re.compile(
     rf"{_GAP}{_OPEN}(?P<at>at|@){_CLOSE}\s*|{_GAP}{_OPEN}(?P<dot>dot|\.){_CLOSE}\s*"
-    rf"|(?<=[A-Za-z0-9_%+-])\s+(?P<at2>at)\s+(?=[A-Za-z0-9-]+(?:\s+dot\s+|\s*{_OPEN}dot{_CLOSE}\s*|\.)[A-Za-z0-9-])"
+    rf"|(?<=[A-Za-z0-9_%+-])\s+(?P<at2>at)\s+(?=[A-Za-z0-9-]+(?:\s+dot\s+|\s*{_OPEN}dot{_CLOSE}\s*)[A-Za-z0-9-])"
     rf"|(?<=[A-Za-z0-9-])\s+(?P<dot2>dot|point)\s+(?=[A-Za-z0-9-])"
     rf"|\b(?P<plus>plus)\s+(?=(?:{_NUMBER}|[0-9]+)\b)"
     rf"|\b(?P<run>(?:{_NUMBER})(?:[\s-]+(?:{_NUMBER}|[0-9]+))*)\b",
