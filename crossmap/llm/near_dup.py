@@ -216,6 +216,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: in
     """Pairs (a, b) of classes whose full sets reach the threshold."""
     num, den = threshold
     pairs = checkpointed(pairs.select("a", "b"))
+    if pairs.isEmpty():
+        return pairs
     nodes = pairs.select("a").union(pairs.select("b")).distinct()
     wanted = checkpointed(classes.select("node", "n", "d1", "d2", "rep").join(nodes.withColumnRenamed("a", "node"), "node"))
     ids = wanted.select("rep").distinct()
@@ -250,7 +252,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: in
                 chosen = pa.array(good, pa.bool_())
                 yield pa.RecordBatch.from_arrays([part.column("a").filter(chosen), part.column("b").filter(chosen)], ["a", "b"])
 
-    return both.mapInArrow(verify, "a bigint, b bigint")
+    return checkpointed(both.mapInArrow(verify, "a bigint, b bigint"))
 
 
 def components(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
@@ -259,6 +261,8 @@ def components(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
     Labels pass along links and then jump to the label of their label, until nothing changes.
     """
     if before is not None:
+        if links.isEmpty():
+            return before
         links = links.union(before.select("node", "label").toDF("a", "b"))
     both = checkpointed(links.union(links.select("b", "a").toDF("a", "b")).filter("a <> b").distinct())
     labels = checkpointed(both.groupBy("a").agg(F.min("b").alias("label")).select(F.col("a").alias("node"), F.least("a", "label").alias("label")))
