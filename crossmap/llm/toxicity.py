@@ -1,7 +1,8 @@
 """Toxicity as ordered severity grades by cumulative-link regression.
 
 Sparse features of a text are its lower-cased words and the beginnings of its
-words, hashed, present or not. One vector of weights is shared by all
+words, hashed, present or not, and steps of its length: a long text holds any
+word more easily. One vector of weights is shared by all
 thresholds: P(grade >= k) = sigmoid(w.x - theta_k) with rising theta. The
 expected severity is the sum of those probabilities.
 
@@ -36,11 +37,14 @@ from crossmap.llm.common import Words, column, free_name, slices, with_fields
 #: Bound of the fitted sample, in documents and in bytes of text taken into one task at a time.
 SAMPLE = 20_000
 BITS = 20
+#: Steps of length (doublings of the number of words), numbered after the hashed features.
+LENGTHS = 24
+WIDTH = (1 << BITS) + LENGTHS
 #: Lengths in bytes of the beginnings of words that are features too.
 BEGINNINGS = (5, 6, 7)
 GRADES = 3
 #: Least number of sampled documents with a feature, and least statistic (chi-square) of a feature that is used.
-SUPPORT, EVIDENCE = 4, 12.0
+SUPPORT, EVIDENCE = 4, 30.0
 STEPS, RATE, DECAY = 300, 0.1, 2e-4
 #: Probability of any grade from which a document is rejected.
 REJECT = 0.5
@@ -68,8 +72,11 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     each = sizes[code]
     ends = np.cumsum(each)
     found = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(firsts[code] - ends + each, each)]
-    both = np.unique((np.repeat(row, each) << BITS) | found)
-    return both & ((1 << BITS) - 1), np.bincount(both >> BITS, minlength=len(words.counts))
+    steps = np.minimum(np.log2(words.counts + 1).astype(np.int64), LENGTHS)
+    owner = np.repeat(np.arange(len(steps)), steps)
+    doublings = (1 << BITS) + np.arange(len(owner)) - np.repeat(np.cumsum(steps) - steps, steps)
+    both = np.unique(np.concatenate((np.repeat(row, each) * WIDTH + found, owner * WIDTH + doublings)))
+    return both % WIDTH, np.bincount(both // WIDTH, minlength=len(words.counts))
 
 
 @dataclass
@@ -80,7 +87,7 @@ class Model:
     thresholds: list[float]
 
     def table(self) -> np.ndarray:
-        table = np.zeros(1 << BITS)
+        table = np.zeros(WIDTH)
         table[list(self.weights)] = list(self.weights.values())
         return table
 
@@ -98,18 +105,18 @@ def fitted(found: np.ndarray, counts: np.ndarray, toxic: np.ndarray) -> Model:
     if not positive or positive == n:
         return Model({}, [60.0 if not positive else -60.0 + i for i in range(GRADES)])
     row = np.repeat(np.arange(n), counts)
-    total = np.bincount(found, minlength=1 << BITS).astype(float)
-    inside = np.bincount(found[toxic[row]], minlength=1 << BITS).astype(float)
+    total = np.bincount(found, minlength=WIDTH).astype(float)
+    inside = np.bincount(found[toxic[row]], minlength=WIDTH).astype(float)
     share = positive / n
     expected = total * share
     spread = np.maximum(total * share * (1 - share), 1e-9)
     evidence = (inside - expected) ** 2 / spread
-    used = np.flatnonzero((total >= SUPPORT) & (evidence >= EVIDENCE))
-    place = np.full(1 << BITS, -1)
+    used = np.flatnonzero(((total >= SUPPORT) & (evidence >= EVIDENCE)) | ((np.arange(WIDTH) >= 1 << BITS) & (total > 0)))
+    place = np.full(WIDTH, -1)
     place[used] = np.arange(len(used))
     keep = place[found] >= 0
     cells, rows = place[found[keep]], row[keep]
-    typical = (inside > expected)[used]
+    typical = ((inside > expected) & (np.arange(WIDTH) < 1 << BITS))[used]
     marks = np.bincount(rows, weights=typical[cells], minlength=n)
     low, high = np.quantile(marks[toxic], [1 / 3, 2 / 3])
     grade = np.where(toxic, 2 - (marks <= low).astype(int) + (marks > high).astype(int), 0)
@@ -177,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     gathered = chosen.mapInArrow(sparse, "toxic boolean, found binary").repartition(1).sortWithinPartitions("found", "toxic")
     pairs = {row[0]: row[1] for row in gathered.mapInArrow(train, "feature bigint, weight double").collect()}
-    return Model({k: v for k, v in pairs.items() if k >= 0}, [pairs[-1 - i] for i in range(GRADES)])
+    return Model({k: v for k, v in pairs.items() if k >= 0}, [pairs.get(-1 - i, 60.0 + i) for i in range(GRADES)])
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFrame, dict[str, str]]:
