@@ -11,10 +11,11 @@ the threshold within six standard errors fall away, the rest is verified on the
 full sets.
 
 Equal sets are one class from the start. In each band, the members of a bucket
-are first compared with its smallest member only, then, after links are joined to components,
-members of the smaller components with those of the others; members that
-are already connected are not compared again. No step holds a bucket, component
-or list of links in one place.
+are first compared with its smallest member only. After links are joined to
+components, members of the smaller components of a bucket are compared with those of the
+others, pair by pair in small buckets and by postings in cells of bounded size in
+large ones; members that are already connected are not compared again. No step
+holds a bucket, component or list of links in one place.
 
 A link (overlap at the threshold) is missed only if no band agrees, with
 probability (1 - t^BAND)^(REGISTERS / BAND) at most: 5e-11 for 0.85, 5e-8 for 0.8.
@@ -38,7 +39,6 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from crossmap.llm.common import Words, checkpointed, column, free_name, slices, with_fields
 
@@ -48,6 +48,8 @@ BASE, RATE, TOP = 1.001, 20.0, 2**16 - 1
 ERRORS = 6
 #: Identifiers of documents to look up that may be broadcast; beyond it both sides are shuffled.
 BROADCAST_IDS = 1_000_000
+#: Members up to which a bucket is compared pair by pair; larger ones are compared in cells of so many shingles a side.
+SMALL, CELL = 32, 1 << 20
 #: Pairs with one leader that share a copy of its set.
 PER_COPY = 500
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -212,14 +214,9 @@ def _possible(pairs: DataFrame, classes: DataFrame, threshold: tuple[int, int],
     return pairs.join(side("b"), "b").join(side("a"), "a").filter(near).mapInArrow(estimate, "a bigint, b bigint, guess double")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) of classes whose full sets reach the threshold."""
-    num, den = threshold
-    pairs = checkpointed(pairs.select("a", "b"))
-    if pairs.isEmpty():
-        return pairs
-    nodes = pairs.select("a").union(pairs.select("b")).distinct()
-    wanted = checkpointed(classes.select("node", "n", "d1", "d2", "rep").join(nodes.withColumnRenamed("a", "node"), "node"))
+def _sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, members): the full sets of some classes, each from the texts of its smallest identifier."""
+    wanted = checkpointed(classes.select("node", "n", "d1", "d2", "rep").join(nodes.toDF("node").distinct(), "node"))
     ids = wanted.select("rep").distinct()
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
@@ -228,13 +225,21 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: in
         for part in slices(batches, "text"):
             values, counts = shingle_sets(part.column("text"), shingle)
             d1, d2 = _digests(values, counts)
-            sets = pa.array([x.tobytes() for x in np.split(values, np.cumsum(counts)[:-1])], pa.binary()) if len(counts) else pa.array([], pa.binary())
+            sets = pa.array([x.tobytes() for x in np.split(values, np.cumsum(counts)[:-1])], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(counts, pa.int64()), pa.array(d1), pa.array(d2), sets], ["n", "d1", "d2", "members"])
 
     found = docs.join(ids, docs["doc_id"].eqNullSafe(ids["rep"]), "left_semi").select("text")
     sets = found.mapInArrow(collect, "n bigint, d1 bigint, d2 bigint, members binary")
-    sets = sets.join(wanted.select("node", "n", "d1", "d2"), ["n", "d1", "d2"]).dropDuplicates(["node"]).select("node", "members")
-    sets = checkpointed(sets)
+    return sets.join(wanted.select("node", "n", "d1", "d2"), ["n", "d1", "d2"]).dropDuplicates(["node"]).select("node", "members")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of classes whose full sets reach the threshold."""
+    num, den = threshold
+    pairs = checkpointed(pairs.select("a", "b"))
+    if pairs.isEmpty():
+        return pairs
+    sets = checkpointed(_sets(pairs.select("a").union(pairs.select("b")), classes, docs, shingle))
     copies = pairs.groupBy("a").agg((F.floor(F.count("*") / PER_COPY) + 1).alias("copies"))
     left = sets.withColumnRenamed("node", "a").join(copies, "a").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
     asked = pairs.join(copies, "a").withColumn("copy", F.pmod(F.xxhash64("b"), F.col("copies"))).drop("copies")
@@ -284,6 +289,79 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select(*pairs.columns)
 
 
+def _majority(rows: DataFrame, group: str) -> DataFrame:
+    """Rows of groups with several labels, with the group's most frequent label."""
+    shares = rows.groupBy(group, "label").count()
+    main = shares.groupBy(group).agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels"))
+    return rows.join(main.filter("labels > 1").drop("labels"), group)
+
+
+def _crossing(state: DataFrame, tested: DataFrame, classes: DataFrame, threshold: tuple[int, int], registers: int) -> DataFrame:
+    """Possible pairs across the components in small buckets: each row with SMALL others at most."""
+    num, den = threshold
+    known = checkpointed(_majority(state, "key"))
+    small = known.filter("label <> main").select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
+    sized = F.least("n", "n_a") * den >= F.greatest("n", "n_a") * num
+    pairs = known.join(small, "key").filter((F.col("label") != F.col("label_a")) & sized)
+    pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    tested = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return _possible(pairs.join(tested, ["a", "b"], "left_anti"), classes, threshold, registers)
+
+
+def _linked_in_clusters(state: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, threshold: tuple[int, int]) -> DataFrame:
+    """Links (a, b) across the components in large buckets, without a row per pair.
+
+    Large buckets that share members make a cluster. Members outside the
+    cluster's main component meet all members, in cells of bounded size: members
+    go to a block by their hash, those outside to each block in parts, and a
+    task counts shared shingles by postings. It emits one link at most for a member
+    and a component.
+    """
+    num, den = threshold
+    state = checkpointed(state)
+    if state.isEmpty():
+        return state.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    clusters = components(state.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
+    rows = state.select("node", "n", F.col("label").alias("component")).distinct().join(clusters.toDF("node", "cluster"), "node")
+    rows = _majority(rows.withColumnRenamed("component", "label"), "cluster").withColumn("outside", F.col("label") != F.col("main"))
+    sizes = rows.groupBy("cluster").agg((1 + F.floor(F.sum("n") / CELL)).alias("blocks"), (1 + F.floor(F.sum(F.when(F.col("outside"), F.col("n"))) / CELL)).alias("parts"))
+    rows = checkpointed(rows.join(sizes, "cluster").select("cluster", "node", "label", "outside", "blocks", "parts"))
+    if rows.isEmpty():
+        return rows.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    number = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    held = rows.select("cluster", "node", "label", F.lit(False).alias("asks"), number(1, "blocks").alias("block"), every("parts").alias("part"))
+    asking = rows.filter("outside").select("cluster", "node", "label", F.lit(True).alias("asks"), every("blocks").alias("block"), number(2, "parts").alias("part"))
+    sets = checkpointed(_sets(rows.select("node"), classes, docs, shingle))
+    cells = held.union(asking).join(sets, "node")
+
+    def link(cell: pa.Table) -> pa.Table:
+        nodes, labels, asks = (cell.column(c).to_numpy(zero_copy_only=False) for c in ("node", "label", "asks"))
+        values = [np.frombuffer(x, np.uint64) for x in cell.column("members").to_pylist()]
+        inside, a, b = np.flatnonzero(~asks), [], []
+        if len(inside):
+            sizes = np.array([len(values[i]) for i in inside])
+            terms, codes = np.unique(np.concatenate([values[i] for i in inside]), return_inverse=True)
+            order = np.argsort(codes, kind="stable")
+            owners, ends = np.repeat(np.arange(len(inside)), sizes)[order], np.cumsum(np.bincount(codes, minlength=len(terms)))
+            starts = np.concatenate(([0], ends[:-1]))
+            for i in np.flatnonzero(asks):
+                place = np.minimum(np.searchsorted(terms, values[i]), len(terms) - 1)
+                place = place[terms[place] == values[i]]
+                each = ends[place] - starts[place]
+                stops = np.cumsum(each)
+                found = owners[np.arange(stops[-1] if len(stops) else 0) + np.repeat(starts[place] - stops + each, each)]
+                shared = np.bincount(found, minlength=len(inside))
+                hits = inside[den * shared >= num * (sizes + len(values[i]) - shared)]
+                hits = hits[labels[hits] != labels[i]]
+                for j in hits[np.unique(labels[hits], return_index=True)[1]]:
+                    a.append(nodes[i])
+                    b.append(nodes[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return checkpointed(cells.groupBy("cluster", "block", "part").applyInArrow(link, "a bigint, b bigint"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     threshold: tuple[int, int] = THRESHOLD, registers: int = REGISTERS, band: int = BAND) -> DataFrame:
     """(doc_id, n, d1, d2, component, component_id, kept) of every row.
@@ -301,24 +379,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     members = checkpointed(bands.join(buckets, "key"))
 
     stars = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    likely = checkpointed(_possible(stars, classes, threshold, registers))
-    best = likely.groupBy("b").agg(F.max_by("a", "guess").alias("a")).select("a", "b")
+    likely = _possible(stars, classes, threshold, registers)
+    best = checkpointed(likely.groupBy("b").agg(F.max_by("a", "guess").alias("a")).select("a", "b"))
     labels = components(_verified(best, classes, docs, shingle, threshold))
-    others = _labelled(likely.join(best, ["a", "b"], "left_anti"), labels)
-    labels = components(_verified(others, classes, docs, shingle, threshold), labels)
 
-    known = members.filter("size > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).select("key", "node", "n", "label")
-    shares = known.groupBy("key", "label").count()
-    largest = shares.groupBy("key").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1")
-    known = checkpointed(known.join(largest.select("key", "main"), "key"))
-    small = known.filter("label <> main").select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-    num, den = threshold
-    apart = F.col("label") != F.col("label_a")
-    sized = F.least("n", "n_a") * den >= F.greatest("n", "n_a") * num
-    crossing = known.join(small, "key").filter(apart & sized).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    crossing = _possible(crossing.join(tested, ["a", "b"], "left_anti"), classes, threshold, registers)
-    labels = components(_verified(crossing, classes, docs, shingle, threshold), labels)
+    state = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    few = _crossing(state.filter(F.col("size") <= SMALL), best, classes, threshold, registers)
+    few = _verified(few, classes, docs, shingle, threshold)
+    many = _linked_in_clusters(state.filter(F.col("size") > SMALL), classes, docs, shingle, threshold)
+    labels = components(few.union(many), labels)
 
     named = classes.select("node", "n", "d1", "d2", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))

@@ -69,6 +69,23 @@ def test_components(spark, texts, width, threshold):
     assert found(data.documents(spark, documents), width, threshold) == brute(documents, width, threshold)
 
 
+@pytest.mark.parametrize("cell", [1 << 20, 150])
+def test_large_buckets(spark, monkeypatch, cell):
+    """A text and many variants of it, of which some overlap enough only with some others."""
+    monkeypatch.setattr(near_dup, "SMALL", 4)
+    monkeypatch.setattr(near_dup, "CELL", cell)
+    source, base = random.Random(9), [f"word{i}" for i in range(80)]
+    documents = []
+    for i in range(90):
+        words = list(base)
+        for _ in range(source.randint(0, 5)):
+            words[source.randrange(80)] = f"other{source.randrange(20)}"
+        documents.append((i, " ".join(words)))
+    wanted = brute(documents, 3, (85, 100))
+    assert 3 < len({c for *_, c in wanted}) < 60
+    assert found(data.documents(spark, documents), 3, (85, 100)) == wanted
+
+
 def test_empty_table(spark):
     assert near_dup.near_duplicates(data.documents(spark).limit(0)).collect() == []
     assert near_dup.distinct_documents(data.documents(spark).limit(0)).collect() == []
