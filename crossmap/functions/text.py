@@ -46,20 +46,24 @@ def clean_id(raw: Column) -> Column:
 
 
 def framework_name(path: Column) -> Column:
-    """Framework name from a file path: no extension, no trailing number."""
-    decoded = F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
-    stem = F.regexp_replace(F.regexp_extract(decoded, r"([^/]+)$", 1), r"(?<=.)\.[^.]*$", "")
+    """Framework name from a plain file path: no extension, no trailing number."""
+    stem = F.regexp_replace(F.regexp_extract(path, r"([^/]+)$", 1), r"(?<=.)\.[^.]*$", "")
     return F.translate(F.regexp_replace(stem, r"[-_]\d+$", ""), "- ", "__")
 
 
-def title_and_description(label: Column, desc: Column) -> tuple[Column, Column]:
-    """Title and description; a missing label is filled from the description."""
+def title_and_description(label: Column, desc: Column, keep: bool = True) -> tuple[Column, Column]:
+    """Title and description; a missing label is filled from the start of the description.
+
+    A description that is the whole title is emptied; one that is longer stays
+    whole beside it, unless `keep` is off.
+    """
     label, desc = strip(label), strip(desc)
     use_desc = (label == "") & (desc != "")
     cut = F.rtrim(F.substring(desc, 1, TITLE_LENGTH), F.lit(WHITESPACE))
     mark = F.when(F.length(desc) > TITLE_LENGTH, ELLIPSIS).otherwise("")
     title = F.when(use_desc, F.concat(cut, mark)).otherwise(label)
-    description = F.when(use_desc, "").otherwise(desc)
+    repeated = use_desc & (F.length(desc) <= TITLE_LENGTH) if keep else use_desc
+    description = F.when(repeated, "").otherwise(desc)
     return clean_text(title), clean_text(description)
 
 
@@ -70,10 +74,14 @@ def requirement_id(own: Column, inherited: Column, n: Column) -> Column:
     return clean_id(F.when(own != "", own).otherwise(numbered))
 
 
-def embedding_text(tags: Column, title: Column, description: Column) -> Column:
-    """Text that is encoded: last tag, title and first sentence."""
-    sentence = F.substring(strip(F.substring_index(description, ".", 1)), 1, SENTENCE_LENGTH)
-    content = F.when(sentence != "", F.concat(title, F.lit(": "), sentence)).otherwise(title)
+def embedding_text(tags: Column, title: Column, description: Column, sentence_length: int | None = None) -> Column:
+    """Text that is encoded: last tag, title and description.
+
+    With a sentence length, only the first sentence up to it instead of the description.
+    """
+    if sentence_length is not None:
+        description = F.substring(strip(F.substring_index(description, ".", 1)), 1, sentence_length)
+    content = F.when(description != "", F.concat(title, F.lit(": "), description)).otherwise(title)
     return F.when(
         F.size(tags) > 0, F.concat_ws(" | ", F.try_element_at(tags, F.lit(-1)), content)
     ).otherwise(content)
@@ -101,20 +109,25 @@ def sheet_name(framework_a: Column, framework_b: Column) -> Column:
     return F.substring(F.concat(part_a, F.lit(" "), part_b), 1, SHEET_LENGTH)
 
 
-def _side(letter: str, framework: Column, tags: Column, title: Column, description: Column) -> Column:
-    shown = F.array_join(F.slice(tags, 1, TAGS_SHOWN), ", ")
+def _side(letter: str, framework: Column, tags: Column, title: Column, description: Column, tags_shown: int | None, length: int | None) -> Column:
+    shown = F.array_join(tags if tags_shown is None else F.slice(tags, 1, tags_shown), ", ")
     context = F.when(F.size(tags) > 0, F.concat(F.lit(" ["), shown, F.lit("]"))).otherwise("")
-    body = truncate(description)
+    body = description if length is None else truncate(description, length)
     body = F.when(body == "", NO_DESCRIPTION).otherwise(body)
     return F.concat(F.lit(f"{letter} ("), framework, context, F.lit("): "), title, F.lit("\n"), body)
 
 
-def pair_block(number: Column, suffix_a: str = "_A", suffix_b: str = "_B") -> Column:
-    """Text of one numbered pair, from the columns of both requirements."""
+def pair_block(
+    number: Column, suffix_a: str = "_A", suffix_b: str = "_B", tags_shown: int | None = None, length: int | None = None
+) -> Column:
+    """Text of one numbered pair, from the columns of both requirements.
+
+    Tags and descriptions are shown whole unless a number of tags or a length is given.
+    """
     names = ("framework", "tags", "title", "description")
     heading = F.format_string(PAIR_HEADING, number)
-    side_a = _side("A", *(F.col(name + suffix_a) for name in names))
-    side_b = _side("B", *(F.col(name + suffix_b) for name in names))
+    side_a = _side("A", *(F.col(name + suffix_a) for name in names), tags_shown, length)
+    side_b = _side("B", *(F.col(name + suffix_b) for name in names), tags_shown, length)
     return F.concat(heading, F.lit("\n"), side_a, F.lit("\n\n"), side_b)
 
 

@@ -12,6 +12,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 ROWS_AT_ONCE = 512
+#: Cells that a word touches in a pair of tiles, from which it is multiplied as a dense column.
+FREQUENT_CELLS = 4096
 TERMS_AT_ONCE = 4096
 NUMBERS_AT_ONCE = 1 << 20
 MANY_TIES = 64
@@ -115,15 +117,18 @@ def term_tile(cell):
     return pos[order], vocabulary, (rows, terms, counts.astype(np.float64)), norms
 
 
-def _columns(entries, shared, height):
-    """Yields dense count matrices over slices of the shared vocabulary."""
+def _by_column(entries, shared):
+    """Rows, shared columns and counts of the entries that both tiles know, in column order."""
     rows, terms, counts = entries
     column = shared[terms]
-    used = column >= 0
-    rows, column, counts = rows[used], column[used], counts[used]
-    by_column = np.argsort(column, kind="stable")
-    rows, column, counts = rows[by_column], column[by_column], counts[by_column]
-    total = int(shared.max(initial=-1)) + 1
+    used = np.flatnonzero(column >= 0)
+    used = used[np.argsort(column[used], kind="stable")]
+    return rows[used], column[used], counts[used]
+
+
+def _columns(entries, total, height):
+    """Yields dense count matrices over slices of the columns."""
+    rows, column, counts = entries
     for start in range(0, total, TERMS_AT_ONCE):
         width = min(TERMS_AT_ONCE, total - start)
         low, high = np.searchsorted(column, (start, start + width))
@@ -132,6 +137,18 @@ def _columns(entries, shared, height):
         yield dense
 
 
+def _rare_products(entries_a, entries_b, each_b, rare, shape):
+    """Sums of products over the rare columns: every entry of A meets the entries of B in its column."""
+    rows_a, column_a, counts_a = (x[rare[entries_a[1]]] for x in entries_a)
+    rows_b, _, counts_b = entries_b
+    starts = np.cumsum(each_b) - each_b
+    meets = each_b[column_a]
+    ends = np.cumsum(meets)
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[column_a] - ends + meets, meets)
+    cells = np.repeat(rows_a, meets) * shape[1] + rows_b[at]
+    return np.bincount(cells, np.repeat(counts_a, meets) * counts_b[at], minlength=shape[0] * shape[1]).astype(np.float64).reshape(shape)
+
+
 def term_scores(tile_a, tile_b):
     """Cosines of two term-count tiles."""
     pos_a, vocabulary_a, entries_a, norms_a = tile_a
@@ -143,10 +160,16 @@ def term_scores(tile_a, tile_b):
     shared_b[common] = np.arange(len(common))
     shared_a = np.full(max(len(vocabulary_a), 1), -1)
     shared_a[into_a[common]] = np.arange(len(common))
-    dots = np.zeros((len(pos_a), len(pos_b)))
-    slices_a = _columns(entries_a, shared_a, len(pos_a))
-    slices_b = _columns(entries_b, shared_b, len(pos_b))
-    for part_a, part_b in zip(slices_a, slices_b):
+    entries_a, entries_b = _by_column(entries_a, shared_a), _by_column(entries_b, shared_b)
+    each_a, each_b = (np.bincount(x[1], minlength=len(common)) for x in (entries_a, entries_b))
+    frequent = each_a * each_b > FREQUENT_CELLS
+    dots = _rare_products(entries_a, entries_b, each_b, ~frequent, (len(pos_a), len(pos_b)))
+    number, total = np.cumsum(frequent) - 1, int(frequent.sum())
+    dense = []
+    for rows, column, counts in (entries_a, entries_b):
+        kept = frequent[column]
+        dense.append((rows[kept], number[column[kept]], counts[kept]))
+    for part_a, part_b in zip(_columns(dense[0], total, len(pos_a)), _columns(dense[1], total, len(pos_b))):
         dots += part_a @ part_b.T
     lengths = np.outer(norms_a, norms_b)
     return np.divide(dots, lengths, out=np.zeros_like(dots), where=lengths > 0)

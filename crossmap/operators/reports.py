@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crossmap.functions import text
@@ -28,10 +28,16 @@ def _sheet(rows: DataFrame, name) -> DataFrame:
 
 
 def report_table(kept: DataFrame, removed: DataFrame | None = None) -> DataFrame:
-    """Long report: every relation on the sheet of its pair and on the global one."""
+    """Long report: every relation on the sheet of its pair and on the global one.
+
+    A sheet's name is short; pairs whose names would be equal are numbered.
+    """
+    names = ["Framework A", "Framework B"]
     sheets = _sheet(kept, F.lit(GLOBAL_SHEET))
-    own = text.sheet_name(F.col("Framework A"), F.col("Framework B"))
-    report = sheets.withColumn("sheet", F.explode(F.array(own, F.col("sheet"))))
+    pairs = sheets.select(*names).distinct().withColumn("_name", text.sheet_name(*map(F.col, names)))
+    nth = F.row_number().over(Window.partitionBy("_name").orderBy(*names))
+    numbered = pairs.select(*names, F.when(nth > 1, F.concat_ws(" ", "_name", nth.cast("string"))).otherwise(F.col("_name")).alias("_own"))
+    report = sheets.join(numbered, names).withColumn("sheet", F.explode(F.array("_own", "sheet"))).select(sheets.columns)
     return report if removed is None else report.unionByName(_sheet(removed, F.lit(REMOVED_SHEET)))
 
 

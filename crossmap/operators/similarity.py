@@ -56,8 +56,9 @@ def embed(requirements: DataFrame, encoder: Callable[[pd.Series], np.ndarray]) -
     )
 
 
-def encoding_text() -> Column:
-    return text.embedding_text(F.col("tags"), F.col("title"), F.col("description"))
+def encoding_text(sentence_length: int | None = None) -> Column:
+    """The whole text, or with a sentence length only the first sentence of the description."""
+    return text.embedding_text(F.col("tags"), F.col("title"), F.col("description"), sentence_length)
 
 
 def term_vectors(requirements: DataFrame) -> DataFrame:

@@ -65,17 +65,18 @@ def validate_counts(requirements: DataFrame, expected: DataFrame) -> tuple[DataF
     })
 
 
-def shown_sections(sections: DataFrame, limit: int = SHOWN_IN_REPORT) -> DataFrame:
-    """(framework, missing_sections, over_sections): the first sections of either kind in text order."""
-    order = Window.partitionBy("framework", "status").orderBy("section")
-    first = sections.filter("status <> 'equal'").withColumn("_place", F.row_number().over(order))
+def shown_sections(sections: DataFrame, limit: int | None = SHOWN_IN_REPORT) -> DataFrame:
+    """(framework, missing_sections, over_sections): the first sections of either kind in text order, or all without a limit."""
+    first = sections.filter("status <> 'equal'")
+    if limit is not None:
+        order = Window.partitionBy("framework", "status").orderBy("section")
+        first = first.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= limit)
     listed = {
         kind: F.sort_array(F.collect_list(F.when(F.col("status") == kind, F.col("section"))))
         for kind in ("missing", "over")
     }
     return (
-        first.filter(F.col("_place") <= limit)
-        .groupBy("framework")
+        first.groupBy("framework")
         .agg(*(column.alias(f"{kind}_sections") for kind, column in listed.items()))
     )
 

@@ -13,7 +13,6 @@ from crossmap.functions import relations as R
 from crossmap.functions import request, text
 from crossmap.operators.candidates import lookup_last
 from crossmap.operators.ordering import PAIR, candidate_index
-from crossmap.operators.sizes import broadcast_if_small
 from crossmap.sources.schemas import RELATION_COLUMNS
 
 VERDICT = (
@@ -78,10 +77,12 @@ def parse_responses(requests: DataFrame, responses: DataFrame) -> tuple[DataFram
     """Verdict rows of valid batches, and the requests whose answer is missing or invalid.
 
     A batch counts as a whole: one bad element, or a wrong number of elements,
-    fails all of it.
+    fails all of it. Of several answers to a batch, as a judge may deliver them,
+    the first in text order counts.
     """
     keys = [*PAIR, "batch_no"]
-    answered = requests.select(*keys, "n").join(responses.select(*keys, "raw"), keys, "left")
+    once = responses.groupBy(*keys).agg(F.min("raw").alias("raw"))
+    answered = requests.select(*keys, "n").join(once, keys, "left")
     single = F.array(F.from_json("raw", VERDICT))
     several = F.from_json("raw", f"STRUCT<results: ARRAY<{VERDICT}>>")["results"]
     parsed = answered.withColumn("_verdicts", F.when(F.col("n") == 1, single).otherwise(several))
@@ -125,14 +126,19 @@ def match_verdicts(batched: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 
 def classify(scored: DataFrame, thresholds: DataFrame | None = None) -> DataFrame:
-    """The relation type from both coverages; the judge's own type is not used."""
+    """The relation type from both coverages; the judge's own type is not used.
+
+    A pair of frameworks without thresholds of its own is classified with the basic ones.
+    """
     plain = scored.drop("relation_type")
     cov_a, cov_b = F.col("coverage_A_to_B"), F.col("coverage_B_to_A")
     if thresholds is None:
         return plain.withColumn("relation_type", R.relation_type(cov_a, cov_b))
-    known = broadcast_if_small(thresholds.select(*PAIR, "thresh_eq", "thresh_cov"))
-    kind = R.relation_type(cov_a, cov_b, F.col("thresh_eq"), F.col("thresh_cov"))
-    return plain.join(known, PAIR).withColumn("relation_type", kind).drop("thresh_eq", "thresh_cov")
+    known = thresholds.select(*PAIR, "thresh_eq", "thresh_cov")
+    eq = F.coalesce("thresh_eq", F.lit(R.THRESHOLD_EQUIVALENCE))
+    cov = F.coalesce("thresh_cov", F.lit(R.THRESHOLD_COVERAGE))
+    kind = R.relation_type(cov_a, cov_b, eq, cov)
+    return plain.join(known, PAIR, "left").withColumn("relation_type", kind).drop("thresh_eq", "thresh_cov")
 
 
 def needs_confirmation(relations: DataFrame, threshold: float = R.CONFIRM_THRESHOLD) -> DataFrame:

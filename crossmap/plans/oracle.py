@@ -20,8 +20,9 @@ def title(label: str, desc: str) -> str:
     return clean(f"CASE WHEN {strip(label)} = '' AND {strip(desc)} <> '' THEN {cut} || {mark} ELSE {strip(label)} END")
 
 
-def description(label: str, desc: str) -> str:
-    return clean(f"CASE WHEN {strip(label)} = '' THEN '' ELSE {strip(desc)} END")
+def description(label: str, desc: str, keep: bool = True) -> str:
+    short = f" AND length({strip(desc)}) <= 120" if keep else ""
+    return clean(f"CASE WHEN {strip(label)} = ''{short} THEN '' ELSE {strip(desc)} END")
 
 
 def exact(value: str, digits: int) -> str:
@@ -97,7 +98,7 @@ SENTENCE = f"left({strip("split_part(description, '.', 1)")}, 200)"
 DOCUMENTS = f"""
 r AS (SELECT lang AS framework, CAST(doc_id AS VARCHAR) AS id, {title(FIRST_LINE, REST)} AS title,
              {description(FIRST_LINE, REST)} AS description, source AS tags, doc_id AS pos FROM documents),
-texts AS (SELECT *, tags || ' | ' || title || CASE WHEN {SENTENCE} <> '' THEN ': ' || {SENTENCE} ELSE '' END AS content
+texts AS (SELECT *, tags || ' | ' || title || CASE WHEN description <> '' THEN ': ' || description ELSE '' END AS content
           FROM r)"""
 WORDS = r"list_filter(regexp_split_to_array(lower(content), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
 DOCUMENT_PAIRS = f"""{DOCUMENTS},
@@ -172,6 +173,7 @@ def colour(values: dict[str, str], other: str) -> str:
 
 
 SHEET_COLOURS = {"equivalence": "C6EFCE", "A_covers_B": "FFEB9C", "B_covers_A": "FFEB9C", "partial": "FFDDC1", "no_link": "FFC7CE"}
+# The colours of relation types.
 REVIEW_COLOURS = {"equivalence": "#27ae60", "A_covers_B": "#3498db", "B_covers_A": "#e67e22", "partial": "#f39c12", "no_link": "#95a5a6"}
 LABEL = "format('{:.2f} → {:.2f}/{:.2f}', semantic_score, coverage_A_to_B, coverage_B_to_A)"
 REPORT = f"""{colour(SHEET_COLOURS, "FFFFFF")} AS colour, framework_A AS "Framework A", id_A AS "ID A", title_A AS "Title A",
@@ -186,28 +188,33 @@ KEYS = "framework_A, framework_B, id_A, id_B"
 
 def pair_block() -> str:
     def side(letter: str) -> str:
-        body = f"CASE WHEN length({letter}.description) > 300 THEN left({letter}.description, 300) || '…' ELSE {letter}.description END"
         return (
             f"'{letter.upper()} (' || {letter}.framework || ' [' || {letter}.tags || ']): ' || {letter}.title || chr(10) || "
-            f"CASE WHEN {letter}.description = '' THEN '(sans description)' ELSE {body} END"
+            f"CASE WHEN {letter}.description = '' THEN '(sans description)' ELSE {letter}.description END"
         )
 
     return f"'--- Paire ' || (idx + 1) || ' ---' || chr(10) || {side('a')} || chr(10) || chr(10) || {side('b')}"
 
 
-def request(head: str) -> str:
-    from crossmap.functions import request as wording
+def lines(*parts: str) -> str:
+    """Text of several lines as an SQL expression."""
+    return " || chr(10) || ".join("'" + part.replace("'", "''") + "'" for part in parts)
 
-    one_pair, one = wording.ONE_PAIR, wording.ONE_ANSWER
-    many_pairs, many = wording.MANY_PAIRS.split("%d"), wording.MANY_ANSWERS.split("%d")
-
-    def quoted(text: str) -> str:
-        return "'" + text.replace("'", "''") + "'"
-
-    heading = f"CASE WHEN n = 1 THEN {quoted(one_pair)} ELSE {quoted(many_pairs[0])} || n || {quoted(many_pairs[1])} END"
-    answer = f"CASE WHEN n = 1 THEN {quoted(one)} ELSE {quoted(many[0])} || n || {quoted(many[1])} END"
-    return f"{quoted(head)} || chr(10) || chr(10) || {heading} || blocks || {quoted(wording.ANSWER_HEADING)} || {answer}"
 
+#: The default wording of a request, written out here so that a mistake in the engine's own shows.
+INSTRUCTIONS = lines(
+    "Rate how far the requirements of each numbered pair fulfil each other.", "", "relation | condition",
+    "equivalence | coverage_A_to_B >= 0.85 and coverage_B_to_A >= 0.85", "A_covers_B | coverage_A_to_B >= 0.75 > coverage_B_to_A",
+    "B_covers_A | coverage_B_to_A >= 0.75 > coverage_A_to_B", "partial | otherwise, coverage_A_to_B >= 0.4 or coverage_B_to_A >= 0.4", "no_link | otherwise",
+)
+FIELDS = lines(
+    "coverage_A_to_B (number 0..1): part of requirement B that requirement A fulfils",
+    "coverage_B_to_A (number 0..1): part of requirement A that requirement B fulfils", "confidence (number 0..1): certainty of the two numbers",
+    "relation_type (string): see the table of relations", "justification (string): short reason",
+)
+REQUEST = f"""{INSTRUCTIONS} || chr(10) || chr(10) || 'Number of pairs: ' || n || chr(10) || chr(10) || blocks || chr(10) || chr(10) ||
+    'Reply with JSON alone.' || chr(10) || CASE WHEN n = 1 THEN 'One object with these fields:' ELSE
+    'One object whose field results is an array of ' || n || ' objects, one for each pair in their order, with these fields:' END || chr(10) || {FIELDS}"""
 
 FLATTENED = f"""
 WITH c AS (SELECT c_custkey AS k, c_name AS name, c_mktsegment AS segment, c_nationkey AS nation FROM customer),
@@ -223,7 +230,7 @@ rows AS (
   FROM inherited)
 SELECT framework, replace(CASE WHEN kind = 1 THEN 'C.' || k ELSE above || '.' || k END, 'é', '') AS id,
        CASE WHEN kind = 0 THEN {clean("left(body, 120)")} || '…' ELSE {clean("label")} END AS title,
-       CASE WHEN kind IN (1, 3) THEN {clean("body")} ELSE '' END AS description, tags,
+       CASE WHEN kind IN (0, 1, 3) THEN {clean("body")} ELSE '' END AS description, tags,
        row_number() OVER (PARTITION BY framework ORDER BY section DESC, CASE WHEN direct THEN -1 ELSE nation END, k) - 1 AS pos
 FROM rows"""
 
@@ -297,13 +304,14 @@ ORACLE: dict[str, str] = {
                    CASE WHEN again THEN 'again' ELSE justification END AS justification FROM twice)
         SELECT *, {relation("coverage_A_to_B", "coverage_B_to_A")} AS relation_type FROM merged""",
     "requirements_from_documents": f"WITH {DOCUMENTS} SELECT * FROM r",
-    "embedding_text": f"WITH {DOCUMENTS} SELECT framework, id, content FROM texts",
+    "embedding_text": f"""WITH {DOCUMENTS} SELECT framework, id,
+        tags || ' | ' || title || CASE WHEN {SENTENCE} <> '' THEN ': ' || {SENTENCE} ELSE '' END AS content FROM r""",
     "document_terms": f"WITH {DOCUMENTS} SELECT framework, pos, array_to_string({WORDS}, ' ') AS terms FROM texts",
     "title_fallback": f"""WITH d AS (SELECT doc_id, CASE WHEN contains(text, chr(10)) THEN {FIRST_LINE} ELSE '' END AS head, text FROM documents),
         s AS (SELECT doc_id, head, CASE WHEN head = '' THEN text ELSE substring(text, length(head) + 2) END AS body FROM d)
-        SELECT doc_id, {title("head", "body")} AS title, {description("head", "body")} AS description FROM s""",
+        SELECT doc_id, {title("head", "body")} AS title, {description("head", "body", keep=False)} AS description FROM s""",
     "clean_text": f"SELECT doc_id, {clean('text')} AS text FROM documents",
-    "clean_id": f"""SELECT doc_id, trim(regexp_replace(' .' || {FIRST_LINE} || '. ', '[^\\x00-\\x7F]', '', 'g'), '. ') AS id FROM documents""",
+    "clean_id": f"""SELECT doc_id, trim(regexp_replace(' .' || text || '. ', '[^\\x00-\\x7F]', '', 'g'), '. ') AS id FROM documents""",
     "framework_names": r"""WITH p AS (SELECT page_id, regexp_replace(url, '[?#].*$|/$', '') || '-' || (page_id % 30) || '.yaml' AS path FROM pages)
         SELECT page_id, translate(regexp_replace(regexp_replace(regexp_extract(path, '([^/]+)$', 1), '\.yaml$', ''), '[-_][0-9]+$', ''), '- ', '__') AS framework FROM p""",
     "pair_slug": f"""WITH s AS (SELECT DISTINCT c_mktsegment AS f FROM customer)
@@ -324,7 +332,7 @@ ORACLE: dict[str, str] = {
         blocks AS (SELECT framework_A, framework_B, batch_no, n, string_agg({pair_block()}, chr(10) || chr(10) ORDER BY idx) AS blocks
                    FROM batched JOIN r a ON a.framework = framework_A AND a.id = id_A JOIN r b ON b.framework = framework_B AND b.id = id_B
                    GROUP BY framework_A, framework_B, batch_no, n)
-        SELECT framework_A, framework_B, batch_no, n, {request("Score the pairs.")} AS text FROM blocks""",
+        SELECT framework_A, framework_B, batch_no, n, {REQUEST} AS text FROM blocks""",
     "confirmation_batches": f"""{VIEWED},
         strong AS (SELECT *, row_number() OVER (PARTITION BY framework_A, framework_B ORDER BY semantic_score DESC, pos_A, rank) - 1 AS place
                    FROM related WHERE coverage_A_to_B >= 0.75 OR coverage_B_to_A >= 0.75)
@@ -353,12 +361,16 @@ ORACLE: dict[str, str] = {
         FROM expected GROUP BY framework, section""",
     "section_counts": f"WITH {SEGMENTS} SELECT *, {STATUS} AS status FROM sections",
     "validation_report": f"""WITH {SEGMENTS}, marked AS (SELECT *, {STATUS} AS status FROM sections),
-        placed AS (SELECT *, row_number() OVER (PARTITION BY framework, status ORDER BY section) AS place FROM marked)
+        placed AS (SELECT * FROM marked)
         SELECT framework, CAST(sum(expected) AS BIGINT) AS total_expected, CAST(sum(parsed) AS BIGINT) AS total_parsed,
         count(*) FILTER (WHERE status = 'missing') AS missing, count(*) FILTER (WHERE status = 'over') AS over,
-        coalesce(string_agg(section, ',' ORDER BY section) FILTER (WHERE status = 'missing' AND place <= 5), '') AS missing_sections,
-        coalesce(string_agg(section, ',' ORDER BY section) FILTER (WHERE status = 'over' AND place <= 5), '') AS over_sections,
+        coalesce(string_agg(section, ',' ORDER BY section) FILTER (WHERE status = 'missing'), '') AS missing_sections,
+        coalesce(string_agg(section, ',' ORDER BY section) FILTER (WHERE status = 'over'), '') AS over_sections,
         sum(expected) = sum(parsed) AS ok, CAST(sum(parsed) - sum(expected) AS BIGINT) AS difference FROM placed GROUP BY framework""",
+    "validated_frameworks": f"""WITH {SEGMENTS}, marked AS (SELECT *, {STATUS} AS status FROM sections)
+        SELECT lower(framework) AS framework, CAST(sum(expected) AS BIGINT) AS total_expected, CAST(sum(parsed) AS BIGINT) AS total_parsed,
+        count(*) FILTER (WHERE status = 'missing') AS missing, count(*) FILTER (WHERE status = 'over') AS over,
+        sum(expected) = sum(parsed) AS ok, CAST(sum(parsed) - sum(expected) AS BIGINT) AS difference FROM marked GROUP BY framework""",
     "expand_na": f"""WITH {SEGMENTS},
         flat AS (SELECT framework, expected FROM expected WHERE section = '4'),
         nested AS (SELECT framework, section, subsection, expected, CAST(subsection AS INT) % 3 AS kind FROM expected WHERE section <> '4')
@@ -384,8 +396,13 @@ ORACLE: dict[str, str] = {
     "review_progress": f"""{VIEWED},{REVIEW} SELECT count(*) AS total, count(*) FILTER (WHERE row % 6 = 0) AS checked,
         count(*) FILTER (WHERE row % 6 <> 0) AS remaining,
         CAST(round(100.0 * count(*) FILTER (WHERE row % 6 = 0) / count(*), 0) AS INT) AS percent FROM numbered""",
-    "report_table": f"""{VIEWED} SELECT left(left(framework_A, 12) || ' ' || left(framework_B, 12), 31) AS sheet, {REPORT} FROM kept
-        UNION ALL SELECT 'Global', {REPORT} FROM kept UNION ALL SELECT 'Removed', {REPORT} FROM removed""",
+    "report_table": f"""{VIEWED},
+        k AS (SELECT * REPLACE ('Collection of vectors ' || framework_A AS framework_A, 'Collection of vectors ' || framework_B AS framework_B) FROM kept),
+        d AS (SELECT * REPLACE ('Collection of vectors ' || framework_A AS framework_A, 'Collection of vectors ' || framework_B AS framework_B) FROM removed),
+        sheets AS (SELECT framework_A, framework_B, row_number() OVER (ORDER BY framework_A, framework_B) AS nth
+                   FROM (SELECT DISTINCT framework_A, framework_B FROM k))
+        SELECT 'Collection o Collection o' || CASE WHEN nth > 1 THEN ' ' || nth ELSE '' END AS sheet, {REPORT} FROM k JOIN sheets USING (framework_A, framework_B)
+        UNION ALL SELECT 'Global', {REPORT} FROM k UNION ALL SELECT 'Removed', {REPORT} FROM d""",
     "mapping_counts": f"""{VIEWED} SELECT 'frameworks' AS metric, count(*) AS amount FROM sizes
         UNION ALL SELECT 'requirements', CAST(sum(n) AS BIGINT) FROM sizes UNION ALL SELECT 'pairs', count(*) FROM pairs
         UNION ALL SELECT 'matrix_cells', CAST(sum(n_A * n_B) AS BIGINT) FROM pairs UNION ALL SELECT 'candidates', count(*) FROM found

@@ -182,7 +182,7 @@ def requirements_from_documents(spark, sf):
 @query
 def embedding_text(spark, sf):
     rows = B.document_requirements(spark, sf)
-    return rows.select("framework", "id", similarity.encoding_text().alias("content"))
+    return rows.select("framework", "id", similarity.encoding_text(text.SENTENCE_LENGTH).alias("content"))
 
 
 @query
@@ -195,7 +195,7 @@ def document_terms(spark, sf):
 def title_fallback(spark, sf):
     head = F.when(F.contains("text", F.lit("\n")), F.split_part("text", F.lit("\n"), F.lit(1))).otherwise("")
     body = F.when(head == "", F.col("text")).otherwise(F.substr("text", F.length(head) + 2))
-    title, description = text.title_and_description(head, body)
+    title, description = text.title_and_description(head, body, keep=False)
     return B.table(spark, sf, "documents").select("doc_id", title.alias("title"), description.alias("description"))
 
 
@@ -206,7 +206,7 @@ def clean_text(spark, sf):
 
 @query
 def clean_id(spark, sf):
-    raw = F.concat(F.lit(" ."), F.split_part("text", F.lit("\n"), F.lit(1)), F.lit(". "))
+    raw = F.concat(F.lit(" ."), F.col("text"), F.lit(". "))
     return B.table(spark, sf, "documents").select("doc_id", text.clean_id(raw).alias("id"))
 
 
@@ -258,7 +258,7 @@ def batches(spark, sf):
 @query
 def request_texts(spark, sf):
     rows, found = B.document_candidates(spark, sf)
-    return V.build_requests(cut(found), rows, instructions="Score the pairs.")
+    return V.build_requests(cut(found), rows)
 
 
 @query
@@ -363,12 +363,21 @@ def section_counts(spark, sf):
 @query
 def validation_report(spark, sf):
     sections, report = _checked(spark, sf)
-    shown = validate.shown_sections(sections, 5)
+    shown = validate.shown_sections(sections, None)
     return report.join(shown, "framework", "left").withColumns({
         name: F.array_join(name, ",") for name in ("missing_sections", "over_sections")
     })
 
 
+@query
+def validated_frameworks(spark, sf):
+    """Counts that are configured under the survey's key, for requirements under the framework's own."""
+    expected = D.expected_counts(D.config_from_text(B.customer_config(spark, sf)))
+    rows = B.customer_requirements(spark, sf).withColumn("framework", F.lower("framework"))
+    keys = expected.select(F.lower("framework").alias("key"), F.col("framework").alias("survey_key")).distinct()
+    return validate.validate_counts(rows, D.by_key(expected, keys))[1]
+
+
 @query
 def section_totals(spark, sf):
     return D.section_totals(D.config_from_text(B.customer_config(spark, sf)))
@@ -426,14 +435,16 @@ def review_rows(spark, sf):
 
 @query
 def review_progress(spark, sf):
-    rows = views.review_rows(cut(_kept(spark, sf)[0]))
+    kept = cut(_kept(spark, sf)[0])
+    rows = views.review_rows(kept)
     state = rows.select("row", (F.col("row") % 3 == 0).alias("checked")).filter("row % 2 = 0")
-    return views.review_progress(views.review_rows(cut(_kept(spark, sf)[0]), state))
+    return views.review_progress(views.review_rows(kept, state))
 
 
 @query
 def report_table(spark, sf):
-    related = cut(B.vector_relations(spark, sf))
+    names = {name: F.concat(F.lit("Collection of vectors "), name) for name in PAIR}
+    related = cut(B.vector_relations(spark, sf).withColumns(names))
     return reports.report_table(*K.cleanup(related))
 
 

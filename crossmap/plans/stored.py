@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from crossmap.functions.relations import SEMANTIC_THRESHOLD, TOP_K
 from crossmap.operators import similarity
 from crossmap.operators.candidates import candidates
-from crossmap.operators.incremental import SETTINGS, incremental, with_settings
+from crossmap.operators.incremental import SETTINGS, contents, incremental, with_content, with_settings
 from crossmap.operators.ordering import PAIR
 from crossmap.operators.pairs import framework_pairs, in_name_order
 from crossmap.operators.sizes import broadcast_if_small, cut
@@ -29,12 +29,17 @@ CANDIDATES, RELATIONS = "candidates", "relations"
 
 
 def finished_pairs(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
-    """(framework_A, framework_B, threshold, k, run) with the last run of each pair."""
+    """(framework_A, framework_B, threshold, k, run, content) with the last run of each pair."""
     try:
         pairs = read_versioned(spark, f"{folder}/{name}_done")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return pairs.groupBy(*PAIR, *SETTINGS).agg(F.max("run").alias("run"))
+    last = [F.max("run").alias("run")]
+    if "content" in pairs.columns:
+        last.append(F.max_by("content", "run").alias("content"))
+    return pairs.groupBy(*PAIR, *SETTINGS).agg(*last)
 
 
 def stored(
@@ -45,7 +50,7 @@ def stored(
     if done is None:
         return None
     settings = (F.col("threshold") == float(threshold)) & (F.col("k") == int(k))
-    last = broadcast_if_small(done.filter(settings))
+    last = broadcast_if_small(done.filter(settings).drop("content"))
     rows = read_versioned(spark, f"{folder}/{name}").filter(settings)
     return rows.join(last, [*PAIR, *SETTINGS, "run"], "left_semi").drop(*SETTINGS, "run")
 
@@ -67,12 +72,19 @@ def update_candidates(
     threshold: float = SEMANTIC_THRESHOLD,
     k: int = TOP_K,
     force: bool = False,
+    changed: DataFrame | None = None,
+    encoding: str = "",
 ) -> DataFrame:
-    """Computes the pairs that are not finished yet, stores them, gives all candidates."""
+    """Computes the pairs that are not finished yet, stores them, gives all candidates.
+
+    A pair counts as finished only with the same requirements on both sides, the same
+    vectors where they are given, and the same `encoding`, a name for the encoder in use.
+    """
     spark = requirements.sparkSession
     sizes = similarity.framework_sizes(requirements)
     pairs = with_settings(framework_pairs(in_name_order(sizes), sources, targets), threshold, k)
-    todo = broadcast_if_small(incremental(pairs, finished_pairs(spark, folder, CANDIDATES), force))
+    pairs = with_content(pairs, contents(requirements, vectors), encoding)
+    todo = broadcast_if_small(incremental(pairs, finished_pairs(spark, folder, CANDIDATES), force, changed))
     if not todo.isEmpty():
         fresh = candidates(requirements, vectors, encoder, threshold=threshold, k=k, pairs=todo.select(*PAIR))
         _append(fresh, todo, folder, CANDIDATES, threshold, k)

@@ -126,6 +126,16 @@ def expected_counts(config: DataFrame) -> DataFrame:
     )
 
 
+def by_key(expected: DataFrame, dim: DataFrame) -> DataFrame:
+    """Expected counts under the key of each framework instead of its survey key.
+
+    Counts are configured under survey keys, requirements carry keys. A survey
+    key that no framework is registered for stays as it is.
+    """
+    known = broadcast_if_small(dim.select(F.col("survey_key").alias("framework"), "key"))
+    return expected.join(known, "framework", "left").select(F.coalesce("key", "framework").alias("framework"), "section", "expected")
+
+
 def expected_totals(config: DataFrame) -> DataFrame:
     """(framework, expected) over all sections."""
     return expected_counts(config).groupBy("framework").agg(F.sum("expected").alias("expected"))

@@ -1,8 +1,9 @@
 """Framework documents that arrive in a folder, mapped as they come.
 
 Each micro-batch is a set of new documents. Their requirements are added to
-the requirement table, then the framework pairs that are not finished yet are
-computed and stored; finished pairs are left alone.
+the requirement table, then the framework pairs that are not finished yet, and
+those of a framework that arrived again, are computed and stored. Of documents
+of the same name in one micro-batch, the last path counts.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from crossmap.operators.flatten import flatten_requirements
 from crossmap.operators.sizes import gather
 from crossmap.plans.stored import update_candidates
 from crossmap.sources.dimension import framework_dim
-from crossmap.sources.documents import decode_documents
+from crossmap.sources.documents import decode_documents, latest
 from crossmap.sources.tables import read_requirements
 
 FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -41,9 +42,11 @@ def map_arrivals(documents: DataFrame, folder: str, checkpoint: str, **options)
     def handle(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         table = f"{folder}/requirements"
-        fresh = flatten_requirements(decode_documents(batch), framework_dim(spark))
+        chosen = batch.join(latest(batch.select("framework", "path")), ["framework", "path"], "left_semi")
+        fresh = flatten_requirements(decode_documents(chosen), framework_dim(spark))
         writer = gather(fresh, "framework").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("framework").parquet(table)
-        update_candidates(read_requirements(spark, table), folder, **options)
+        changed = batch.select("framework").distinct()
+        update_candidates(read_requirements(spark, table), folder, changed=changed, **options)
 
     return documents.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)

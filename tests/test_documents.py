@@ -136,3 +136,13 @@ def test_registry(spark):
         registry.loader("unknown")
     path = "/root/testdata/sf0.001/documents.parquet"
     assert registry.loader("documents")(spark, path).count() == spark.read.parquet(path).count()
+
+
+def test_no_letter_of_a_document_is_lost(spark):
+    from crossmap.sources.tables import requirements_from_documents
+
+    texts = ["\n" + "word " * 100 + "end", "A title\n" + "y" * 500 + ". More. And more.", "Only a title " + "x" * 300]
+    rows = spark.createDataFrame([(i, t, "s", "en") for i, t in enumerate(texts)], "doc_id BIGINT, text STRING, source STRING, lang STRING")
+    for row in requirements_from_documents(rows).collect():
+        whole = " ".join(texts[int(row["id"])].split())
+        assert whole in (f"{row['title']} {row['description']}".strip(), row["description"], row["title"])

@@ -133,3 +133,22 @@ def test_arriving_documents(spark, tmp_path):
     (inbox / "c.yaml").write_text(document("t", ["backup plan"]))
     assert run() == {("a", "b"), ("a", "c"), ("b", "c")}
     assert spark.read.parquet(f"{folder}/candidates_done").count() == 3
+
+
+def test_pairs_of_changed_requirements_are_done_again(spark, tmp_path):
+    schema = "framework STRING, id STRING, title STRING, description STRING, tags ARRAY<STRING>, pos BIGINT"
+
+    def rows(text):
+        return spark.createDataFrame([("a", "1", "access control", "", [], 0), ("b", "1", text, "", [], 0)], schema)
+
+    folder = str(tmp_path)
+    assert stored.update_candidates(rows("access control"), folder, threshold=0.3).count() == 1
+    assert stored.update_candidates(rows("backup tapes"), folder, threshold=0.3).count() == 0
+    assert stored.update_candidates(rows("access control"), folder, threshold=0.3).count() == 1
+
+
+def test_unreadable_results_are_not_taken_for_missing_ones(spark, tmp_path):
+    (tmp_path / "candidates_done").mkdir()
+    with pytest.raises(Exception):
+        stored.finished_pairs(spark, str(tmp_path), "candidates")
+    assert stored.finished_pairs(spark, str(tmp_path / "none"), "candidates") is None

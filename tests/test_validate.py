@@ -38,3 +38,18 @@ def test_selectors(spark, selector, items):
     )
     selectors = spark.createDataFrame([("f", "no", selector)], ["framework", "option", "selector"])
     assert sorted(r["item"] for r in validate.expand_na(selectors, sections).collect()) == items
+
+
+def test_counts_are_looked_up_through_the_survey_key(spark):
+    from crossmap.sources import dimension
+
+    requirements = spark.createDataFrame([("iso27001", "5.1"), ("iso27001", "5.2")], ["framework", "id"])
+    expected = spark.createDataFrame([("iso27001-2022", "5", 2), ("unknown-1", "1", 1)], ["framework", "section", "expected"])
+    report = validate.validate_counts(requirements, dimension.by_key(expected, dimension.framework_dim(spark)))[1]
+    assert {r["framework"]: (r["total_parsed"], r["ok"]) for r in report.collect()} == {"iso27001": (2, True), "unknown-1": (0, False)}
+
+
+def test_all_sections_are_listed_without_a_limit(spark):
+    sections = spark.createDataFrame([("f", f"{i:02}", "missing") for i in range(40)], ["framework", "section", "status"])
+    assert len(validate.shown_sections(sections, None).first()["missing_sections"]) == 40
+    assert len(validate.shown_sections(sections).first()["missing_sections"]) == 20

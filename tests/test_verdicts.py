@@ -54,10 +54,10 @@ def test_requests_have_one_or_many_wording(spark):
     )
     many, one = V.build_requests(found, requirements).orderBy("batch_no").collect()
     assert (many["n"], one["n"]) == (10, 1)
-    assert "Pairs to score (10)" in many["text"] and "exactly 10 elements" in many["text"]
+    assert "Number of pairs: 10" in many["text"] and "an array of 10 objects" in many["text"]
     assert "0.85" in many["text"] and "0.75" in many["text"]
     assert "--- Paire 1 ---\nA (a [tag]): a0\ntext" in many["text"] and "A (a): last\n(sans description)" in many["text"]
-    assert "Pair to score" in one["text"] and "a10" in one["text"]
+    assert "Number of pairs: 1\n" in one["text"] and "One object with" in one["text"] and "a10" in one["text"]
 
 
 def test_retry_leaves_out_answered_candidates(spark):
@@ -92,3 +92,18 @@ def test_second_rounds_of_requests(spark):
     again = V.confirmation_requests(scored, requirements).collect()
     assert [(r["batch_no"], r["n"]) for r in again] == [(0, 2)]
     assert again[0]["text"].index("a1") < again[0]["text"].index("a0")
+
+
+def test_an_answer_delivered_twice_counts_once(spark):
+    keys = ("a", "b", 0)
+    requests = spark.createDataFrame([(*keys, 1)], "framework_A STRING, framework_B STRING, batch_no BIGINT, n BIGINT")
+    raw = '{"coverage_A_to_B": 0.5, "coverage_B_to_A": 0.5, "confidence": 0.5, "relation_type": "partial"}'
+    responses = spark.createDataFrame([(*keys, raw), (*keys, raw)], "framework_A STRING, framework_B STRING, batch_no BIGINT, raw STRING")
+    verdicts, failed = V.parse_responses(requests, responses)
+    assert verdicts.count() == 1 and failed.count() == 0
+
+
+def test_pairs_without_thresholds_are_classified_with_the_basic_ones(spark):
+    scored = spark.createDataFrame([("a", "b", 0.8, 0.1), ("a", "c", 0.8, 0.1)], "framework_A STRING, framework_B STRING, coverage_A_to_B DOUBLE, coverage_B_to_A DOUBLE")
+    limits = spark.createDataFrame([("a", "b", 0.95, 0.85)], "framework_A STRING, framework_B STRING, thresh_eq DOUBLE, thresh_cov DOUBLE")
+    assert {r["framework_B"]: r["relation_type"] for r in V.classify(scored, limits).collect()} == {"b": "partial", "c": "A_covers_B"}

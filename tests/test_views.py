@@ -69,3 +69,16 @@ def test_report_sheets_are_written_by_folder(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "json")).filter("framework_B = 'c'").count() == 1
     single = reports.pair_report(kept, removed)
     assert {r["sheet"] for r in single.select("sheet").distinct().collect()} == {"Mapping Results", "Removed"}
+
+
+def test_pairs_with_equal_short_names_have_sheets_of_their_own(spark):
+    from crossmap.operators import reports
+
+    names = ["anssiHygieneGuideV2", "anssiHygieneGuideV3"]
+    rows = spark.createDataFrame(
+        [(name, "1", "t", "dora", "2", "u", 0.5, 0.9, 0.9, 0.9, "equivalence", "j") for name in names],
+        "framework_A STRING, id_A STRING, title_A STRING, framework_B STRING, id_B STRING, title_B STRING, semantic_score DOUBLE, "
+        "coverage_A_to_B DOUBLE, coverage_B_to_A DOUBLE, confidence DOUBLE, relation_type STRING, justification STRING",
+    )
+    found = {(r["sheet"], r["Framework A"]) for r in reports.report_table(rows).collect()}
+    assert found == {("anssiHygiene dora", names[0]), ("anssiHygiene dora 2", names[1]), ("Global", names[0]), ("Global", names[1])}
