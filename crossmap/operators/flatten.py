@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crossmap.functions import text
@@ -33,17 +33,12 @@ def inherited_id(start):
 
 
 def flatten_requirements(nodes: DataFrame, dim: DataFrame) -> DataFrame:
-    """Requirement rows in document order.
-
-    `pos` counts inside one framework, and one framework is one document that a
-    single task has decoded, so the window never holds more than that document.
-    """
+    """Requirement rows; `pos` is the place among the document's items, as the decoder has numbered them."""
     known = broadcast_if_small(dim.select(F.col("key").alias("framework"), "section_id_prefix", "overwrite"))
     start = section_start(
         F.col("section_id_prefix").isNotNull(), F.col("section_id_prefix"), F.col("overwrite"), F.col("section")
     )
     title, description = text.title_and_description(F.col("label"), F.col("desc"))
-    document = Window.partitionBy("framework").orderBy("section_ord", "node_nums", "n")
     return (
         nodes.join(known, "framework", "left")
         .select(
@@ -52,10 +47,8 @@ def flatten_requirements(nodes: DataFrame, dim: DataFrame) -> DataFrame:
             title.alias("title"),
             description.alias("description"),
             F.filter("node_titles", lambda t: t != "").alias("tags"),
-            "section_ord", "node_nums", "n",
-            ((text.strip(F.col("label")) != "") | (text.strip(F.col("desc")) != "")).alias("_filled"),
+            "pos",
         )
-        .filter("_filled")
-        .withColumn("pos", (F.row_number().over(document) - 1).cast("bigint"))
+        .filter("pos >= 0")
         .select("framework", "id", "title", "description", "tags", "pos")
     )

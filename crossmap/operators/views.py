@@ -117,8 +117,17 @@ def review_rows(kept: DataFrame, state: DataFrame | None = None) -> DataFrame:
 
 
 def _pair_starts(sizes: DataFrame) -> DataFrame:
-    before = Window.orderBy(*PAIR).rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select(*PAIR, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    """Where each pair starts: after all pairs of earlier first frameworks, and the earlier ones of its own.
+
+    Only one row per first framework goes through a window without parts.
+    """
+    before = (Window.unboundedPreceding, -1)
+    firsts = sizes.groupBy("framework_A").agg(F.sum("_n").alias("_n"))
+    earlier = F.sum("_n").over(Window.orderBy("framework_A").rowsBetween(*before))
+    firsts = firsts.select("framework_A", F.coalesce(earlier, F.lit(0)).alias("_earlier"))
+    own = F.sum("_n").over(Window.partitionBy("framework_A").orderBy("framework_B").rowsBetween(*before))
+    placed = sizes.withColumn("_own", F.coalesce(own, F.lit(0))).join(firsts, "framework_A")
+    return placed.select(*PAIR, (F.col("_earlier") + F.col("_own")).alias("_start"))
 
 
 def review_progress(rows: DataFrame) -> DataFrame:

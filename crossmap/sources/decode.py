@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import batched
+
 import pandas as pd
 import yaml
 
@@ -9,8 +11,10 @@ Loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
 FIELDS = ("label", "desc", "prefix")
 COLUMNS = [
     "framework", "path", "section_ord", "section", "node_nums", "node_titles", "node_prefixes",
-    "n", "label", "desc", "prefix",
+    "n", "label", "desc", "prefix", "pos",
 ]
+#: Rows that leave a task at a time.
+ROWS_AT_ONCE = 4096
 
 
 def _value(node: dict, key: str) -> str:
@@ -38,14 +42,19 @@ def section_items(section: dict):
 
 
 def document_rows(framework: str, path: str, content: str):
-    sections = yaml.load(content, Loader) or {}
+    """Item rows in document order; `pos` numbers those that have a label or a description."""
+    sections, pos = yaml.load(content, Loader) or {}, 0
     for place, (key, section) in enumerate(sections.items()):
-        if isinstance(section, dict):
-            for item in section_items(section):
-                yield (framework, path, place, str(key), *item)
+        if not isinstance(section, dict):
+            continue
+        for item in sorted(section_items(section), key=lambda x: (x[0], x[3])):
+            filled = bool(item[4].strip() or item[5].strip())
+            yield (framework, path, place, str(key), *item, pos if filled else -1)
+            pos += filled
 
 
 def decode_batches(batches):
     for batch in batches:
         for document in batch.itertuples(index=False):
-            yield pd.DataFrame(list(document_rows(*document)), columns=COLUMNS)
+            for rows in batched(document_rows(*document), ROWS_AT_ONCE):
+                yield pd.DataFrame(list(rows), columns=COLUMNS)

@@ -6,7 +6,7 @@ REQUIREMENT = (
 NODE = (
     "framework STRING, path STRING, section_ord INT, section STRING, node_nums ARRAY<BIGINT>, "
     "node_titles ARRAY<STRING>, node_prefixes ARRAY<STRING>, "
-    "n BIGINT, label STRING, desc STRING, prefix STRING"
+    "n BIGINT, label STRING, desc STRING, prefix STRING, pos BIGINT"
 )
 CELL = "framework_A STRING, framework_B STRING, pos_A BIGINT, pos_B BIGINT, semantic_score DOUBLE"
 GRID = (

@@ -146,3 +146,13 @@ def test_no_letter_of_a_document_is_lost(spark):
     for row in requirements_from_documents(rows).collect():
         whole = " ".join(texts[int(row["id"])].split())
         assert whole in (f"{row['title']} {row['description']}".strip(), row["description"], row["title"])
+
+
+def test_a_long_document_is_decoded_in_batches(spark, tmp_path):
+    from crossmap.sources import decode
+    import pandas as pd
+
+    content = "1:\n  title: Long\n" + "".join(f"  {i}_label: item {i}\n" for i in range(1, 20_001))
+    batches = list(decode.decode_batches([pd.DataFrame([("long", "p", content)], columns=["framework", "path", "content"])]))
+    assert max(map(len, batches)) <= decode.ROWS_AT_ONCE and sum(map(len, batches)) == 20_000
+    assert [x for batch in batches for x in batch["pos"]] == list(range(20_000))
