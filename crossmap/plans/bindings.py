@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from crossmap.sources.tables import requirements_from_documents
 
 VECTOR_THRESHOLD = 0.20
 TERM_THRESHOLD = 0.15
+LETTERS, LETTER_THRESHOLD = "abcdefghijklmnop", 0.97
 K = 5
 DIGITS = 4
 SOURCES, TARGETS = ["0", "1", "2"], ["1", "2", "3", "4"]
@@ -24,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def letter_counts(texts: pd.Series) -> np.ndarray:
+    """An encoder that needs no model."""
+    return np.stack([texts.str.count(letter).to_numpy() for letter in LETTERS], axis=1)
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(framework, pos, embedding): the label is the framework."""
     rows = table(spark, sf_dir, "embeddings")

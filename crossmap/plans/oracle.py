@@ -117,6 +117,13 @@ found AS (SELECT *, CAST(pos_A AS VARCHAR) AS id_A, CAST(pos_B AS VARCHAR) AS id
                                          ORDER BY semantic_score DESC, pos_B) AS INT) AS rank
           FROM cells WHERE semantic_score >= 0.15 QUALIFY rank <= 5)"""
 
+LETTERS = ", ".join(f"length(content) - length(replace(content, '{letter}', ''))" for letter in "abcdefghijklmnop")
+ENCODED = f"""{DOCUMENTS},
+v AS (SELECT framework, pos, CAST([{LETTERS}] AS DOUBLE[]) AS e FROM texts),
+cells AS (SELECT a.framework AS framework_A, b.framework AS framework_B, a.pos AS pos_A, b.pos AS pos_B,
+                 round(list_cosine_similarity(a.e, b.e), 4) AS semantic_score
+          FROM v a JOIN v b ON a.framework < b.framework)"""
+
 BATCHED = """
 placed AS (SELECT *, row_number() OVER (PARTITION BY framework_A, framework_B
                                         ORDER BY semantic_score DESC, pos_A, rank) - 1 AS place FROM found),
@@ -238,6 +245,8 @@ ORACLE: dict[str, str] = {
     "cosine_topk": f"WITH {VECTORS} SELECT framework_A, framework_B, pos_A, pos_B, semantic_score, rank FROM found",
     "candidate_pairs": f"WITH {VECTORS} SELECT {KEYS}, title_A, title_B, semantic_score FROM found",
     "sparse_cosine_topk": f"WITH {DOCUMENT_PAIRS} SELECT {KEYS}, semantic_score FROM found",
+    "encoded_cosine_topk": f"""WITH {ENCODED} SELECT *, CAST(row_number() OVER (PARTITION BY framework_A, framework_B, pos_A
+        ORDER BY semantic_score DESC, pos_B) AS INT) AS rank FROM cells WHERE semantic_score >= 0.97 QUALIFY rank <= 5""",
     "framework_pairs_sym": f"WITH {VECTORS} SELECT framework_A, framework_B FROM pairs",
     "framework_pairs_asym": f"""WITH {VECTORS} SELECT DISTINCT least(a.framework, b.framework) AS framework_A,
         greatest(a.framework, b.framework) AS framework_B FROM sizes a JOIN sizes b ON a.framework <> b.framework

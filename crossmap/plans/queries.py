@@ -49,6 +49,16 @@ def sparse_cosine_topk(spark, sf):
     return B.document_candidates(spark, sf)[1].select(*CANDIDATE)
 
 
+@query
+def encoded_cosine_topk(spark, sf):
+    """The pluggable encoder on whole texts: how often each of some letters occurs."""
+    rows = B.document_requirements(spark, sf)
+    vectors = cut(similarity.embed(rows, B.letter_counts))
+    sizes = similarity.framework_sizes(vectors)
+    cells = similarity.cosine_cells(vectors, P.framework_pairs(P.in_name_order(sizes)), B.LETTER_THRESHOLD, B.K, digits=B.DIGITS, sizes=sizes)
+    return C.select_candidates(cells, B.LETTER_THRESHOLD, B.K)
+
+
 @query
 def framework_pairs_sym(spark, sf):
     return P.framework_pairs(P.frameworks_of(B.vectors(spark, sf)))
