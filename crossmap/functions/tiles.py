@@ -195,22 +195,54 @@ def tile_pairs(batches, read):
             yield name_a, name_b, last_tile, read(rows_b[i])
 
 
-def cell_job(read, cells):
-    """Arrow task that gives the wanted cells of every pair of tiles."""
+def _cells_batch(name_a, name_b, pos_a, pos_b, kept):
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.repeat(pa.scalar(name_a, pa.string()), len(kept)),
+            pa.repeat(pa.scalar(name_b, pa.string()), len(kept)),
+            pa.array(pos_a, pa.int64()),
+            pa.array(pos_b, pa.int64()),
+            pa.array(kept, pa.float64()),
+        ],
+        names=["framework_A", "framework_B", "pos_A", "pos_B", "semantic_score"],
+    )
+
+
+def merged_best(first, second, k):
+    """The k best cells of every row from two sets of (rows, positions, scores); equal scores by position."""
+    rows, pos, kept = (np.concatenate(x) for x in zip(first, second))
+    order = np.lexsort((pos, -kept, rows))
+    rows, pos, kept = rows[order], pos[order], kept[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    return tuple(x[place < k] for x in (rows, pos, kept))
+
+
+def cell_job(read, cells, k=None):
+    """Arrow task that gives the wanted cells of every pair of tiles.
+
+    With k, the k best of each row are kept while the task stays with a tile of
+    A, whatever the number of B tiles it meets, and leave the task once.
+    """
 
     def run(batches):
+        held, name, tile = {}, None, None
+
+        def flush():
+            for name_b, (rows, pos, kept) in held.items():
+                yield _cells_batch(name, name_b, tile[0][rows], pos, kept)
+            held.clear()
+
         for name_a, name_b, tile_a, tile_b in tile_pairs(batches, read):
+            if tile_a is not tile:
+                yield from flush()
+                name, tile = name_a, tile_a
             for rows, columns, kept in cells(tile_a, tile_b):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.repeat(pa.scalar(name_a, pa.string()), len(kept)),
-                        pa.repeat(pa.scalar(name_b, pa.string()), len(kept)),
-                        pa.array(tile_a[0][rows], pa.int64()),
-                        pa.array(tile_b[0][columns], pa.int64()),
-                        pa.array(kept, pa.float64()),
-                    ],
-                    names=["framework_A", "framework_B", "pos_A", "pos_B", "semantic_score"],
-                )
+                if k is None:
+                    yield _cells_batch(name_a, name_b, tile_a[0][rows], tile_b[0][columns], kept)
+                else:
+                    found = rows, tile_b[0][columns], kept
+                    held[name_b] = merged_best(held[name_b], found, k) if name_b in held else found
+        yield from flush()
 
     return run
 

@@ -136,6 +136,14 @@ def _add_tile(work: DataFrame, blocks: DataFrame, letter: str, other: str, copie
     return work.join(side, keys).drop("_copy")
 
 
+def _by_tile(work: DataFrame, tiles: int, parts: int) -> DataFrame:
+    """The list of tile pairs with those of a tile of A next to each other, in as many runs as keep all cores busy."""
+    runs = -(-parts * TASKS_PER_CORE // max(tiles, 1))
+    run = F.pmod(F.xxhash64("framework_B", "block_B"), F.lit(runs))
+    tile = ["framework_A", "block_A"]
+    return work.repartition(parts, *tile, run).sortWithinPartitions(*tile, "framework_B")
+
+
 def paired_tiles(vectors: DataFrame, pairs: DataFrame, payload: str, layout: Layout) -> DataFrame:
     """Every pair of tiles of every framework pair, one row each.
 
@@ -150,7 +158,8 @@ def paired_tiles(vectors: DataFrame, pairs: DataFrame, payload: str, layout: Lay
     each_b = F.explode(F.sequence(F.lit(0), F.col("blocks_B") - 1)).alias("block_B")
     work = counted.select("framework_A", "framework_B", "blocks_B", each_a)
     if layout.fits_broadcast:
-        work = work.select("framework_A", "block_A", "framework_B", each_b).repartition(parts)
+        work = work.select("framework_A", "block_A", "framework_B", each_b)
+        work = _by_tile(work, layout.tiles, parts)
         blocks, copies = F.broadcast(blocks), 1
     else:
         work = work.repartition(parts).select("framework_A", "block_A", "framework_B", each_b)
@@ -173,7 +182,7 @@ def cosine_cells(
 ) -> DataFrame:
     """Cells from the threshold up that hold the k best of each row, for (framework, pos, embedding)."""
     best = partial(tiles.dense_best, threshold=threshold, k=k, digits=digits)
-    return _dense_pairs(vectors, pairs, rows, sizes).mapInArrow(tiles.cell_job(tiles.dense_tile, best), CELL)
+    return _dense_pairs(vectors, pairs, rows, sizes).mapInArrow(tiles.cell_job(tiles.dense_tile, best, k), CELL)
 
 
 def term_cells(
@@ -184,7 +193,7 @@ def term_cells(
     sizes = framework_sizes(vectors) if sizes is None else sizes
     paired = paired_tiles(vectors, pairs, "terms", _layout(sizes, rows, BYTES_PER_LETTER))
     best = partial(tiles.term_best, threshold=threshold, k=k, digits=digits)
-    return paired.mapInArrow(tiles.cell_job(tiles.term_tile, best), CELL)
+    return paired.mapInArrow(tiles.cell_job(tiles.term_tile, best, k), CELL)
 
 
 def display_cells(vectors: DataFrame, pairs: DataFrame, names: DataFrame, digits: int = DIGITS) -> DataFrame:

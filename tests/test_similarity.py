@@ -174,3 +174,20 @@ def test_pluggable_encoder(spark):
     found = C.candidates(requirements, encoder=encoder, threshold=0.9, k=2)
     assert found.count() > 0
     assert found.groupBy("framework_A", "framework_B", "pos_A").count().filter("count > 2").count() == 0
+
+
+def test_cells_are_merged_inside_a_task(spark):
+    import numpy as np
+
+    from crossmap.operators import similarity
+
+    source = np.random.default_rng(4)
+    rows = [(name, i, source.normal(size=6).tolist()) for name in "ab" for i in range(64)]
+    vectors = spark.createDataFrame(rows, "framework STRING, pos BIGINT, embedding ARRAY<DOUBLE>")
+    pairs = spark.createDataFrame([("a", "b")], ["framework_A", "framework_B"])
+    cells = similarity.cosine_cells(vectors, pairs, -1.0, 3, rows=8).collect()
+    unit = {name: np.array([v / np.linalg.norm(v) for n, _, v in rows if n == name]) for name in "ab"}
+    scores = unit["a"] @ unit["b"].T
+    wanted = {(i, int(j)) for i in range(64) for j in np.argsort(-scores[i])[:3]}
+    assert wanted <= {(c["pos_A"], c["pos_B"]) for c in cells}
+    assert len(cells) <= 64 * 3 * 4  # runs of tiles of B for a tile of A, not one set of cells for each of 8 tiles
