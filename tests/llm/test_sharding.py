@@ -1,8 +1,6 @@
 import random
 import zlib
 
-import pytest
-
 from crossmap.llm import queries, sharding
 from tests.llm import data
 
