@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from tempfile import mkdtemp
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,7 +58,7 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local["):
+        if folder is None and not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=eager)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from tempfile import mkdtemp
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +16,8 @@ def spark_session() -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", mkdtemp(prefix="checkpoints-"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
