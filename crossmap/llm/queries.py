@@ -103,3 +103,37 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.w::DOUBLE[], c.w
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LETTERS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_SPACED = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+
+ORACLE["op3_near_duplicates"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, w[s:s + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS s FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (SELECT a, b FROM ways UNION SELECT r.doc_id, e.b FROM reached r JOIN ways e ON e.a = r.other),
+smallest AS (SELECT doc_id, min(other) AS other FROM reached GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(s.other, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(s.other, d.doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN smallest s USING (doc_id)
+"""
+
+ORACLE["op4_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_LETTERS} AS w FROM documents),
+i AS (SELECT item_id, {_LETTERS} AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, l, w[s:s + l - 1] AS g
+            FROM (SELECT item_id, w, least(10, len(w)) AS l, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM i WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT l FROM windows),
+places AS (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS s FROM d CROSS JOIN lengths WHERE len(w) >= l),
+hits AS (SELECT doc_id, p.l, s, item_id FROM places p JOIN windows x ON x.l = p.l AND x.g = p.w[s:s + p.l - 1]),
+marked AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(s, s + l)) AS at FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+          FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

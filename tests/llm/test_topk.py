@@ -3,8 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from crossmap.llm import queries, topk
-from tests.compare import compare, database
+from crossmap.llm import topk
 from tests.llm import data
 
 
@@ -57,8 +56,3 @@ def test_ties_and_few_candidates(spark):
     assert found(spark, rows) == brute(rows)
     assert found(spark, rows[:3]) == brute(rows[:3]) and found(spark, rows[:1]) == []
     assert found(spark, [(1, [1.0])]) == [] == topk.top_k(*[topk.integer_vectors(vectors(spark, rows).limit(0))] * 2).collect()
-
-
-def test_registered(spark):
-    name = "op9_topk"
-    assert compare(spark, database(data.SMALL), queries.REGISTERED[name], queries.ORACLE[name], data.SMALL) == ""
