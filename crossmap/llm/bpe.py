@@ -20,7 +20,7 @@ import regex
 from crossmap.llm.common import Words
 
 #: Distinct strings that a worker remembers, and the longest one that it does.
-REMEMBERED, LONGEST = 600_000, 64
+REMEMBERED, LONGEST = 200_000, 48
 _NONE = np.int32(np.iinfo(np.int32).max)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Bytes of text that a task works on at a time; one longer text is one slice.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,7 @@ def slices(batches: Iterable[pa.RecordBatch], name: str, most: int = SLICE_BYTES
             end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, end - start)
             before, start = int(ends[end - 1]), end
+            pa.default_memory_pool().release_unused()
 
 
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:

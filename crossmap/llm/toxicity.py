@@ -22,6 +22,7 @@ result; further columns can have any names.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -63,12 +64,16 @@ def _features(word: bytes) -> list[int]:
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Distinct features of each text, one after the other, and how many each has."""
     words = Words(pc.utf8_lower(texts.cast(pa.string())))
-    lists = [_features(x) for x in words.distinct]
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat, firsts = np.array([x for row in lists for x in row], np.int64), np.cumsum(sizes) - sizes
+    n = len(words.distinct)
+    flat, sizes = array("q"), np.zeros(n, np.int64)
+    for i, word in enumerate(words.distinct):
+        own = _features(word)
+        sizes[i] = len(own)
+        flat.extend(own)
+    flat, firsts = np.frombuffer(flat, np.int64) if flat else np.zeros(0, np.int64), np.cumsum(sizes) - sizes
     row = np.repeat(np.arange(len(words.counts)), words.counts)
-    pairs = np.unique(row * len(lists) + words.codes) if len(row) else np.zeros(0, np.int64)
-    row, code = (pairs // max(1, len(lists)), pairs % max(1, len(lists)))
+    pairs = np.unique(row * n + words.codes) if len(row) else np.zeros(0, np.int64)
+    row, code = (pairs // max(1, n), pairs % max(1, n))
     each = sizes[code]
     ends = np.cumsum(each)
     found = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(firsts[code] - ends + each, each)]
