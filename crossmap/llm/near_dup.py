@@ -49,7 +49,7 @@ ERRORS = 6
 #: Identifiers of documents to look up that may be broadcast; beyond it both sides are shuffled.
 BROADCAST_IDS = 1_000_000
 #: Members up to which a bucket is compared pair by pair; larger ones are compared in cells of so many shingles a side.
-SMALL, CELL = 32, 1 << 20
+SMALL, CELL = 32, 1 << 18
 #: Pairs with one leader that share a copy of its set.
 PER_COPY = 500
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
