@@ -48,24 +48,22 @@ class EliasFano:
         n = len(values)
         top = int(values[-1]) if n else 0
         width = min(56, max(0, (top // max(n, 1)).bit_length() - 1))
-        mask = np.uint64((1 << width) - 1)
-        low = (values & mask)[:, None] >> np.arange(width, dtype=np.uint64)[None, :] & np.uint64(1) if width else np.zeros((n, 0), np.uint64)
+        low = np.unpackbits(values.astype("<u8").view(np.uint8).reshape(n, 8), axis=1, bitorder="little")[:, :width]
         high = (values >> np.uint64(width)).astype(np.int64)
         bits = np.zeros(n + (top >> width) + 1, np.uint8)
         bits[high + np.arange(n)] = 1
-        packed = np.packbits(low.astype(np.uint8).reshape(-1), bitorder="little")
+        packed = np.packbits(low.reshape(-1), bitorder="little")
         return {f"{name}.low": np.concatenate((packed, np.zeros(8, np.uint8))), f"{name}.high": np.packbits(bits, bitorder="little"), f"{name}.shape": np.array([n, width, len(bits)], np.int64)}
 
     def __init__(self, levels: Levels, name: str):
         self.n, self.width, bits = (int(x) for x in levels[f"{name}.shape"])
         low = levels[f"{name}.low"]
         self.low = np.ndarray((max(len(low) - 7, 1),), "<u8", low, strides=(1,))
-        ones = np.flatnonzero(np.unpackbits(levels[f"{name}.high"], count=bits, bitorder="little")).astype(np.int64)
+        high = np.unpackbits(levels[f"{name}.high"], count=bits, bitorder="little")
         self.buckets = bits - self.n
-        high = ones - np.arange(self.n)
-        #: Where the values of each bucket of high bits begin.
-        self.first = np.searchsorted(high, np.arange(self.buckets + 1))
-        self.high = high
+        #: Where the values of each bucket of high bits begin: a bucket ends at its 0.
+        self.first = np.concatenate(([0], np.flatnonzero(high == 0) - np.arange(self.buckets)))
+        self.high = np.flatnonzero(high) - np.arange(self.n)
 
     def _low(self, at: np.ndarray) -> np.ndarray:
         bit = at * self.width
