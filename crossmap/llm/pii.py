@@ -20,6 +20,7 @@ import re
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -113,16 +114,16 @@ _NUMBER = "|".join(_NUMBERS)
 #: White space is taken from its first character only, so that long runs of it are passed over once.
 _GAP = r"(?:(?<!\s)\s+)?"
 _OPEN, _CLOSE = r"[\[({<]\s*", r"\s*[\])}>]"
-#: One disguise: a mark in brackets, a written @ or . between white space, or a spelled digit in a run of at least three.
+#: One disguise: a mark in brackets, a written @ or . between white space, or spelled digits.
+#: It is itself the test whether a text is rewritten; what is looked at first are the characters that can begin one.
 _DISGUISE = re.compile(
-    rf"{_GAP}{_OPEN}(?P<at>at|@){_CLOSE}\s*|{_GAP}{_OPEN}(?P<dot>dot|\.){_CLOSE}\s*"
+    rf"(?=[\s\[({{<])(?:{_GAP}{_OPEN}(?:(?P<at>at|@)|(?P<dot>dot|\.)){_CLOSE}\s*"
     rf"|(?<=[A-Za-z0-9_%+-])\s+(?P<at2>at)\s+(?=[A-Za-z0-9-]+(?:\s+dot\s+|\s*{_OPEN}dot{_CLOSE}\s*)[A-Za-z0-9-])"
-    rf"|(?<=[A-Za-z0-9-])\s+(?P<dot2>dot|point)\s+(?=[A-Za-z0-9-])"
-    rf"|\b(?P<plus>plus)\s+(?=(?:{_NUMBER}|[0-9]+)\b)"
-    rf"|\b(?P<run>(?:{_NUMBER})(?:[\s-]+(?:{_NUMBER}|[0-9]+))*)\b",
+    rf"|(?<=[A-Za-z0-9-])\s+(?P<dot2>dot|point)\s+(?=[A-Za-z0-9-]))"
+    rf"|(?=[zotfsenp])\b(?:(?P<plus>plus)\s+(?=(?:{_NUMBER}|[0-9]+)\b)"
+    rf"|(?P<run>(?:{_NUMBER})(?:[\s-]+(?:{_NUMBER}|[0-9]+))*)\b)",
     re.IGNORECASE,
 )
-_HINT = re.compile(rf"[\[({{<]\s*(?:at|dot|@|\.)\s*[\])}}>]|\sdot\s|\b(?:{_NUMBER})[\s-]+(?:{_NUMBER}|[0-9]|dot\b|point\b)", re.IGNORECASE)
 _SPELLED = re.compile(rf"(?:{_NUMBER})|[0-9]+", re.IGNORECASE)
 _ODD = re.compile("[" + "".join(map(re.escape, [*_LOOKALIKES, *_INVISIBLE])) + "！-～٠-٩۰-۹߀-߉०-९]")
 
@@ -199,11 +200,7 @@ class Normalised:
             elif m["plus"]:
                 put("+", m.start("plus"), m.end("plus"))
             else:
-                marks = list(_SPELLED.finditer(self.text, m.start("run"), m.end("run")))
-                if len(marks) < 2 and not (self.text[m.end():m.end() + 1].isspace() or pieces and pieces[-1] in ".+"):
-                    copy(m.start(), m.end())
-                    continue
-                for x in marks:
+                for x in _SPELLED.finditer(self.text, m.start("run"), m.end("run")):
                     if x[0].lower() in _NUMBERS:
                         put(_NUMBERS[x[0].lower()], x.start(), x.end())
                     else:
@@ -220,13 +217,16 @@ def spans(text: str) -> tuple[list[Span], list[Span]]:
     copy, more = (Normalised(text) if odd else None), []
     if copy:
         more.append(copy)
-    if _HINT.search(copy.text if copy else text):
+    if _DISGUISE.search(copy.text if copy else text):
         more.append((copy or _identity(text)).rewritten())
     added: list[Span] = []
     for variant in more:
+        known = {kind: sorted((a, b) for k, a, b in base + added if k == kind) for kind in KINDS}
+        reach = {kind: list(accumulate((b for _, b in own), max)) for kind, own in known.items()}
         for kind, start, end in plain_spans(variant.text):
             a, b = variant.source_span(start, end)
-            if not any(k == kind and not (b <= x or y <= a) and (x <= a and b <= y) for k, x, y in base + added):
+            before = bisect_right(known[kind], a, key=lambda s: s[0])
+            if not before or reach[kind][before - 1] < b:
                 added.append((kind, a, b))
     return base, sorted(added, key=lambda s: (KINDS.index(s[0]), s[1]))
 

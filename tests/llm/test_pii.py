@@ -58,6 +58,35 @@ def test_disguises_map_back_to_the_source(text, kind, wanted):
     assert pii.masked(text) == text.replace(wanted, f"<{kind}>")
 
 
+@pytest.mark.parametrize("text, kind, wanted", [
+    ("write jane [at] example.com", "email", "jane [at] example.com"),
+    ("write jane {@} example.com", "email", "jane {@} example.com"),
+    ("write jane@example (dot) com", "email", "jane@example (dot) com"),
+    ("write jane@example <.> com", "email", "jane@example <.> com"),
+    ("write jane at example dot com", "email", "jane at example dot com"),
+    ("write jane@example dot com", "email", "jane@example dot com"),
+    ("write jane@example point com", "email", "jane@example point com"),
+    ("host 10 point 0 point 0 point 1", "ip", "10 point 0 point 0 point 1"),
+    ("call plus 49 171 555 0123", "phone", "plus 49 171 555 0123"),
+    ("call plus four 9171 555 0123", "phone", "plus four 9171 555 0123"),
+    ("call +49 171 555 013 two now", "phone", "+49 171 555 013 two"),
+    ("call +49 171 555 013 two.", "phone", "+49 171 555 013 two"),
+    ("call +49 171 555 013-two", "phone", "+49 171 555 013-two"),
+    ("host 10.0.0.one", "ip", "10.0.0.one"),
+    ("host one.0.0.1", "ip", "one.0.0.1"),
+    ("call +49 171 55 oh one two three", "phone", "+49 171 55 oh one two three"),
+])
+def test_every_disguise_is_found_where_it_is_the_only_one(text, kind, wanted):
+    assert [(k, text[a:b]) for k, a, b in pii.spans(text)[1]] == [(kind, wanted)]
+    assert pii.masked(text) == text.replace(wanted, f"<{kind}>")
+
+
+def test_time_grows_with_the_number_of_identifiers():
+    start = time.time()
+    base, added = pii.spans("a@b.com " * 40_000 + "plus 49 171 555 0123, " * 40_000)
+    assert len(base) == len(added) == 40_000 and time.time() - start < 20
+
+
 @pytest.mark.parametrize("text", ["look at the dot", "look at example.com", "one two three", "meet me at five dot", "we are at home. dot com", "Größe außen, señor; où?", "", "at dot at dot", "one of (at least) two"])
 def test_clean_texts_stay(text):
     assert pii.spans(text) == ([], []) and pii.masked(text) == text
