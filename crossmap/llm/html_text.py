@@ -7,8 +7,8 @@ has a high ratio. Ratios are smoothed along the page, so that a heading or a
 short line between paragraphs shares its neighbours' ratio, text and
 punctuation ratios are multiplied (fused), and the paths above a threshold are
 content. The article is the smallest container around most of the content's
-text; its blocks are the result, without the parts that are marked as menu,
-notice, advert, form, comment and the like.
+text; its blocks and the content outside it are the result, without the parts
+that are marked as menu, notice, advert, form, comment and the like.
 
 Defined cases: null or empty pages and pages without content have an empty
 text; unclosed, wrongly nested and cut tags are taken as browsers do roughly;
@@ -185,7 +185,7 @@ def content_blocks(page: Page) -> list[Block]:
     if not core:
         return []
     root = _container(page, core)
-    return [b for b in own if root in b.path and not _header(page, b, root)]
+    return [b for b, k in zip(own, kinds) if (root in b.path or k in chosen) and not _header(page, b, root)]
 
 
 def _smoothed(values: list[float]) -> list[float]:
@@ -216,7 +216,9 @@ def _container(page: Page, core: list[Block]) -> int:
 
 def _header(page: Page, block: Block, root: int) -> bool:
     """Inside a page header: a header element outside an article."""
-    inside = block.path[:block.path.index(root) + 1] if page.names[root] in ("article", "main") else block.path
+    named = [e for e in block.path if page.names[e] in ("article", "main")]
+    last = root if root in named else named[0] if named else block.path[-1]
+    inside = block.path[:block.path.index(last) + 1]
     return any(page.names[e] == "header" for e in inside)
 
 

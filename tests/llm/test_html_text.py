@@ -22,6 +22,26 @@ def test_only_the_article_is_left(around):
     assert html_text.main_text(page) == "First paragraph of the story, with bold words; it goes on. Yes. Another long paragraph, which says more, and more."
 
 
+LONG = "".join(f"<p>Paragraph {i} of the long body, which goes on, and on; it says more.</p>" for i in range(30))
+LAST = "<p>The last paragraph, which closes the story, and ends it.</p>"
+
+
+@pytest.mark.parametrize("page", [
+    "<div><div>{}</div><div>{}</div></div>",
+    "<div><div>{}</div><div><div>{}</div></div></div>",
+    "<section>{}</section><section>{}</section>",
+    "<table><tr><td>{}</td><td>{}</td></tr></table>",
+    "<main><article>{}</article><section>{}</section></main>",
+    "<main>{}</main><div>{}</div>",
+    "<article>{}</article><article>{}</article>",
+    "<article>{}</article><article><header>{}</header></article>",
+])
+@pytest.mark.parametrize("first, second", [(LONG, LAST), (LAST, LONG)])
+def test_short_parts_beside_the_container_stay(page, first, second):
+    wanted = " ".join(re.sub("<[^>]*>", " ", first + second).split())
+    assert html_text.main_text("<html><body>" + page.format(first, second) + "</body></html>") == wanted
+
+
 def test_references_white_space_and_cut_pages():
     assert html_text.main_text("<article><h1>A &amp; B</h1><p>One\n  two&nbsp;&eacute;, and three.<p>Four <br> five") == "A & B One two é, and three. Four five"
     assert html_text.main_text("<article><p>a &lt;b&gt; c, d.</p><!-- not this --></article") == "a <b> c, d."
