@@ -2,11 +2,12 @@
 
 First the plain patterns are looked for in the text as it is. Then transducers
 write a normalised copy and keep the source offset of each of its characters:
-look-alike letters, full-width and other decimal digits become ASCII, invisible
-characters vanish, `[at]`, `(dot)` and words between white space become @ and .,
-spelled digits become digits. The same patterns are looked for in the copy, and
-what they find is mapped back to spans of the source. A span that the
-plain patterns already cover adds nothing; plain spans always stay.
+look-alike and mathematical letters, full-width characters and all decimal digits
+become ASCII, invisible characters vanish, `[at]`, `(dot)` and words between
+white space become @ and ., spelled digits become digits. The same patterns are
+looked for in the copy, and what they find is mapped back to spans of the
+source. A span that the plain patterns already cover adds nothing; plain spans
+always stay.
 
 Defined cases: a null text counts as empty and has no spans; equal rows give
 equal rows; an empty table gives an empty result; texts of any length are
@@ -98,7 +99,8 @@ _LOOKALIKES = {
 _INVISIBLE = "­​‌‍⁠﻿"
 
 
-def _single(char: str) -> str:
+def _ascii(char: str) -> str | None:
+    """What stands for the character in the normalised text; None if it stays."""
     if char in _LOOKALIKES:
         return _LOOKALIKES[char]
     if char in _INVISIBLE:
@@ -106,7 +108,17 @@ def _single(char: str) -> str:
     if 0xFF01 <= ord(char) <= 0xFF5E:
         return chr(ord(char) - 0xFEE0)
     digit = unicodedata.decimal(char, None)
-    return char if digit is None else str(digit)
+    if digit is not None:
+        return str(digit)
+    if unicodedata.decomposition(char).startswith("<font>"):  # mathematical letters
+        plain = unicodedata.normalize("NFKC", char)
+        plain = _LOOKALIKES.get(plain, plain)
+        return plain if plain.isascii() else None
+    return None
+
+
+#: All characters that do not stay; the planes that hold digits and letters are the first two.
+_SINGLE = {char: to for char in map(chr, range(0x80, 0x20000)) if (to := _ascii(char)) is not None}
 
 
 _NUMBERS = {word: str(i) for i, word in enumerate("zero one two three four five six seven eight nine".split())} | {"oh": "0"}
@@ -125,7 +137,8 @@ _DISGUISE = re.compile(
     re.IGNORECASE,
 )
 _SPELLED = re.compile(rf"(?:{_NUMBER})|[0-9]+", re.IGNORECASE)
-_ODD = re.compile("[" + "".join(map(re.escape, [*_LOOKALIKES, *_INVISIBLE])) + "！-～٠-٩۰-۹߀-߉०-९]")
+#: Characters of the first plane that do not stay, and all of the second one, of which some do.
+_ODD = re.compile("[" + "".join(re.escape(c) for c in _SINGLE if ord(c) < 0x10000) + "\U00010000-\U0001FFFF]")
 
 
 class Normalised:
@@ -148,8 +161,10 @@ class Normalised:
                 length += len(text)
 
         for m in _ODD.finditer(source):
+            if m[0] not in _SINGLE:
+                continue
             add(source[at:m.start()], at, m.start(), True)
-            add(_single(m[0]), m.start(), m.end(), False)
+            add(_SINGLE[m[0]], m.start(), m.end(), False)
             at = m.end()
         add(source[at:], at, len(source), True)
         self.text = "".join(pieces)

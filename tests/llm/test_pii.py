@@ -1,7 +1,9 @@
 import hashlib
 import random
 import re
+import sys
 import time
+import unicodedata
 
 import pytest
 from hypothesis import given, settings
@@ -81,6 +83,24 @@ def test_every_disguise_is_found_where_it_is_the_only_one(text, kind, wanted):
     assert pii.masked(text) == text.replace(wanted, f"<{kind}>")
 
 
+@pytest.mark.parametrize("text, kind, wanted", [
+    ("on ๑๙๒.๑๖๘.๐.๑ now", "ip", "๑๙๒.๑๖๘.๐.๑"),
+    ("card ৪১১১ ১১১১ ১১১১ ১১১১ now", "card", "৪১১১ ১১১১ ১১১১ ১১১১"),
+    ("call +𝟒𝟗 𝟙𝟟𝟙 𝟻𝟻𝟻 𝟶𝟷𝟸𝟹 now", "phone", "+𝟒𝟗 𝟙𝟟𝟙 𝟻𝟻𝟻 𝟶𝟷𝟸𝟹"),
+    ("mail 𝐣𝐚𝐧𝐞@𝕖𝕩𝕒𝕞𝕡𝕝ℯ.𝖈𝖔𝖒 now", "email", "𝐣𝐚𝐧𝐞@𝕖𝕩𝕒𝕞𝕡𝕝ℯ.𝖈𝖔𝖒"),
+    ("mail j𝛂ne@example.com 🎉", "email", "j𝛂ne@example.com"),
+    ("🎉 host 𝑜𝑛𝑒 dot 𝟸 dot 3 dot ๔ now", "ip", "𝑜𝑛𝑒 dot 𝟸 dot 3 dot ๔"),
+])
+def test_digits_and_letters_of_other_scripts(text, kind, wanted):
+    added = [(k, text[a:b]) for k, a, b in pii.spans(text)[1]]
+    assert added == [(kind, wanted)] and pii.masked(text).count(f"<{kind}>") == 1
+
+
+def test_all_decimal_digits_become_ascii():
+    digits = [c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.decimal(c, None) is not None]
+    assert pii.Normalised("".join(digits)).text == "".join(str(unicodedata.decimal(c)) for c in digits)
+
+
 def test_time_grows_with_the_number_of_identifiers():
     start = time.time()
     base, added = pii.spans("a@b.com " * 40_000 + "plus 49 171 555 0123, " * 40_000)
