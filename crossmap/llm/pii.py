@@ -130,7 +130,7 @@ _OPEN, _CLOSE = r"[\[({<]\s*", r"\s*[\])}>]"
 #: It is itself the test whether a text is rewritten; what is looked at first are the characters that can begin one.
 _DISGUISE = re.compile(
     rf"(?=[\s\[({{<])(?:{_GAP}{_OPEN}(?:(?P<at>at|@)|(?P<dot>dot|\.)){_CLOSE}\s*"
-    rf"|(?<=[A-Za-z0-9_%+-])\s+(?P<at2>at)\s+(?=[A-Za-z0-9-]+(?:\s+dot\s+|\s*{_OPEN}dot{_CLOSE}\s*)[A-Za-z0-9-])"
+    rf"|(?<=[A-Za-z0-9_%+-])\s+(?P<at2>at)\s+(?=[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?:\s+dot\s+|\s*{_OPEN}dot{_CLOSE}\s*)[A-Za-z0-9-])"
     rf"|(?<=[A-Za-z0-9-])\s+(?P<dot2>dot|point)\s+(?=[A-Za-z0-9-]))"
     rf"|(?=[zotfsenp])\b(?:(?P<plus>plus)\s+(?=(?:{_NUMBER}|[0-9]+)\b)"
     rf"|(?P<run>(?:{_NUMBER})(?:[\s-]+(?:{_NUMBER}|[0-9]+))*)\b)",

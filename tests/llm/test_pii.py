@@ -96,6 +96,20 @@ def test_digits_and_letters_of_other_scripts(text, kind, wanted):
     assert added == [(kind, wanted)] and pii.masked(text).count(f"<{kind}>") == 1
 
 
+@pytest.mark.parametrize("text, wanted", [
+    ("mail jane at mail.example dot com now", "jane at mail.example dot com"),
+    ("mail jane at a.mail.example [dot] co.uk now", "jane at a.mail.example [dot] co.uk"),
+    ("mail jane at mail.example dot co dot uk now", "jane at mail.example dot co dot uk"),
+])
+def test_written_at_before_literal_and_written_dots(text, wanted):
+    assert [(k, text[a:b]) for k, a, b in pii.spans(text)[1]] == [("email", wanted)]
+
+
+@pytest.mark.parametrize("text", ["john at example.com", "look at mail.example.com", "look at example.com. dot com", "look at example.com and dot", "at " + "a." * 50_000, "x at " * 50_000 + "a.b"])
+def test_written_at_before_a_plain_domain_stays(text):
+    assert pii.spans(text) == ([], [])
+
+
 def test_all_decimal_digits_become_ascii():
     digits = [c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.decimal(c, None) is not None]
     assert pii.Normalised("".join(digits)).text == "".join(str(unicodedata.decimal(c)) for c in digits)
