@@ -15,7 +15,8 @@ hash of the identifier, in one task of bounded memory; every document is scored.
 
 Defined cases: null and empty texts have no features and get the severity of
 the thresholds alone; labels that are null or without a document are not used;
-a document labelled twice is toxic if one label says so; without toxic labels
+a document labelled twice is toxic if one label says so; of rows with the same
+identifier one is fitted, that with the smallest features; without toxic labels
 nothing is toxic; equal rows give equal rows; an empty table gives an empty
 result; further columns can have any names.
 """
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from crossmap.llm.common import Words, column, free_name, slices, with_fields
 
-#: Bound of the fitted sample, in documents and in bytes of text taken into one task at a time.
+#: Bound of the fitted sample, in documents; each is taken once, as its distinct features.
 SAMPLE = 20_000
 BITS = 20
 #: Steps of length (doublings of the number of words), numbered after the hashed features.
@@ -168,13 +169,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marked = labels.select(column(labels, id_col).alias("id"), column(labels, toxic_col).alias("toxic")).filter("id is not null and toxic is not null")
     marked = marked.groupBy("id").agg((F.max("toxic") > 0).alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(sample)
     rows = docs.select(column(docs, id_col).alias("id"), column(docs, text_col).alias("text"))
-    chosen = rows.join(F.broadcast(marked), "id").select("text", "toxic")
+    chosen = rows.join(F.broadcast(marked), "id").select("id", "text", "toxic")
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             found, counts = features(part.column("text"))
             parts = [x.astype(np.int32).tobytes() for x in np.split(found, np.cumsum(counts)[:-1])]
-            yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(parts, pa.binary())], ["toxic", "found"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("toxic"), pa.array(parts, pa.binary())], ["id", "toxic", "found"])
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, found = [], []
@@ -187,7 +188,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         keys = [*(-1 - i for i in range(GRADES)), *model.weights]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([*model.thresholds, *model.weights.values()], pa.float64())], ["feature", "weight"])
 
-    gathered = chosen.mapInArrow(sparse, "toxic boolean, found binary").repartition(1).sortWithinPartitions("found", "toxic")
+    found = chosen.mapInArrow(sparse, with_fields(chosen.select("id").schema, "toxic boolean, found binary"))
+    once = found.groupBy("id").agg(F.max("toxic").alias("toxic"), F.min("found").alias("found")).select("toxic", "found")
+    gathered = once.repartition(1).sortWithinPartitions("found", "toxic")
     pairs = {row[0]: row[1] for row in gathered.mapInArrow(train, "feature bigint, weight double").collect()}
     return Model({k: v for k, v in pairs.items() if k >= 0}, [pairs.get(-1 - i, 60.0 + i) for i in range(GRADES)])
 

@@ -53,6 +53,13 @@ def test_repeated_documents_and_double_labels(spark):
     assert once.filter("doc_id = 0").count() == 0 and once.filter("doc_id = 1").count() == 2
 
 
+def test_copies_of_a_document_are_fitted_once(spark):
+    documents = rows()
+    copies = documents + [documents[3]] * 400 + [documents[4]] * 100
+    once, often = (toxicity.fit(data.documents(spark, x).repartition(5), labels(spark, documents)) for x in (documents, copies))
+    assert once.weights and once == often
+
+
 def test_gradient_is_that_of_the_likelihood():
     source = np.random.default_rng(1)
     n = 400
