@@ -47,6 +47,8 @@ DISCOUNT = 0.75
 HOT_SHARE = 1024
 #: Training tokens per trie, from which the number of tries follows.
 TOKENS_PER_TRIE = 2_000_000
+#: Bytes of text per range of hashed words, from which the number of those ranges follows.
+BYTES_PER_RANGE = 32 << 20
 END, START = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b"\n", b"\r"))
 _ANSWER = "chunk string, part int, answer binary"
 
@@ -316,7 +318,8 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     spark = df.sparkSession
     rows = df.select(column(df, id_col).alias("id"), column(df, text_col).alias("text"))
-    word_bits = _range_bits(shuffle_partitions(spark))
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    word_bits = _range_bits(max(shuffle_partitions(spark), -(-size // BYTES_PER_RANGE)))
     asked = rows.mapInArrow(_word_requests(word_bits), "chunk string, part int, asked binary")
     words = checkpointed(asked.groupBy("part").applyInArrow(_word_answers, _ANSWER))
     total = distinct = 0

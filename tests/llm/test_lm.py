@@ -59,6 +59,15 @@ def test_small_chunks_and_many_tries_give_the_same(spark, monkeypatch):
     check(lm.score_texts(data.documents(spark, documents).repartition(3, "doc_id")), documents)
 
 
+def test_word_ranges_follow_the_input(spark, monkeypatch):
+    documents = [(i, f"w{i % 5} of the w{i % 7} and of the w{i % 3}") for i in range(200)]
+    bits, requests = [], lm._word_requests
+    monkeypatch.setattr(lm, "_word_requests", lambda n: bits.append(n) or requests(n))
+    monkeypatch.setattr(lm, "BYTES_PER_RANGE", 5, raising=False)
+    check(lm.score_texts(data.documents(spark, documents).repartition(3, "doc_id")), documents)
+    assert 5 << bits[0] >= sum(len(t) for _, t in documents)
+
+
 def test_empty_tables_and_no_training_texts(spark):
     assert lm.score_texts(data.documents(spark).limit(0)).collect() == []
     held = [i for i in range(200) if lm.held_out(i)][:3]
