@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossmap.llm import decontaminate, html_text, lm, near_dup, packing, pii, sharding, token_counts, topk, toxicity
+from crossmap.llm import decontaminate, filter_audit, html_text, lm, near_dup, packing, pii, sharding, token_counts, topk, toxicity
 from crossmap.llm.common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,11 @@ def op10_sharding(spark, sf):
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op11_filter_audit(spark, sf):
+    return filter_audit.audit(table(spark, sf, "documents").select("doc_id", "source", "text"), table(spark, sf, "labels"))
+
+
 ORACLE["op9_topk"] = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS w FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -137,3 +142,28 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+ORACLE["op11_filter_audit"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             list_filter([CASE WHEN len(w) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+                          CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' END,
+                          CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN d.doc_id > first_id THEN 'E' END], lambda x: x IS NOT NULL) AS failed
+      FROM d JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)),
+cells AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, failed),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders(o) AS (SELECT x FROM letters UNION ALL SELECT o || x FROM orders, letters WHERE length(o) < 5 AND NOT contains(o, x)),
+places AS (SELECT o AS filter_order, s AS step, substr(o, s, 1) AS own, string_split(substr(o, 1, s - 1), '') AS earlier FROM orders, range(1, 6) r(s) WHERE length(o) = 5),
+audit AS (SELECT part, filter_order, CAST(step AS INT) AS step, own,
+                 CAST(sum(CASE WHEN NOT list_has_any(failed, list_append(earlier, own)) THEN n ELSE 0 END) AS BIGINT) AS kept,
+                 CAST(sum(CASE WHEN NOT list_has_any(failed, earlier) AND list_contains(failed, own) THEN n ELSE 0 END) AS BIGINT) AS removed,
+                 CAST(sum(CASE WHEN list_has_any(failed, earlier) AND list_contains(failed, own) THEN n ELSE 0 END) AS BIGINT) AS redundant,
+                 CAST(sum(CASE WHEN failed = [own] THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+                 CAST(sum(CASE WHEN NOT list_has_any(failed, earlier) AND list_contains(failed, own) THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+                 CAST(sum(CASE WHEN NOT list_has_any(failed, earlier) AND list_contains(failed, own) THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+          FROM cells, places GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM audit
+"""
