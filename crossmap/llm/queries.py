@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossmap.llm import decontaminate, filter_audit, html_text, lm, near_dup, packing, pii, sharding, token_counts, topk, toxicity
+from crossmap.llm import decontaminate, filter_audit, html_text, lm, near_dup, packing, pii, secret_scan, sharding, token_counts, topk, toxicity, whitening
 from crossmap.llm.common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,29 @@ def op11_filter_audit(spark, sf):
     return filter_audit.audit(table(spark, sf, "documents").select("doc_id", "source", "text"), table(spark, sf, "labels"))
 
 
+@query
+def op12_secrets(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found, names = secret_scan.find_spans(docs, secret_scan.fit(docs))
+    base, added = F.col(names["base"]), F.col(names["added"])
+    order = F.array(*(F.lit(kind) for kind in (*secret_scan.KINDS, secret_scan.LEARNED)))
+
+    def number(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == F.lit(kind))).cast("long").alias(f"n_{kind}")
+
+    def listed(spans):
+        keyed = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("n"), s["end"].alias("end"), s["kind"].alias("kind")))
+        return F.transform(F.array_sort(keyed), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+
+    return found.select("doc_id", *(number(kind) for kind in secret_scan.KINDS), joined_sha256(listed(base)).alias("base_sha256"),
+                        F.array_join(listed(F.concat(base, added)), ",").alias("spans"), F.size(added).cast("long").alias("n_added"))
+
+
+@query
+def op13_whitening(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 ORACLE["op9_topk"] = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS w FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
