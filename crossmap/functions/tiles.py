@@ -17,6 +17,8 @@ FREQUENT_CELLS = 4096
 TERMS_AT_ONCE = 4096
 NUMBERS_AT_ONCE = 1 << 20
 MANY_TIES = 64
+#: Cells that a task keeps before it gives them away.
+HELD_CELLS = 1 << 21
 
 
 def dense_tile(cell):
@@ -181,7 +183,7 @@ def term_best(tile_a, tile_b, threshold, k, digits):
 
 
 def tile_pairs(batches, read):
-    """Yields both names and both read tiles of every row of the batches."""
+    """Yields (group, names, read tiles) of every row with both tiles; a group is a tile of A."""
     last_key, last_tile = None, None
     for batch in batches:
         names_a, names_b = batch.column("framework_A"), batch.column("framework_B")
@@ -192,7 +194,27 @@ def tile_pairs(batches, read):
             key = (name_a, blocks_a[i].as_py())
             if key != last_key:
                 last_key, last_tile = key, read(rows_a[i])
-            yield name_a, name_b, last_tile, read(rows_b[i])
+            yield key, name_a, name_b, last_tile, read(rows_b[i])
+
+
+def passing_pairs(batches, read):
+    """The same of rows that bring tiles of A to hold first, then the tiles of B that meet some of them; a group is what is held."""
+    key, held = None, {}
+    for batch in batches:
+        names_a, groups, runs, sides = (batch.column(name) for name in ("framework_A", "group", "run", "side"))
+        names_b, partners, rows = (batch.column(name) for name in ("framework_B", "partners", "rows"))
+        for i in range(batch.num_rows):
+            name_a = names_a[i].as_py()
+            own = (name_a, groups[i].as_py(), runs[i].as_py())
+            if own != key:
+                key, held = own, {}
+            tile = read(rows[i])
+            if sides[i].as_py() == 0:
+                held[partners[i].as_py()[0]] = tile
+            else:
+                for block in sorted(partners[i].as_py()):
+                    if block in held:  # a hash can leave a tile empty
+                        yield key, name_a, names_b[i].as_py(), held[block], tile
 
 
 def _cells_batch(name_a, name_b, pos_a, pos_b, kept):
@@ -217,41 +239,44 @@ def merged_best(first, second, k):
     return tuple(x[place < k] for x in (rows, pos, kept))
 
 
-def cell_job(read, cells, k=None):
+def cell_job(pairs, read, cells, k=None):
     """Arrow task that gives the wanted cells of every pair of tiles.
 
-    With k, the k best of each row are kept while the task stays with a tile of
-    A, whatever the number of B tiles it meets, and leave the task once.
+    With k, the k best of each row are kept while the task stays with a group of
+    tiles of A, and leave the task once; beyond HELD_CELLS they leave earlier.
     """
 
     def run(batches):
-        held, name, tile = {}, None, None
+        held, group, size = {}, None, 0
 
         def flush():
-            for name_b, (rows, pos, kept) in held.items():
-                yield _cells_batch(name, name_b, tile[0][rows], pos, kept)
+            for name_a, name_b, tile_a, (rows, pos, kept) in held.values():
+                yield _cells_batch(name_a, name_b, tile_a[0][rows], pos, kept)
             held.clear()
 
-        for name_a, name_b, tile_a, tile_b in tile_pairs(batches, read):
-            if tile_a is not tile:
+        for own, name_a, name_b, tile_a, tile_b in pairs(batches, read):
+            if own != group or size > HELD_CELLS:
                 yield from flush()
-                name, tile = name_a, tile_a
+                group, size = own, 0
             for rows, columns, kept in cells(tile_a, tile_b):
                 if k is None:
                     yield _cells_batch(name_a, name_b, tile_a[0][rows], tile_b[0][columns], kept)
                 else:
-                    found = rows, tile_b[0][columns], kept
-                    held[name_b] = merged_best(held[name_b], found, k) if name_b in held else found
+                    key, found = (id(tile_a), name_b), (rows, tile_b[0][columns], kept)
+                    before = held[key][3] if key in held else None
+                    merged = found if before is None else merged_best(before, found, k)
+                    size += len(merged[0]) - (0 if before is None else len(before[0]))
+                    held[key] = (name_a, name_b, tile_a, merged)
         yield from flush()
 
     return run
 
 
-def grid_job(digits):
+def grid_job(pairs, digits):
     """Arrow task that gives every pair of tiles as one row-major grid."""
 
     def run(batches):
-        for name_a, name_b, tile_a, tile_b in tile_pairs(batches, dense_tile):
+        for _, name_a, name_b, tile_a, tile_b in pairs(batches, dense_tile):
             for start, scores in dense_scores(tile_a, tile_b):
                 grid = np.round(scores, digits)
                 yield pa.RecordBatch.from_arrays(
@@ -268,11 +293,11 @@ def grid_job(digits):
     return run
 
 
-def summary_job(digits):
+def summary_job(pairs, digits):
     """Arrow task that gives count, sum and extremes of every pair of tiles."""
 
     def run(batches):
-        for name_a, name_b, tile_a, tile_b in tile_pairs(batches, dense_tile):
+        for _, name_a, name_b, tile_a, tile_b in pairs(batches, dense_tile):
             for _, scores in dense_scores(tile_a, tile_b):
                 if not scores.size:
                     continue

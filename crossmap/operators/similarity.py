@@ -1,9 +1,10 @@
 """Vectors, tiles of vectors, and cosine scores between tiles.
 
-Every score of a framework pair has to be looked at, so the work is laid out
-as pairs of equally sized tiles: a framework with a third of all rows is just
-more tiles. A task multiplies the pairs of tiles that reach it and gives back
-the kept cells only.
+The work is laid out as pairs of tiles of bounded size: a framework with a third
+of all rows is just more tiles. Where there are many of them, tiles are made of
+vectors that lie near each other, and pairs of tiles that are too far apart for the
+threshold are left out (pivots.py). A task multiplies the pairs of tiles that reach
+it and gives back the kept cells only.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crossmap.functions import text, tiles
+from crossmap.operators import pivots as V
 from crossmap.operators.sizes import TASKS_PER_CORE, broadcast_if_small, busy_partitions
 from crossmap.sources.schemas import CELL, GRID, GRID_SUMMARY
 
@@ -33,6 +35,10 @@ BYTES_PER_LETTER = 4
 TILE_BYTES = 1 << 24
 BROADCAST_BYTES = 1 << 27
 MOST_COPIES = 64
+#: Tiles of A that a task holds while the tiles of B that they meet pass by.
+HELD_TILES = 4
+#: Tiles of the largest framework from which tiles are cut around pivots.
+PRUNED_FROM = 8
 DIGITS = 12
 
 
@@ -91,6 +97,7 @@ class Layout(NamedTuple):
     counts: DataFrame  # (framework, blocks)
     tiles: int
     fits_broadcast: bool
+    rows: int = DENSE_ROWS
 
 
 def _layout(sizes: DataFrame, rows: int, bytes_per_weight: int) -> Layout:
@@ -102,38 +109,22 @@ def _layout(sizes: DataFrame, rows: int, bytes_per_weight: int) -> Layout:
     rows = min(rows, max(FEWEST_ROWS, isqrt(n * n // (2 * parts * TASKS_PER_CORE))))
     blocks = F.ceil(F.greatest(F.col("n") / rows, amount / TILE_BYTES))
     counts = sizes.select("framework", blocks.alias("blocks"))
-    return Layout(counts, max(n // rows, size // TILE_BYTES, 1), size <= BROADCAST_BYTES)
+    rows = max(1, min(rows, TILE_BYTES * n // max(size, 1)))
+    return Layout(counts, max(n // rows, size // TILE_BYTES, 1), size <= BROADCAST_BYTES, rows)
 
 
-def _tiles(vectors: DataFrame, counts: DataFrame, payload: str) -> DataFrame:
-    """(framework, block, rows): positions are spread over the tiles by hash."""
-    return (
-        vectors.join(counts, "framework")
-        .withColumn("block", F.pmod(F.xxhash64("pos"), "blocks"))
-        .groupBy("framework", "block")
-        .agg(F.collect_list(F.struct("pos", F.col(payload).alias("payload"))).alias("rows"))
-    )
-
+def _spread(vectors: DataFrame, counts: DataFrame) -> DataFrame:
+    """Positions are spread over the tiles by hash."""
+    return vectors.join(counts, "framework").withColumn("block", F.pmod(F.xxhash64("pos"), "blocks"))
 
-def _side(df: DataFrame, letter: str) -> DataFrame:
-    return df.withColumnsRenamed({name: f"{name}_{letter}" for name in df.columns})
 
+def _tiles(vectors: DataFrame, payload: str) -> DataFrame:
+    """(framework, block, rows)"""
+    return vectors.groupBy("framework", "block").agg(F.collect_list(F.struct("pos", F.col(payload).alias("payload"))).alias("rows"))
 
-def _add_tile(work: DataFrame, blocks: DataFrame, letter: str, other: str, copies: int) -> DataFrame:
-    """The work list with the tiles of one side.
 
-    A tile meets many others. With few tiles that would leave most cores idle,
-    so each tile is laid out in several copies, and the work on it is spread
-    over them by the other side's tile.
-    """
-    keys = [f"framework_{letter}", f"block_{letter}"]
-    side = _side(blocks, letter)
-    if copies > 1:
-        spread_by = F.pmod(F.xxhash64(f"framework_{other}", f"block_{other}"), F.lit(copies))
-        work = work.withColumn("_copy", spread_by)
-        side = side.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)).cast("array<bigint>")))
-        keys.append("_copy")
-    return work.join(side, keys).drop("_copy")
+def _side(df: DataFrame, letter: str) -> DataFrame:
+    return df.withColumnsRenamed({name: f"{name}_{letter}" for name in df.columns})
 
 
 def _by_tile(work: DataFrame, tiles: int, parts: int) -> DataFrame:
@@ -144,45 +135,100 @@ def _by_tile(work: DataFrame, tiles: int, parts: int) -> DataFrame:
     return work.repartition(parts, *tile, run).sortWithinPartitions(*tile, "framework_B")
 
 
-def paired_tiles(vectors: DataFrame, pairs: DataFrame, payload: str, layout: Layout) -> DataFrame:
-    """Every pair of tiles of every framework pair, one row each.
-
-    The list of tile pairs carries numbers only and is spread evenly over the
-    cluster. Tiles whose total size is known to be small are broadcast to it;
-    otherwise both sides are shuffled by tile.
-    """
-    parts = busy_partitions(vectors.sparkSession)
-    blocks = _tiles(vectors, layout.counts, payload)
+def _every_pair(layout: Layout, pairs: DataFrame, parts: int) -> DataFrame:
+    """(framework_A, block_A, framework_B, block_B) of all pairs of tiles of all framework pairs."""
     counted = pairs.join(_side(layout.counts, "A"), "framework_A").join(_side(layout.counts, "B"), "framework_B")
     each_a = F.explode(F.sequence(F.lit(0), F.col("blocks_A") - 1)).alias("block_A")
     each_b = F.explode(F.sequence(F.lit(0), F.col("blocks_B") - 1)).alias("block_B")
     work = counted.select("framework_A", "framework_B", "blocks_B", each_a)
+    work = work if layout.fits_broadcast else work.repartition(parts)
+    return work.select("framework_A", "block_A", "framework_B", each_b)
+
+
+class Paired(NamedTuple):
+    """Tiles and the pairs of them that meet, as rows for a task, and how the task reads them."""
+
+    rows: DataFrame
+    read: Callable
+
+
+def _met(work: DataFrame, blocks: DataFrame, layout: Layout) -> Paired:
+    """The pairs of tiles of a list, with the tiles.
+
+    The list carries numbers only. Tiles whose total size is known to be small are broadcast to it.
+    Otherwise a task holds some tiles of A, and the tiles of B that they meet pass by, so that
+    a tile of B moves once for several pairs.
+    """
+    parts = busy_partitions(work.sparkSession)
     if layout.fits_broadcast:
-        work = work.select("framework_A", "block_A", "framework_B", each_b)
         work = _by_tile(work, layout.tiles, parts)
-        blocks, copies = F.broadcast(blocks), 1
-    else:
-        work = work.repartition(parts).select("framework_A", "block_A", "framework_B", each_b)
-        copies = min(MOST_COPIES, -(-parts * TASKS_PER_CORE // layout.tiles))
-    work = _add_tile(work, blocks, "B", "A", copies)
-    work = _add_tile(work, blocks, "A", "B", copies)
-    return work.select("framework_A", "block_A", "framework_B", "rows_A", "rows_B")
+        for letter in "BA":
+            work = work.join(F.broadcast(_side(blocks, letter)), [f"framework_{letter}", f"block_{letter}"])
+        return Paired(work.select("framework_A", "block_A", "framework_B", "rows_A", "rows_B"), tiles.tile_pairs)
+    runs = min(MOST_COPIES, -(-parts * TASKS_PER_CORE * HELD_TILES // layout.tiles))
+    held = F.dense_rank().over(Window.partitionBy("framework_A").orderBy("block_A")) - 1
+    groups = work.select("framework_A", "block_A").distinct().withColumn("group", F.floor(held / HELD_TILES))
+    work = work.join(groups, ["framework_A", "block_A"]).withColumn("run", F.pmod(F.xxhash64("framework_B", "block_B"), F.lit(runs)))
+    task = ["framework_A", "group", "run"]
+    holds = work.select(*task, "block_A").distinct().join(_side(blocks, "A"), ["framework_A", "block_A"])
+    passes = work.groupBy(*task, "framework_B", "block_B").agg(F.collect_list("block_A").alias("partners"))
+    passes = passes.join(_side(blocks, "B"), ["framework_B", "block_B"])
+    rows = holds.select(*task, F.lit("").alias("framework_B"), F.array("block_A").alias("partners"), F.col("rows_A").alias("rows"), F.lit(0).alias("side")).unionByName(
+        passes.select(*task, "framework_B", "partners", F.col("rows_B").alias("rows"), F.lit(1).alias("side")))
+    rows = rows.repartition(parts, *task).sortWithinPartitions(*task, "side", "framework_B")
+    return Paired(rows, tiles.passing_pairs)
+
+
+def paired_tiles(vectors: DataFrame, pairs: DataFrame, payload: str, layout: Layout) -> Paired:
+    """Every pair of tiles of every framework pair."""
+    work = _every_pair(layout, pairs, busy_partitions(vectors.sparkSession))
+    return _met(work, _tiles(_spread(vectors, layout.counts), payload), layout)
+
+
+def _dense_layout(vectors: DataFrame, rows: int, sizes: DataFrame | None) -> tuple[Layout, int]:
+    sizes = framework_sizes(vectors) if sizes is None else sizes
+    dimension = _dimension(vectors)
+    return _layout(sizes.withColumn("weight", F.col("n")), rows, dimension * BYTES_PER_NUMBER), dimension
 
 
-def _dense_pairs(vectors: DataFrame, pairs: DataFrame, rows: int, sizes: DataFrame | None) -> DataFrame:
-    sizes = framework_sizes(vectors) if sizes is None else sizes
-    per_row = sizes.withColumn("weight", F.col("n"))
-    layout = _layout(per_row, rows, _dimension(vectors) * BYTES_PER_NUMBER)
+def _dense_pairs(vectors: DataFrame, pairs: DataFrame, rows: int, sizes: DataFrame | None) -> Paired:
+    layout, _ = _dense_layout(vectors, rows, sizes)
     return paired_tiles(vectors, pairs, "embedding", layout)
 
 
+def _near_pairs(vectors: DataFrame, pairs: DataFrame, threshold: float, layout: Layout, dimension: int) -> Paired:
+    """Pairs of tiles around pivots that can hold a score from the threshold up."""
+    placed, near, pivots = V.tiled(vectors, layout.counts, layout.rows, dimension)
+    work = V.tile_pairs(near, pairs, pivots, threshold).filter("kept").drop("kept")
+    work = work if layout.fits_broadcast else work.repartition(busy_partitions(vectors.sparkSession))
+    return _met(work, _tiles(placed, "embedding"), layout)
+
+
+def pruned_tiles(vectors: DataFrame, pairs: DataFrame, threshold: float, rows: int = DENSE_ROWS, digits: int = DIGITS, sizes: DataFrame | None = None) -> DataFrame:
+    """Pairs of tiles around pivots that are kept and skipped for a threshold, by framework pair."""
+    layout, dimension = _dense_layout(vectors, rows, sizes)
+    _, near, pivots = V.tiled(vectors, layout.counts, layout.rows, dimension)
+    return V.pruning_report(V.tile_pairs(near, pairs, pivots, _least(threshold, digits)))
+
+
+def _least(threshold: float, digits: int) -> float:
+    """The least score that can round to the threshold."""
+    return threshold - 10.0**-digits
+
+
 def cosine_cells(
     vectors: DataFrame, pairs: DataFrame, threshold: float, k: int,
     rows: int = DENSE_ROWS, digits: int = DIGITS, sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Cells from the threshold up that hold the k best of each row, for (framework, pos, embedding)."""
     best = partial(tiles.dense_best, threshold=threshold, k=k, digits=digits)
-    return _dense_pairs(vectors, pairs, rows, sizes).mapInArrow(tiles.cell_job(tiles.dense_tile, best, k), CELL)
+    layout, dimension = _dense_layout(vectors, rows, sizes)
+    most = layout.counts.agg(F.max("blocks")).first()[0] or 0
+    if most >= PRUNED_FROM and threshold > 0:
+        paired = _near_pairs(vectors, pairs, _least(threshold, digits), layout, dimension)
+    else:
+        paired = paired_tiles(vectors, pairs, "embedding", layout)
+    return paired.rows.mapInArrow(tiles.cell_job(paired.read, tiles.dense_tile, best, k), CELL)
 
 
 def term_cells(
@@ -193,7 +239,7 @@ def term_cells(
     sizes = framework_sizes(vectors) if sizes is None else sizes
     paired = paired_tiles(vectors, pairs, "terms", _layout(sizes, rows, BYTES_PER_LETTER))
     best = partial(tiles.term_best, threshold=threshold, k=k, digits=digits)
-    return paired.mapInArrow(tiles.cell_job(tiles.term_tile, best, k), CELL)
+    return paired.rows.mapInArrow(tiles.cell_job(paired.read, tiles.term_tile, best, k), CELL)
 
 
 def display_cells(vectors: DataFrame, pairs: DataFrame, names: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -201,7 +247,7 @@ def display_cells(vectors: DataFrame, pairs: DataFrame, names: DataFrame, digits
     counts = names.select("framework", F.lit(1).cast("bigint").alias("blocks"))
     paired = paired_tiles(vectors, pairs, "embedding", Layout(counts, 1, False))
     every = partial(tiles.dense_all, digits=digits)
-    return paired.mapInArrow(tiles.cell_job(tiles.dense_tile, every), CELL)
+    return paired.rows.mapInArrow(tiles.cell_job(paired.read, tiles.dense_tile, every), CELL)
 
 
 def similarity_matrix(
@@ -210,7 +256,7 @@ def similarity_matrix(
 ) -> DataFrame:
     """The whole matrix of every framework pair as row-major grids, a strip of a pair of tiles each."""
     paired = _dense_pairs(vectors, pairs, rows, sizes)
-    return paired.mapInArrow(tiles.grid_job(digits), GRID)
+    return paired.rows.mapInArrow(tiles.grid_job(paired.read, digits), GRID)
 
 
 def matrix_cells(grids: DataFrame) -> DataFrame:
@@ -231,7 +277,7 @@ def matrix_summary(
 ) -> DataFrame:
     """Cells, mean and extremes of every whole matrix; tiles are summed up where they are scored."""
     paired = _dense_pairs(vectors, pairs, rows, sizes)
-    parts = paired.mapInArrow(tiles.summary_job(digits), GRID_SUMMARY)
+    parts = paired.rows.mapInArrow(tiles.summary_job(paired.read, digits), GRID_SUMMARY)
     return parts.groupBy("framework_A", "framework_B").agg(
         F.sum("cells").alias("cells"),
         (F.sum("total") / F.sum("cells")).alias("mean_score"),

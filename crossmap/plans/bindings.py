@@ -20,6 +20,7 @@ TERM_THRESHOLD = 0.15
 LETTERS, LETTER_THRESHOLD = "abcdefghijklmnop", 0.97
 K = 5
 DIGITS = 4
+PRUNED_ROWS = 64
 SOURCES, TARGETS = ["0", "1", "2"], ["1", "2", "3", "4"]
 
 

@@ -59,6 +59,14 @@ def encoded_cosine_topk(spark, sf):
     return C.select_candidates(cells, B.LETTER_THRESHOLD, B.K)
 
 
+@query
+def pruned_tiles(spark, sf):
+    """Which share of the pairs of tiles of the letter vectors cannot reach the threshold."""
+    vectors = cut(similarity.embed(B.document_requirements(spark, sf), B.letter_counts))
+    sizes = similarity.framework_sizes(vectors)
+    return similarity.pruned_tiles(vectors, P.framework_pairs(P.in_name_order(sizes)), B.LETTER_THRESHOLD, B.PRUNED_ROWS, digits=B.DIGITS, sizes=sizes)
+
+
 @query
 def framework_pairs_sym(spark, sf):
     return P.framework_pairs(P.frameworks_of(B.vectors(spark, sf)))
