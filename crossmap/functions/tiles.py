@@ -182,6 +182,55 @@ def term_best(tile_a, tile_b, threshold, k, digits):
     yield first_best(np.round(term_scores(tile_a, tile_b), digits), threshold, k)
 
 
+def number_tile(part):
+    """The same of rows that have numbers and counts of words, and the length of all their words."""
+    lists = part.column("terms")
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+    vocabulary, terms = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+    counts = part.column("counts").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    entries = np.repeat(np.arange(part.num_rows), sizes), terms, counts
+    return part.column("pos").to_numpy(zero_copy_only=False), pa.array(vocabulary, pa.int64()), entries, part.column("norm").to_numpy(zero_copy_only=False)
+
+
+def segments(batch, names):
+    """Yields the slices of a batch in which the named columns do not change."""
+    cuts = np.zeros(batch.num_rows, dtype=bool)
+    for name in names:
+        column = batch.column(name)
+        cuts[1:] |= pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
+    edges = [0, *np.flatnonzero(cuts).tolist(), batch.num_rows]
+    for start, end in zip(edges, edges[1:]):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
+def index_job(threshold, k, digits):
+    """Arrow task over shards of an index, side 0, and the rows that pass each of them, side 1: the k best cells of every row."""
+    task = ["framework_B", "shard", "run"]
+
+    def run(batches):
+        key, held, index = None, [], None
+        for batch in batches:
+            for part in segments(batch, [*task, "side", "framework_A"]):
+                own = tuple(part.column(name)[0].as_py() for name in task)
+                if own != key:
+                    key, held, index = own, [], None
+                if part.column("side")[0].as_py() == 0:
+                    held.append(part)
+                    continue
+                if not held:
+                    continue
+                if index is None:
+                    index = number_tile(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+                name_a = part.column("framework_A")[0].as_py()
+                for start in range(0, part.num_rows, ROWS_AT_ONCE):
+                    tile = number_tile(part.slice(start, ROWS_AT_ONCE))
+                    for rows, columns, kept in term_best(tile, index, threshold, k, digits):
+                        yield _cells_batch(name_a, key[0], tile[0][rows], index[0][columns], kept)
+
+    return run
+
+
 def tile_pairs(batches, read):
     """Yields (group, names, read tiles) of every row with both tiles; a group is a tile of A."""
     last_key, last_tile = None, None

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crossmap.functions.relations import SEMANTIC_THRESHOLD, TOP_K
-from crossmap.operators import similarity
+from crossmap.operators import similarity, term_join
 from crossmap.operators.pairs import framework_pairs, in_name_order
 from crossmap.operators.sizes import broadcast_if_small
 
@@ -85,13 +85,15 @@ def candidates(
     if vectors is None and encoder is not None:
         vectors = similarity.embed(requirements, encoder)
     words = similarity.term_vectors(requirements) if vectors is None else None
-    sizes = similarity.framework_sizes(requirements if words is None else words)
+    sizes = similarity.framework_sizes(requirements.select("framework"))
     if pairs is None:
         pairs = framework_pairs(in_name_order(sizes), sources, targets)
     if words is None:
         cells = similarity.cosine_cells(vectors, pairs, threshold, k, digits=digits, sizes=sizes)
+    elif threshold > 0:
+        cells = term_join.term_cells(words, pairs, threshold, k, sizes, digits=digits)
     else:
-        cells = similarity.term_cells(words, pairs, threshold, k, digits=digits, sizes=sizes)
+        cells = similarity.term_cells(words, pairs, threshold, k, digits=digits)
     return dedupe_first(name_candidates(select_candidates(cells, threshold, k), requirements))
 
 
