@@ -11,7 +11,8 @@ many different features that are typical for toxic texts they hold: the lower
 and upper third, by count, are graded 1 and 3, the rest 2; clean texts are graded 0.
 
 The model is fitted on at most `sample` labelled documents, the smallest ones by a
-hash of the identifier, in one task of bounded memory; every document is scored.
+hash of the identifier; every document is scored. How often features occur in the sample is
+counted by tasks and a shuffle; only features that tell toxic from clean texts reach the one task that fits.
 
 Defined cases: null and empty texts have no features and get the severity of
 the thresholds alone; labels that are null or without a document are not used;
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crossmap.llm.common import Words, column, free_name, slices, with_fields
+from crossmap.llm.common import Words, checkpointed, column, free_name, slices, with_fields
 
 #: Bound of the fitted sample, in documents; each is taken once, as its distinct features.
 SAMPLE = 20_000
@@ -105,25 +106,38 @@ class Model:
         return 1 / (1 + np.exp(np.clip(np.array(self.thresholds)[None, :] - score[:, None], -60, 60)))
 
 
-def fitted(found: np.ndarray, counts: np.ndarray, toxic: np.ndarray) -> Model:
-    """The model of a bounded sample in memory."""
-    n, positive = len(counts), int(toxic.sum())
-    if not positive or positive == n:
-        return Model({}, [60.0 if not positive else -60.0 + i for i in range(GRADES)])
-    row = np.repeat(np.arange(n), counts)
-    total = np.bincount(found, minlength=WIDTH).astype(float)
-    inside = np.bincount(found[toxic[row]], minlength=WIDTH).astype(float)
+def telling(feature: np.ndarray, total: np.ndarray, inside: np.ndarray, n: int, positive: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which features are used, and which of them are typical for toxic texts, by the texts and toxic texts that hold them."""
     share = positive / n
     expected = total * share
     spread = np.maximum(total * share * (1 - share), 1e-9)
     evidence = (inside - expected) ** 2 / spread
-    used = np.flatnonzero(((total >= SUPPORT) & (evidence >= EVIDENCE)) | ((np.arange(WIDTH) >= 1 << BITS) & (total > 0)))
-    place = np.full(WIDTH, -1)
-    place[used] = np.arange(len(used))
+    word = feature < 1 << BITS
+    return (word & (total >= SUPPORT) & (evidence >= EVIDENCE)) | (~word & (total > 0)), (inside > expected) & word
+
+
+def fitted(found: np.ndarray, counts: np.ndarray, toxic: np.ndarray) -> Model:
+    """The model of a bounded sample in memory."""
+    n, positive = len(counts), int(toxic.sum())
+    if not positive or positive == n:
+        return _settled(positive)
+    total = np.bincount(found, minlength=WIDTH)
+    inside = np.bincount(found[np.repeat(toxic, counts)], minlength=WIDTH)
+    used, typical = telling(np.arange(WIDTH), total, inside, n, positive)
+    place = np.full(WIDTH, -1, np.int32)
+    place[used] = np.arange(used.sum(), dtype=np.int32)
     keep = place[found] >= 0
-    cells, rows = place[found[keep]], row[keep]
-    typical = ((inside > expected) & (np.arange(WIDTH) < 1 << BITS))[used]
-    marks = np.bincount(rows, weights=typical[cells], minlength=n)
+    return _graded(place[found[keep]], np.repeat(np.arange(n, dtype=np.int32), counts)[keep], toxic, np.flatnonzero(used), typical[used])
+
+
+def _settled(positive: int) -> Model:
+    """The model of a sample in which all texts are toxic, or none is."""
+    return Model({}, [60.0 + i if not positive else -60.0 + i for i in range(GRADES)])
+
+
+def _graded(cells: np.ndarray, rows: np.ndarray, toxic: np.ndarray, used: np.ndarray, typical: np.ndarray) -> Model:
+    """The model of texts with their used features (places in `used` and rows), the toxic ones graded by their typical features."""
+    marks = np.bincount(rows, weights=typical[cells], minlength=len(toxic))
     low, high = np.quantile(marks[toxic], [1 / 3, 2 / 3])
     grade = np.where(toxic, 2 - (marks <= low).astype(int) + (marks > high).astype(int), 0)
     return _descended(cells, rows, grade, used)
@@ -164,7 +178,7 @@ def _descended(cells: np.ndarray, rows: np.ndarray, grade: np.ndarray, used: np.
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", sample: int = SAMPLE) -> Model:
-    """The model of at most `sample` labelled documents, fitted in one task; only the weights in use reach the driver."""
+    """The model of at most `sample` labelled documents, fitted in one task; only features in use reach it and the driver."""
     spark = docs.sparkSession
     marked = labels.select(column(labels, id_col).alias("id"), column(labels, toxic_col).alias("toxic")).filter("id is not null and toxic is not null")
     marked = marked.groupBy("id").agg((F.max("toxic") > 0).alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(sample)
@@ -177,22 +191,57 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             parts = [x.astype(np.int32).tobytes() for x in np.split(found, np.cumsum(counts)[:-1])]
             yield pa.RecordBatch.from_arrays([part.column("id"), part.column("toxic"), pa.array(parts, pa.binary())], ["id", "toxic", "found"])
 
+    found = chosen.mapInArrow(sparse, with_fields(chosen.select("id").schema, "toxic boolean, found binary"))
+    once = checkpointed(found.groupBy("id").agg(F.max("toxic").alias("toxic"), F.min("found").alias("found")).select("toxic", "found"))
+    n, positive = once.agg(F.count("*"), F.count_if("toxic")).first()
+    if not positive or positive == n:
+        return _settled(positive)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, inside = np.zeros(WIDTH, np.int32), np.zeros(WIDTH, np.int32)
+        for batch in batches:
+            for part in slices([batch], "found"):
+                for toxic, own in zip(part.column("toxic").to_pylist(), part.column("found")):
+                    own = np.frombuffer(own.as_buffer(), np.int32)
+                    total[own] += 1
+                    inside[own] += toxic
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64()), pa.array(inside[seen], pa.int64())], ["feature", "total", "inside"])
+
+    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            feature, total, inside = (batch.column(x).to_numpy() for x in ("feature", "total", "inside"))
+            used, typical = telling(feature, total, inside, n, positive)
+            yield pa.RecordBatch.from_arrays([pa.array(feature[used]), pa.array(typical[used])], ["feature", "typical"])
+
+    counted = once.mapInArrow(tally, "feature int, total bigint, inside bigint").groupBy("feature").agg(F.sum("total").alias("total"), F.sum("inside").alias("inside"))
+    pairs = sorted(tuple(row) for row in counted.mapInArrow(select, "feature int, typical boolean").collect())
+    used, typical = np.array([x for x, _ in pairs], np.int32), np.array([x for _, x in pairs], bool)
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(WIDTH, -1, np.int32)
+        place[used] = np.arange(len(used), dtype=np.int32)
+        for batch in batches:
+            for part in slices([batch], "found"):
+                own = [place[np.frombuffer(x.as_buffer(), np.int32)] for x in part.column("found")]
+                kept = [x[x >= 0].tobytes() for x in own]
+                yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(kept, pa.binary())], ["toxic", "found"])
+
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic, found = [], []
+        toxic, counts, cells = [], [], array("i")
         for batch in batches:
             toxic += batch.column("toxic").to_pylist()
-            found += [np.frombuffer(x, np.int32) for x in batch.column("found").to_pylist()]
-        model = Model({}, [60.0 + i for i in range(GRADES)])
+            for x in batch.column("found"):
+                cells.frombytes(x.as_buffer())
+                counts.append(len(x.as_buffer()) // 4)
         if toxic:
-            model = fitted(np.concatenate(found).astype(np.int64), np.array([len(x) for x in found]), np.array(toxic, bool))
-        keys = [*(-1 - i for i in range(GRADES)), *model.weights]
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([*model.thresholds, *model.weights.values()], pa.float64())], ["feature", "weight"])
+            model = _graded(np.frombuffer(cells, np.int32), np.repeat(np.arange(len(counts), dtype=np.int32), counts), np.array(toxic, bool), used, typical)
+            keys = [*(-1 - i for i in range(GRADES)), *model.weights]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([*model.thresholds, *model.weights.values()], pa.float64())], ["feature", "weight"])
 
-    found = chosen.mapInArrow(sparse, with_fields(chosen.select("id").schema, "toxic boolean, found binary"))
-    once = found.groupBy("id").agg(F.max("toxic").alias("toxic"), F.min("found").alias("found")).select("toxic", "found")
-    gathered = once.repartition(1).sortWithinPartitions("found", "toxic")
-    pairs = {row[0]: row[1] for row in gathered.mapInArrow(train, "feature bigint, weight double").collect()}
-    return Model({k: v for k, v in pairs.items() if k >= 0}, [pairs.get(-1 - i, 60.0 + i) for i in range(GRADES)])
+    gathered = once.mapInArrow(reduce, "toxic boolean, found binary").repartition(1).sortWithinPartitions("found", "toxic")
+    weights = {row[0]: row[1] for row in gathered.mapInArrow(train, "feature bigint, weight double").collect()}
+    return Model({k: v for k, v in weights.items() if k >= 0}, [weights[-1 - i] for i in range(GRADES)])
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFrame, dict[str, str]]:
