@@ -10,6 +10,13 @@ content. The article is the smallest container around most of the content's
 text; its blocks and the content outside it are the result, without the parts
 that are marked as menu, notice, advert, form, comment and the like.
 
+A mark is a word in a class, id or role, or an element's name, and no more than a hint: a page may stand
+whole inside a form, or in a part named after the sidebar beside it. So marks are weighed when the page is read. Among the
+marked parts, the one with most running text outside parts marked within it is kept, with all around it, if it holds the page's
+first article, main or top heading and as much running text as there is without any mark, or if there is hardly any other
+running text; parts marked as comments, notices, adverts or navigation need the former. Inside an article ids say nothing, and
+an id that has further words (related-work) only marks a part without running text.
+
 Defined cases: null or empty pages and pages without content have an empty
 text; unclosed, wrongly nested and cut tags are taken as browsers do roughly;
 equal rows give equal rows; pages of any length are read whole; an empty table
@@ -32,9 +39,13 @@ from crossmap.llm.common import column, slices, strings, with_fields
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+#: Elements that end the text before them; unknown elements do not.
+BLOCKS = frozenset(
+    "html head body caption col colgroup tbody td tfoot th thead tr li dt dd legend summary optgroup option center dir frameset noframes br".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-SKIPPED = frozenset(
-    "head script style title noscript template svg math iframe object canvas audio video select option textarea button form fieldset nav aside footer menu dialog".split())
+SKIPPED = frozenset("head script style title noscript template svg math iframe object canvas audio video select option textarea button".split())
+#: Elements that count as marked; of these, form and fieldset can stand around a page.
+ASIDE, AROUND = frozenset("nav aside footer menu dialog".split()), frozenset("form fieldset".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -46,8 +57,15 @@ MARKED = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies disqus footer masthead menu modal nav navbar "
     "navigation newsletter notice notices pagination pager popup promo promotion related replies reply respond share sharing sidebar signup social sponsor "
     "sponsored subscribe teaser toolbar widget complementary contentinfo search alert disclaimer consent gdpr outbrain taboola login".split())
+#: Marks that say what a part is, whatever is in it.
+PLAIN = frozenset(
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments cookie cookies consent disqus disclaimer gdpr newsletter notice notices "
+    "replies reply respond pagination outbrain taboola sponsored".split())
+NONE, WEAK, LOOSE, FIRM = range(4)
+#: Characters, punctuation and share of links from which a part counts as running text.
+RUNNING, STOPS, LINKED = 140, 2, 0.2
 _TAG = re.compile(r"<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<decl>[!?][^>]*)(?:>|\Z)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z))", re.DOTALL)
-_MARK = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_MARK = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.IGNORECASE)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
@@ -58,30 +76,32 @@ SPREAD, SHARE = 2, 0.5
 class Block:
     """Text between two block boundaries: its path of open blocks and how much of it is links."""
 
-    __slots__ = ("path", "text", "linked", "skipped")
+    __slots__ = ("path", "text", "linked")
 
-    def __init__(self, path: tuple[int, ...], text: str, linked: int, skipped: bool):
-        self.path, self.text, self.linked, self.skipped = path, text, linked, skipped
+    def __init__(self, path: tuple[int, ...], text: str, linked: int):
+        self.path, self.text, self.linked = path, text, min(linked, len(text))
 
 
 class Page:
-    """The blocks of a page and the names of its elements."""
+    """The blocks of a page, the names of its elements and how firmly each is marked, and the paths of its first article, main and top heading."""
 
     def __init__(self, source: str):
         self.names: list[str] = ["#root"]
-        self.skips: list[bool] = [False]
+        self.marks: list[int] = [NONE]
+        self.leads: dict[str, tuple[int, ...]] = {}
         self.blocks: list[Block] = []
         self._read(source)
 
     def _read(self, source: str) -> None:
         stack, held, links, linked = [0], [], 0, 0
+        hidden: list[bool] = [False]
         at, n = 0, len(source)
 
         def flush() -> None:
             nonlocal linked
             text = " ".join("".join(held).split())
-            if text:
-                self.blocks.append(Block(tuple(stack), text, linked, any(self.skips[e] for e in stack)))
+            if text and not any(hidden[e] for e in stack):
+                self.blocks.append(Block(tuple(stack), text, linked))
             held.clear()
             linked = 0
 
@@ -106,7 +126,7 @@ class Page:
             if name == "a":
                 links = 0 if m["end"] else 1
                 continue
-            if name in INLINE:
+            if not (name in BLOCKS or name in CLOSES_P or name in SKIPPED or name in ASIDE or name in AROUND or name in RAW):
                 continue
             flush()
             if m["end"]:
@@ -138,30 +158,75 @@ class Page:
             if m["rest"].endswith("/") and name in ("svg", "path", "use"):
                 continue
             self.names.append(name)
-            self.skips.append(name in SKIPPED or self._marked(name, m["rest"]))
+            inside = any(self.names[e] in ("article", "main") for e in stack)
+            self.marks.append(_mark(name, m["rest"], inside))
+            hidden.append(name in SKIPPED or (name not in ("body", "html", "article", "main") and bool(_HIDDEN.search(m["rest"]))))
             stack.append(len(self.names) - 1)
+            if name in ("article", "main", "h1") and not any(hidden[e] for e in stack):
+                self.leads.setdefault(name, tuple(stack))
             if name in RAW:
                 close = re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE).search(source, at)
                 at = close.start() if close else n
         flush()
 
-    def _marked(self, name: str, rest: str) -> bool:
-        if name in ("body", "html", "article", "main"):
-            return False
-        if _HIDDEN.search(rest):
-            return True
-        for m in _MARK.finditer(rest):
-            if any(x.lower() in MARKED for x in _WORDS.findall(m[1] or m[2] or m[3] or "")):
-                return True
-        return False
+    def dropped(self) -> set[int]:
+        """The marked elements whose text does not belong to the page's content."""
+        marked: dict[int, list[Block]] = {}
+        for block in self.blocks:
+            for e in block.path:
+                if self.marks[e]:
+                    marked.setdefault(e, []).append(block)
+        out = {e for e, blocks in marked.items() if self.marks[e] != WEAK or not _running(blocks)}
+        while out:
+            own: dict[int, list[Block]] = {}
+            for block in self.blocks:
+                last = next((e for e in reversed(block.path) if e in out), 0)
+                own.setdefault(last, []).append(block)
+            plain = _prose(own.pop(0, []))
+            leads = {next((e for e in reversed(path) if e in out), 0) for path in self.leads.values()}
+            best = max(own, key=lambda e: (_prose(own[e]), -e), default=0)
+            most = _prose(own.get(best, []))
+            holds = best in leads and most >= plain
+            if not best or not (holds or (self.marks[best] <= LOOSE and 10 * plain <= most and _running(own[best]))):
+                break
+            path = next(block.path for block in own[best])
+            out -= set(path[:path.index(best) + 1])
+        return out
 
     def kind(self, path: tuple[int, ...]) -> tuple[str, ...]:
         return tuple(self.names[e] for e in path)
 
 
+def _mark(name: str, rest: str, inside: bool) -> int:
+    """How firmly an element is marked as no part of the content; `inside` an article its id says nothing."""
+    if name in ("body", "html", "article", "main"):
+        return NONE
+    mark = FIRM if name in ASIDE else LOOSE if name in AROUND else NONE
+    for m in _MARK.finditer(rest):
+        words = [x.lower() for x in _WORDS.findall(m[2] or m[3] or m[4] or "")]
+        found = [x for x in words if x in MARKED]
+        if not found or (m[1].lower() == "id" and (inside or name in HEADINGS or name == "p")):
+            continue
+        firm = any(x in PLAIN for x in found)
+        mark = max(mark, FIRM if firm else WEAK if m[1].lower() == "id" and len(words) > len(found) else LOOSE)
+    return mark
+
+
+def _prose(blocks: list[Block]) -> int:
+    """Characters outside links."""
+    return sum(len(b.text) - b.linked for b in blocks)
+
+
+def _running(blocks: list[Block]) -> bool:
+    """Whether blocks are running text rather than lists of links and labels."""
+    length = sum(len(b.text) for b in blocks)
+    return length >= RUNNING and length - _prose(blocks) <= LINKED * length and sum(len(_PUNCTUATION.findall(b.text)) for b in blocks) >= STOPS
+
+
 def content_blocks(page: Page) -> list[Block]:
     """The blocks of the main text, in page order."""
-    own = [b for b in page.blocks if not b.skipped]
+    dropped = page.dropped()
+    own = [b for b in page.blocks if not dropped.intersection(b.path)]
     if not own:
         return []
     lengths, marks, links, nodes = {}, {}, {}, {}
@@ -170,7 +235,7 @@ def content_blocks(page: Page) -> list[Block]:
         nodes[kind] = nodes.get(kind, 0) + 1
         lengths[kind] = lengths.get(kind, 0) + len(block.text)
         marks[kind] = marks.get(kind, 0) + len(_PUNCTUATION.findall(block.text))
-        links[kind] = links.get(kind, 0) + min(block.linked, len(block.text))
+        links[kind] = links.get(kind, 0) + block.linked
     text_ratio = [(lengths[k] - links[k]) / nodes[k] for k in kinds]
     mark_ratio = [(1 + marks[k]) / nodes[k] for k in kinds]
     fused = [a * b for a, b in zip(_smoothed(text_ratio), _smoothed(mark_ratio))]

@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 import pytest
@@ -72,3 +73,67 @@ def test_registered(spark):
         article = source.split("<article>")[1].split("</article>")[0].replace("<b>", "").replace("</b>", "")
         wanted = " ".join(html.unescape(re.sub(r"</?(?:p|h1|br)>", " ", article)).split())
         assert (found[page_id].text, found[page_id].n_chars) == (wanted, len(wanted))
+
+
+STORY = "".join(f"<p>Paragraph {i} of the story, which goes on for a while, and says what it has to say.</p>" for i in range(8))
+TOLD = " ".join(re.sub("<[^>]*>", " ", STORY).split())
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="content-sidebar-wrap"><article>{}</article></div>',
+    '<div class="layout has-sidebar"><article>{}</article></div>',
+    '<form id="aspnetForm"><div><article>{}</article></div></form>',
+    "<form><main>{}</main></form>",
+    "<form><div>{}</div></form>",
+    '<div class="page logged-in login-enabled">{}</div>',
+    '<div class="page logged-in login-enabled"><div>{}</div></div>',
+    '<form><div class="has-sidebar"><div id="menu-open">{}</div></div></form>',
+    '<article>{}</article><div class="widget"><article class="teaser"><p>Another story, shortly told, elsewhere.</p></article></div>',
+    '<div id="search-page"><article>{}</article><div id="comments"><p>I agree, with all of it, really.</p></div></div>',
+])
+def test_parts_that_hold_the_story_are_kept_whatever_their_names(page):
+    assert html_text.main_text("<html><body>" + page.replace("{}", STORY) + "</body></html>") == TOLD
+
+
+@pytest.mark.parametrize("part", ['<section id="related-work">{}</section>', '<div id="social-policy">{}</div>', '<h2 id="menu-items">{}</h2>', '<p id="login">{}</p>'])
+@pytest.mark.parametrize("container", ["<article>{}</article>", "<main>{}</main>"])
+def test_identifiers_inside_an_article_say_nothing(container, part):
+    inner = "Earlier work, by others, is told of here."
+    assert html_text.main_text(container.format(STORY + part.format(inner) + STORY)) == f"{TOLD} {inner} {TOLD}"
+
+
+def test_running_text_under_a_compound_identifier_stays():
+    inner = "Earlier work, by others, is told of here. " * 8
+    page = f'<div>{STORY}<section id="related-work"><p>{inner}</p></section></div>'
+    assert html_text.main_text(page) == f"{TOLD} {inner.strip()}"
+    linked = "<ul>" + "".join(f"<li><a href=/{i}>Story number {i}, of the week.</a></li>" for i in range(12)) + "</ul>"
+    assert html_text.main_text(f'<div>{STORY}<section id="related-stories">{linked}</section></div>') == TOLD
+
+
+def test_elements_inside_words_do_not_cut_them():
+    page = "<article><p>super<wbr>cali<nobr>fragil</nobr>istic, a <b>b</b>, c<x-mark>d</x-mark>e; <img src=x>and so on.</p></article>"
+    assert html_text.main_text(page) == "supercalifragilistic, a b, cde; and so on."
+
+
+def test_comments_do_not_become_the_story():
+    comments = "".join(f'<div class="comment"><p>Comment {i}, which is long, and says a lot, about everything that was told.</p></div>' for i in range(40))
+    assert html_text.main_text(f"<div><h1>Title</h1>{STORY}</div><div class='comments'>{comments}</div>") == f"Title {TOLD}"
+    assert html_text.main_text(f"<div class='wrap sidebar-left'><article>{STORY}</article><ol class='comment-list'>{comments}</ol></div>") == TOLD
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_made_up_pages(seed):
+    """Pages of known content: the story inside random wrappers, with parts beside it that do not belong to it."""
+    source = random.Random(seed)
+    wrappers = ['<div>{}</div>', '<form action="/x">{}</form>', '<div class="layout has-sidebar">{}</div>', '<div id="page-with-menu">{}</div>', '<section class="l-content">{}</section>',
+                '<table><tr><td>{}</td></tr></table>', '<div class="logged-in">{}</div>', '<center>{}</center>', '<div role="search-results">{}</div>']
+    beside = ['<nav><ul><li><a href="/a">Home, sweet home.</a></li></ul></nav>', '<div class="cookie-banner"><p>We use cookies, as others do, to see who reads.</p></div>',
+              '<aside><p>Other things, to read, are here.</p></aside>', '<div class="sidebar"><p>Latest, and greatest, of all.</p></div>', '<footer><p>All rights, reserved, by us.</p></footer>',
+              '<div id="comments"><p>Great post, I agree, with all of it.</p></div>', '<script>var a = "<p>x, y, z.</p>";</script>', '<div class="ad"><p>Buy this, now, it is cheap.</p></div>']
+    parts = source.sample(beside, source.randrange(len(beside)))
+    around = source.choice(["{}", "<article>{}</article>", "<main>{}</main>", "<div>{}</div>"])
+    at = source.randrange(len(parts) + 1)
+    page = "".join([*parts[:at], around.replace("{}", STORY), *parts[at:]])
+    for _ in range(source.randrange(4)):
+        page = source.choice(wrappers).replace("{}", page)
+    assert html_text.main_text(f"<html><head><title>T</title></head><body>{page}</body></html>") == TOLD
