@@ -243,6 +243,7 @@ FROM rows"""
 
 ORACLE: dict[str, str] = {
     "cosine_topk": f"WITH {VECTORS} SELECT framework_A, framework_B, pos_A, pos_B, semantic_score, rank FROM found",
+    "repaired_candidates": f"WITH {VECTORS} SELECT framework_A, framework_B, pos_A, pos_B, semantic_score, rank FROM found",
     "candidate_pairs": f"WITH {VECTORS} SELECT {KEYS}, title_A, title_B, semantic_score FROM found",
     "sparse_cosine_topk": f"WITH {DOCUMENT_PAIRS} SELECT {KEYS}, semantic_score FROM found",
     "encoded_cosine_topk": f"""WITH {ENCODED} SELECT *, CAST(row_number() OVER (PARTITION BY framework_A, framework_B, pos_A

@@ -12,7 +12,7 @@ from crossmap.operators import candidates as C
 from crossmap.operators import cleanup as K
 from crossmap.operators import incremental as I
 from crossmap.operators import pairs as P
-from crossmap.operators import reports, similarity, thresholds, validate, views
+from crossmap.operators import repair, reports, similarity, thresholds, validate, views
 from crossmap.operators import verdicts as V
 from crossmap.operators.flatten import flatten_requirements
 from crossmap.operators.ordering import PAIR
@@ -103,6 +103,32 @@ def incremental_pairs(spark, sf):
     return I.incremental(pairs, done).select(*PAIR)
 
 
+def _repaired(spark, sf):
+    """Lists of the vectors, made before some of them were edited, removed and added, and repaired since."""
+    after = B.vectors(spark, sf)
+    pos = F.col("pos")
+    before = after.filter(pos % 200 != 13).withColumn("embedding", F.when(pos % 100 == 7, F.reverse("embedding")).otherwise(F.col("embedding")))
+    before = before.unionByName(after.filter(pos % 200 == 29).withColumn("pos", -pos))
+    pairs = P.framework_pairs(P.in_name_order(similarity.framework_sizes(before)))
+
+    def score(vectors, named):
+        return similarity.cosine_cells(vectors, named, B.VECTOR_THRESHOLD, B.K, digits=B.DIGITS)
+
+    stored = cut(C.select_candidates(score(before, pairs), B.VECTOR_THRESHOLD, B.K))
+    changed = repair.changes(repair.row_marks(before), repair.row_marks(after))
+    return repair.repaired(stored, after, changed, pairs, score, B.VECTOR_THRESHOLD, B.K)
+
+
+@query
+def repaired_candidates(spark, sf):
+    return _repaired(spark, sf).selected
+
+
+@query
+def repair_counts(spark, sf):
+    return _repaired(spark, sf).counts
+
+
 @query
 def similarity_matrix(spark, sf):
     sizes, pairs = B.vector_pairs(spark, sf)

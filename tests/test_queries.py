@@ -20,8 +20,12 @@ def con():
     return database(SF_DIR)
 
 
+#: Reports of how much work was left out; tests/test_pivots.py and tests/test_repair.py hold them against brute force.
+WITHOUT_SQL = {"pruned_tiles", "repair_counts"}
+
+
 def test_every_query_has_sql():
-    assert set(REGISTERED) == set(ORACLE)
+    assert set(REGISTERED) == set(ORACLE) | WITHOUT_SQL
     assert set(REGISTERED) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -35,7 +39,7 @@ def test_entry_works_without_the_operators_for_training_data(tmp_path):
     assert said.stdout.split() == sorted(REGISTERED), said.stderr
 
 
-@pytest.mark.parametrize("name", list(REGISTERED))
+@pytest.mark.parametrize("name", list(ORACLE))
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, entry.queries()[name], entry.oracle_sql()[name], SF_DIR) == ""
 
