@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +14,7 @@ from crossmap.operators.candidates import candidates
 from crossmap.operators.ordering import PAIR
 from crossmap.operators.pairs import framework_pairs, in_name_order
 from crossmap.operators import verdicts as V
-from crossmap.operators.sizes import cut
+from crossmap.operators.sizes import cut, shared_folder
 from crossmap.sources.tables import requirements_from_documents
 
 VECTOR_THRESHOLD = 0.20
@@ -223,6 +225,39 @@ def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select("framework", F.concat(F.lit("/in/"), "framework").alias("path"), "content")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+
+
+def written_documents(spark: SparkSession, sf_dir: str) -> str:
+    """The customer documents as files, a folder for each framework."""
+    folder = scratch(spark, "documents")
+    customer_documents(spark, sf_dir).select("framework", "content").repartition("framework").write.partitionBy("framework").text(folder)
+    return folder
+
+
+def folder_name() -> Column:
+    return F.regexp_extract("path", "framework=([^/]+)/", 1)
+
+
+def title_judge(requests: DataFrame) -> DataFrame:
+    """A judge that reads the numbers of both vectors of each pair in the request's text."""
+    numbers = F.transform(F.regexp_extract_all("text", F.lit(r"Vector (\d+)"), F.lit(1)), lambda x: x.cast("bigint"))
+    rows = requests.withColumn("_n", numbers)
+
+    def part(place, shift):
+        return F.get("_n", (2 * place + shift).cast("int"))
+
+    def score(a, b):
+        return lambda i: (F.lit(a) * part(i, 0) + F.lit(b) * part(i, 1)) % 101 / 100
+
+    verdicts = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.struct(
+        score(7, 13)(i).alias("coverage_A_to_B"), score(11, 5)(i).alias("coverage_B_to_A"), score(31, 17)(i).alias("confidence"), F.lit("partial").alias("relation_type")))
+    raw = F.when(F.col("n") == 1, F.to_json(F.get(verdicts, F.lit(0)))).otherwise(F.to_json(F.struct(verdicts.alias("results"))))
+    return rows.select(*PAIR, "batch_no", raw.alias("raw"))
+
+
 def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dimension rows for the even parts: id prefix and one renamed section."""
     span = F.floor(F.col("c_custkey") / DOCUMENT_SPAN)

@@ -417,4 +417,20 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'requirements', CAST(sum(n) AS BIGINT) FROM sizes UNION ALL SELECT 'pairs', count(*) FROM pairs
         UNION ALL SELECT 'matrix_cells', CAST(sum(n_A * n_B) AS BIGINT) FROM pairs UNION ALL SELECT 'candidates', count(*) FROM found
         UNION ALL SELECT 'kept', count(*) FROM kept UNION ALL SELECT 'removed', count(*) FROM removed""",
+    "scanned_documents": FLATTENED,
+    "listed_frameworks": """WITH n AS (SELECT count(DISTINCT c_custkey // 500) AS n FROM customer)
+        SELECT n AS frameworks, CAST(n * (n - 1) // 2 AS BIGINT) AS pairs FROM n""",
+    "loaded_documents": f"WITH {DOCUMENTS} SELECT * FROM r",
+    "stored_requirements": f"WITH {DOCUMENTS} SELECT * FROM r",
+    "stored_candidates": f"WITH {VECTORS} SELECT {KEYS}, title_A, title_B, semantic_score FROM found",
+    "exported_candidates": f"WITH {VECTORS} SELECT {KEYS}, title_A, title_B, semantic_score FROM found",
+    "exported_relations": f"""{VIEWED} SELECT {KEYS}, semantic_score, coverage_A_to_B, coverage_B_to_A, confidence, relation_type FROM related""",
+    "ordered_relations": f"{VIEWED} SELECT {KEYS}, semantic_score, confidence FROM related ORDER BY confidence DESC",
+    "mapping_run": f"""WITH {VECTORS},{RELATED},{THRESHOLDS}, judged AS (SELECT {KEYS}, semantic_score, confidence,
+        {relation("coverage_A_to_B", "coverage_B_to_A", "thresh_eq", "thresh_cov")} AS relation_type
+        FROM scored JOIN limits USING (framework_A, framework_B))
+        SELECT * FROM judged WHERE relation_type <> 'no_link' AND confidence >= 0.4""",
+    "run_totals": f"""WITH {VECTORS} SELECT 'frameworks' AS metric, count(*) AS amount FROM sizes
+        UNION ALL SELECT 'requirements', CAST(sum(n) AS BIGINT) FROM sizes UNION ALL SELECT 'pairs', count(*) FROM pairs
+        UNION ALL SELECT 'matrix_cells', CAST(sum(n_A * n_B) AS BIGINT) FROM pairs UNION ALL SELECT 'candidates', count(*) FROM found""",
 }

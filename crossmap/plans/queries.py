@@ -18,9 +18,12 @@ from crossmap.operators.flatten import flatten_requirements
 from crossmap.operators.ordering import PAIR
 from crossmap.operators.sizes import cut
 from crossmap.plans import bindings as B
+from crossmap.plans import runs, stored
 from crossmap.plans.mapping import mapping_totals
 from crossmap.sources import dimension as D
-from crossmap.sources.documents import decode_documents
+from crossmap.sources import tables
+from crossmap.sources.documents import decode_documents, framework_counts, list_frameworks, read_documents
+from crossmap.sources.registry import loader
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -498,3 +501,79 @@ def mapping_counts(spark, sf):
     related = cut(B.vector_relations(spark, sf))
     kept, removed = K.cleanup(related)
     return mapping_totals(B.vector_requirements(spark, sf), pairs, related, kept, removed)
+
+
+@query
+def scanned_documents(spark, sf):
+    """The documents written as files, found, read and decoded."""
+    documents = read_documents(spark, B.written_documents(spark, sf), B.folder_name(), recursive=True, pattern="*.txt")
+    rows = flatten_requirements(decode_documents(documents), B.customer_dim(spark, sf))
+    return rows.withColumn("tags", F.array_join("tags", "/"))
+
+
+@query
+def listed_frameworks(spark, sf):
+    return framework_counts(list_frameworks(spark, B.written_documents(spark, sf), name=B.folder_name(), pattern="*.txt"))
+
+
+@query
+def loaded_documents(spark, sf):
+    """The named loader of document tables."""
+    return loader("documents")(spark, f"{sf}/documents.parquet").withColumn("tags", F.array_join("tags", ","))
+
+
+@query
+def stored_requirements(spark, sf):
+    folder = B.scratch(spark, "requirements")
+    tables.write_requirements(B.document_requirements(spark, sf), folder, "json")
+    return tables.read_requirements(spark, folder, "json").select("framework", "id", "title", "description", F.array_join("tags", ",").alias("tags"), "pos")
+
+
+@query
+def stored_candidates(spark, sf):
+    """Two runs into one folder, the second one over more frameworks, and a run that died."""
+    folder, rows, vectors = B.scratch(spark, "stored"), B.vector_requirements(spark, sf), B.vectors(spark, sf)
+    settings = {"threshold": B.VECTOR_THRESHOLD, "k": B.K, "digits": B.DIGITS}
+    few = stored.update_candidates(rows.filter("framework < '5'"), folder, vectors.filter("framework < '5'"), **settings)
+    died = few.withColumns({"threshold": F.lit(B.VECTOR_THRESHOLD), "k": F.lit(B.K), "run": F.lit("run-9")})
+    tables.write_versioned(died, f"{folder}/{stored.CANDIDATES}", keys=["run"])
+    return stored.update_candidates(rows, folder, vectors, **settings).select(*CANDIDATE, "title_A", "title_B")
+
+
+@query
+def exported_candidates(spark, sf):
+    found, folder = B.vector_candidates(spark, sf).select(*CANDIDATE, "title_A", "title_B"), B.scratch(spark, "candidates")
+    reports.write_rows(found, folder, "json")
+    return spark.read.schema(found.schema).json(folder)
+
+
+@query
+def exported_relations(spark, sf):
+    related, folder = B.vector_relations(spark, sf), B.scratch(spark, "relations")
+    reports.export_relations(related, folder)
+    return tables.read_versioned(spark, folder, fmt="json").select(*CANDIDATE, "coverage_A_to_B", "coverage_B_to_A", "confidence", "relation_type")
+
+
+@query
+def ordered_relations(spark, sf):
+    """Relations by falling confidence."""
+    return views.by_score(B.vector_relations(spark, sf).select(*CANDIDATE, "confidence"), "confidence")
+
+
+@query
+def mapping_run(spark, sf):
+    """Relations that a whole run over stored requirements keeps, as it has exported them."""
+    source, folder = B.scratch(spark, "source"), B.scratch(spark, "run")
+    tables.write_requirements(B.vector_requirements(spark, sf), source)
+    made = runs.run(spark, source, folder, "requirements", vectors=B.vectors(spark, sf), judge=B.title_judge, threshold=B.VECTOR_THRESHOLD, k=B.K, digits=B.DIGITS)
+    return made["kept"].select(*CANDIDATE, "confidence", "relation_type")
+
+
+@query
+def run_totals(spark, sf):
+    """What a run has counted while it wrote its tables; the second of two runs finds everything stored."""
+    source, folder = B.scratch(spark, "source"), B.scratch(spark, "run")
+    tables.write_requirements(B.vector_requirements(spark, sf), source)
+    for _ in range(2):
+        made = runs.run(spark, source, folder, "requirements", vectors=B.vectors(spark, sf), threshold=B.VECTOR_THRESHOLD, k=B.K, digits=B.DIGITS)
+    return made["totals"]

@@ -74,6 +74,7 @@ def update_candidates(
     force: bool = False,
     changed: DataFrame | None = None,
     encoding: str = "",
+    digits: int = similarity.DIGITS,
 ) -> DataFrame:
     """Computes the pairs that are not finished yet, stores them, gives all candidates.
 
@@ -86,7 +87,7 @@ def update_candidates(
     pairs = with_content(pairs, contents(requirements, vectors), encoding)
     todo = broadcast_if_small(incremental(pairs, finished_pairs(spark, folder, CANDIDATES), force, changed))
     if not todo.isEmpty():
-        fresh = candidates(requirements, vectors, encoder, threshold=threshold, k=k, pairs=todo.select(*PAIR))
+        fresh = candidates(requirements, vectors, encoder, threshold=threshold, k=k, pairs=todo.select(*PAIR), digits=digits)
         _append(fresh, todo, folder, CANDIDATES, threshold, k)
     return stored(spark, folder, CANDIDATES, threshold, k)
 

@@ -14,19 +14,19 @@ from crossmap.sources.schemas import NODE
 cloudpickle.register_pickle_by_value(decode)
 
 
-def _files(spark: SparkSession, paths: str | list[str], recursive: bool) -> DataFrame:
+def _files(spark: SparkSession, paths: str | list[str], recursive: bool, pattern: str | None = None) -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", str(recursive).lower())
-        .option("pathGlobFilter", "*.yaml" if recursive else "*.{yaml,yml}")
+        .option("pathGlobFilter", pattern or ("*.yaml" if recursive else "*.{yaml,yml}"))
         .load(paths)
     )
 
 
-def list_frameworks(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+def list_frameworks(spark: SparkSession, root: str, recursive: bool = True, name: Column | None = None, pattern: str | None = None) -> DataFrame:
     """(framework, path) of every document below a folder; contents stay unread."""
-    name = text.framework_name(F.col("path")).alias("framework")
-    return latest(_files(spark, root, recursive).select(name, "path"))
+    name = text.framework_name(F.col("path")) if name is None else name
+    return latest(_files(spark, root, recursive, pattern).select(name.alias("framework"), "path"))
 
 
 def latest(files: DataFrame) -> DataFrame:
@@ -43,14 +43,14 @@ def framework_counts(frameworks: DataFrame) -> DataFrame:
 
 
 def read_documents(
-    spark: SparkSession, paths: str | list[str], name: Column | None = None, recursive: bool = False
+    spark: SparkSession, paths: str | list[str], name: Column | None = None, recursive: bool = False, pattern: str | None = None
 ) -> DataFrame:
     """(framework, path, content), one row per framework document.
 
     The choice between files of the same name looks at the paths only.
     """
     name = text.framework_name(F.col("path")) if name is None else name
-    files = _files(spark, paths, recursive).withColumn("framework", name)
+    files = _files(spark, paths, recursive, pattern).withColumn("framework", name)
     chosen = broadcast_if_small(latest(files.select("framework", "path")))
     content = F.decode("content", "UTF-8").alias("content")
     return files.select("framework", "path", content).join(chosen, ["framework", "path"], "left_semi")
