@@ -19,7 +19,7 @@ gives an empty result; further columns can have any names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -36,6 +36,8 @@ SCALE, COMPONENTS = 256, 4
 LEAST_SHARE = 1e-12
 #: Vectors that a task works on at a time.
 _ROWS = 4096
+#: Tasks that add up what partitions have summed, before it is added up by dimension.
+MERGED_BY = 16
 _RESULT = "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double"
 
 
@@ -82,16 +84,31 @@ def totals(fit: DataFrame, size: int) -> tuple[int, list[int], float]:
         if n:
             yield pa.RecordBatch.from_pydict({"dim": list(range(size)), "n": [n] * size, "total": [str(s) for s in sums], "most": most.tolist()}, schema=schema)
 
-    def summed(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        return pa.Table.from_pydict({"dim": [key[0].as_py()], "n": [sum(group["n"].to_pylist())], "total": [str(sum(map(int, group["total"].to_pylist())))],
+    def summed(group: pa.Table) -> pa.Table:
+        return pa.Table.from_pydict({"dim": [group["dim"][0].as_py()], "n": [sum(group["n"].to_pylist())], "total": [str(sum(map(int, group["total"].to_pylist())))],
                                      "most": [max(group["most"].to_pylist())]}, schema=schema)
 
     ddl = "dim int, n bigint, total string, most double"
     schema = pa.schema([("dim", pa.int32()), ("n", pa.int64()), ("total", pa.string()), ("most", pa.float64())])
-    rows = sorted(fit.mapInArrow(partial, ddl).groupBy("dim").applyInArrow(summed, ddl).collect())
+    rows = sorted(_added(fit.mapInArrow(partial, ddl), summed).collect())
     return (rows[0]["n"], [int(row["total"]) for row in rows], max(row["most"] for row in rows)) if rows else (0, [0] * size, 0.0)
 
 
+def _added(parts: DataFrame, summed: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """One row for each dim from those of all partitions: first within a few tasks, whatever their dim, then by dim."""
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, pa.Table] = {}
+        for batch in batches:
+            for i, dim in enumerate(batch.column("dim").to_pylist()):
+                row = pa.Table.from_batches([batch.slice(i, 1)])
+                held[dim] = summed(pa.concat_tables([held[dim], row])) if dim in held else row
+        for table in held.values():
+            yield from table.to_batches()
+
+    few = parts.repartition(MERGED_BY).mapInArrow(within, parts.schema)
+    return few.groupBy("dim").applyInArrow(lambda key, group: summed(group), parts.schema)
+
+
 def products(fit: DataFrame, size: int, centred, width: int) -> np.ndarray:
     """Sums of products of the `width` entries that `centred` makes of each vector, as a matrix."""
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,11 +118,11 @@ def products(fit: DataFrame, size: int, centred, width: int) -> np.ndarray:
             out += y.T @ y
         yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array([row.tobytes() for row in out], pa.binary())], ["dim", "line"])
 
-    def summed(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+    def summed(group: pa.Table) -> pa.Table:
         line = np.sum([np.frombuffer(x, np.float64) for x in sorted(group["line"].to_pylist())], axis=0)
-        return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "line": pa.array([line.tobytes()], pa.binary())})
+        return pa.table({"dim": pa.array([group["dim"][0].as_py()], pa.int32()), "line": pa.array([line.tobytes()], pa.binary())})
 
-    rows = fit.mapInArrow(partial, "dim int, line binary").groupBy("dim").applyInArrow(summed, "dim int, line binary").collect()
+    rows = _added(fit.mapInArrow(partial, "dim int, line binary"), summed).collect()
     out = np.zeros((width, width))
     for row in rows:
         out[row["dim"]] = np.frombuffer(row["line"], np.float64)
