@@ -52,6 +52,8 @@ BROADCAST_IDS = 1_000_000
 SMALL, CELL = 32, 1 << 18
 #: Pairs with one leader that share a copy of its set.
 PER_COPY = 500
+#: Parts over which the nodes of a group are dealt where they are joined with the group's one row.
+SALTS = 32
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
@@ -282,18 +284,17 @@ def components(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
             return labels
 
 
-def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose nodes are in different components so far."""
-    left, right = labels.toDF("a", "label_a"), labels.toDF("b", "label_b")
-    joined = pairs.join(left, "a", "left").join(right, "b", "left")
-    return joined.filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select(*pairs.columns)
+def _joined(rows: DataFrame, one: DataFrame, group: str) -> DataFrame:
+    """Rows of nodes with the one row of their group; a group with most of the rows is dealt over SALTS parts."""
+    parts = one.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS))).join(parts, [group, "salt"]).drop("salt")
 
 
 def _majority(rows: DataFrame, group: str) -> DataFrame:
     """Rows of groups with several labels, with the group's most frequent label."""
     shares = rows.groupBy(group, "label").count()
     main = shares.groupBy(group).agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels"))
-    return rows.join(main.filter("labels > 1").drop("labels"), group)
+    return _joined(rows, main.filter("labels > 1").drop("labels"), group)
 
 
 def _crossing(state: DataFrame, tested: DataFrame, classes: DataFrame, threshold: tuple[int, int], registers: int) -> DataFrame:
@@ -325,7 +326,7 @@ def _linked_in_clusters(state: DataFrame, classes: DataFrame, docs: DataFrame, s
     rows = state.select("node", "n", F.col("label").alias("component")).distinct().join(clusters.toDF("node", "cluster"), "node")
     rows = _majority(rows.withColumnRenamed("component", "label"), "cluster").withColumn("outside", F.col("label") != F.col("main"))
     sizes = rows.groupBy("cluster").agg((1 + F.floor(F.sum("n") / CELL)).alias("blocks"), (1 + F.floor(F.sum(F.when(F.col("outside"), F.col("n"))) / CELL)).alias("parts"))
-    rows = checkpointed(rows.join(sizes, "cluster").select("cluster", "node", "label", "outside", "blocks", "parts"))
+    rows = checkpointed(_joined(rows, sizes, "cluster").select("cluster", "node", "label", "outside", "blocks", "parts"))
     if rows.isEmpty():
         return rows.select(F.col("node").alias("a"), F.col("node").alias("b"))
     number = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n))
