@@ -58,8 +58,32 @@ def test_equal_hashes_are_told_apart(spark, monkeypatch):
     windows = decontaminate.Windows([(1, "a b c"), (2, "b c d")], 2)
     import numpy as np
     ids = np.array([windows.number[x] for x in (b"b", b"c", b"d", b"a", b"b")])
-    got = {(int(a), tuple(owners[n])) for _, at, numbers, owners in windows.scan(ids) for a, n in zip(at, numbers)}
-    assert got == {(0, (1, 2)), (1, (2,)), (3, (1,))}
+    got = {}
+    for table, _, at, numbers in windows.scan(ids):
+        for a, n in zip(at.tolist(), numbers.tolist()):
+            got.setdefault(a, set()).update(windows.owners(table, n))
+    assert got == {0: {1, 2}, 1: {2}, 3: {1}}
+
+
+def test_windows_are_held_in_as_many_bytes_as_counted():
+    """A megabyte of items takes less than is counted for it, and a small share of what objects would take."""
+    import tracemalloc
+
+    text = " ".join(f"w{i % 50_000}" for i in range(170_000))
+    items = [(i, text[i * 1000:(i + 1) * 1000]) for i in range(len(text) // 1000)]
+    n = sum(len(words(x)) for _, x in items)
+    tracemalloc.start()
+    windows = decontaminate.Windows(items, 10)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held <= n * decontaminate.WORD_BYTES + len(windows.number) * decontaminate.NUMBER_BYTES + 200 * len(items)
+
+
+def test_many_results_and_copies_of_a_hit(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SENT_RESULTS", 1)
+    documents = CASES + [(1000 + i, f"before {ITEM.upper()}, after") for i in range(300)]
+    wanted = [(i, n, h, [str(x) for x in own]) for i, n, h, own in brute(documents, ITEMS)]
+    assert hits(spark, documents, ITEMS, block_bytes=1) == wanted
 
 
 def test_empty_tables(spark):
