@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from crossmap.functions import relations as R
 from crossmap.functions import request, text
 from crossmap.operators.candidates import lookup_last
+from crossmap.operators.heavy import join_lookup
 from crossmap.operators.ordering import PAIR, candidate_index
 from crossmap.sources.schemas import RELATION_COLUMNS
 
@@ -40,7 +41,7 @@ def _with_texts(candidates: DataFrame, requirements: DataFrame) -> DataFrame:
     plain = candidates.drop("title_A", "title_B")
     for letter in ("A", "B"):
         side = texts.withColumnsRenamed({name: f"{name}_{letter}" for name in texts.columns})
-        plain = plain.join(side, [f"framework_{letter}", f"id_{letter}"])
+        plain = join_lookup(plain, side, [f"framework_{letter}", f"id_{letter}"])
     return plain
 
 
