@@ -433,4 +433,8 @@ ORACLE: dict[str, str] = {
     "run_totals": f"""WITH {VECTORS} SELECT 'frameworks' AS metric, count(*) AS amount FROM sizes
         UNION ALL SELECT 'requirements', CAST(sum(n) AS BIGINT) FROM sizes UNION ALL SELECT 'pairs', count(*) FROM pairs
         UNION ALL SELECT 'matrix_cells', CAST(sum(n_A * n_B) AS BIGINT) FROM pairs UNION ALL SELECT 'candidates', count(*) FROM found""",
+    "stored_matrix_cells": f"""WITH {VECTORS} SELECT x.framework AS framework_A, y.framework AS framework_B, x.pos AS pos_A, y.pos AS pos_B,
+        round(greatest(0.0, least(1.0, list_cosine_similarity(x.e, y.e))), 6) AS score FROM v x JOIN v y ON x.framework = '2' AND y.framework = '7'""",
 }
+ORACLE["stored_matrix_sample"] = ORACLE["matrix_sample"]
+ORACLE["stored_matrix_floor"] = ORACLE["matrix_floor"]

@@ -18,7 +18,7 @@ from crossmap.operators.flatten import flatten_requirements
 from crossmap.operators.ordering import PAIR
 from crossmap.operators.sizes import cut
 from crossmap.plans import bindings as B
-from crossmap.plans import runs, stored
+from crossmap.plans import matrices, runs, stored
 from crossmap.plans.mapping import mapping_totals
 from crossmap.sources import dimension as D
 from crossmap.sources import tables
@@ -577,3 +577,32 @@ def run_totals(spark, sf):
     for _ in range(2):
         made = runs.run(spark, source, folder, "requirements", vectors=B.vectors(spark, sf), threshold=B.VECTOR_THRESHOLD, k=B.K, digits=B.DIGITS)
     return made["totals"]
+
+
+def _with_matrices(spark, sf):
+    """A folder with the candidates of the vectors and their matrices, made in two steps."""
+    folder, rows, vectors = B.scratch(spark, "matrices"), B.vector_requirements(spark, sf), B.vectors(spark, sf)
+    for end in ("5", "a"):
+        own = [df.filter(F.col("framework") < end) for df in (rows, vectors)]
+        stored.update_candidates(own[0], folder, own[1], threshold=B.VECTOR_THRESHOLD, k=B.K, digits=B.DIGITS)
+        matrices.update_matrices(own[1], folder, B.VECTOR_THRESHOLD, B.K)
+    return folder
+
+
+@query
+def stored_matrix_sample(spark, sf):
+    shown = matrices.stored_sample(spark, _with_matrices(spark, sf), B.VECTOR_THRESHOLD, B.K)
+    return shown.withColumn("score", F.round("score", 4))
+
+
+@query
+def stored_matrix_floor(spark, sf):
+    floors = views.matrix_floor(matrices.stored_sample(spark, _with_matrices(spark, sf), B.VECTOR_THRESHOLD, B.K))
+    return floors.withColumn("floor", F.round("floor", 4))
+
+
+@query
+def stored_matrix_cells(spark, sf):
+    """The whole matrix of one framework pair, cell by cell, from the store."""
+    grids = matrices.stored_grids(spark, _with_matrices(spark, sf), B.VECTOR_THRESHOLD, B.K, pair=("2", "7"))
+    return similarity.matrix_cells(grids).withColumn("score", F.round("score", 6))
