@@ -438,3 +438,4 @@ ORACLE: dict[str, str] = {
 }
 ORACLE["stored_matrix_sample"] = ORACLE["matrix_sample"]
 ORACLE["stored_matrix_floor"] = ORACLE["matrix_floor"]
+ORACLE["indexed_search"] = ORACLE["search_candidates"]

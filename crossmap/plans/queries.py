@@ -12,7 +12,7 @@ from crossmap.operators import candidates as C
 from crossmap.operators import cleanup as K
 from crossmap.operators import incremental as I
 from crossmap.operators import pairs as P
-from crossmap.operators import repair, reports, similarity, thresholds, validate, views
+from crossmap.operators import repair, reports, search, similarity, thresholds, validate, views
 from crossmap.operators import verdicts as V
 from crossmap.operators.flatten import flatten_requirements
 from crossmap.operators.ordering import PAIR
@@ -459,6 +459,12 @@ def search_candidates(spark, sf):
     return views.search_candidates(B.vector_candidates(spark, sf), 0.25, "vector 1.*7$").select(*CANDIDATE)
 
 
+@query
+def indexed_search(spark, sf):
+    index = search.title_index(B.vector_requirements(spark, sf))
+    return search.search_indexed(B.vector_candidates(spark, sf), index, 0.25, "vector 1.*7$").select(*CANDIDATE)
+
+
 @query
 def filter_relations(spark, sf):
     related = B.vector_relations(spark, sf)
