@@ -8,13 +8,18 @@ keys of the same hash would be split together, which changes no result.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crossmap.operators.sizes import busy_partitions
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Counters of a summary: keys of more than one in so many rows are found. Tasks that merge summaries before the driver does.
 COUNTERS, MERGED_BY = 256, 16
 MOST_PARTS = 1024
