@@ -115,7 +115,12 @@ def _layout(sizes: DataFrame, rows: int, bytes_per_weight: int) -> Layout:
 
 def _spread(vectors: DataFrame, counts: DataFrame) -> DataFrame:
     """Positions are spread over the tiles by hash."""
-    return vectors.join(counts, "framework").withColumn("block", F.pmod(F.xxhash64("pos"), "blocks"))
+    return vectors.join(counts, "framework").withColumn("block", block_of("pos"))
+
+
+def block_of(pos: str) -> Column:
+    """The tile of a position, of as many as the column `blocks` says."""
+    return F.pmod(F.xxhash64(pos), "blocks")
 
 
 def _tiles(vectors: DataFrame, payload: str) -> DataFrame:
@@ -191,6 +196,12 @@ def _dense_layout(vectors: DataFrame, rows: int, sizes: DataFrame | None) -> tup
     return _layout(sizes.withColumn("weight", F.col("n")), rows, dimension * BYTES_PER_NUMBER), dimension
 
 
+def dense_blocks(vectors: DataFrame, rows: int = DENSE_ROWS, sizes: DataFrame | None = None) -> tuple[Layout, DataFrame]:
+    """The tiles that `similarity_matrix` multiplies, (framework, block, rows), and their layout."""
+    layout, _ = _dense_layout(vectors, rows, sizes)
+    return layout, _tiles(_spread(vectors, layout.counts), "embedding")
+
+
 def _dense_pairs(vectors: DataFrame, pairs: DataFrame, rows: int, sizes: DataFrame | None) -> Paired:
     layout, _ = _dense_layout(vectors, rows, sizes)
     return paired_tiles(vectors, pairs, "embedding", layout)
@@ -259,6 +270,15 @@ def similarity_matrix(
     return paired.rows.mapInArrow(tiles.grid_job(paired.read, digits), GRID)
 
 
+def grids_of_tiles(work: DataFrame, blocks: DataFrame, digits: int = DIGITS) -> DataFrame:
+    """The grids of listed pairs of tiles (framework_A, block_A, framework_B, block_B), whose tiles are at hand."""
+    size = F.size("rows").cast("bigint") * F.size(F.get("rows.payload", F.lit(0))) * BYTES_PER_NUMBER
+    total = blocks.agg(F.count("*").alias("tiles"), F.sum(size).alias("bytes")).first()
+    counts = blocks.groupBy("framework").agg(F.count("*").alias("blocks"))
+    paired = _met(work, blocks, Layout(counts, max(total["tiles"], 1), (total["bytes"] or 0) <= BROADCAST_BYTES))
+    return paired.rows.mapInArrow(tiles.grid_job(paired.read, digits), GRID)
+
+
 def matrix_cells(grids: DataFrame) -> DataFrame:
     """One row per cell of the grids, with the score clipped to [0, 1] for display."""
     width = F.size("pos_B")
