@@ -99,3 +99,22 @@ def test_empty_tables_and_thresholds_without_an_index(spark):
     assert found(words.limit(0), 0.3) == []
     with pytest.raises(ValueError):
         found(words, 0.0)
+
+
+def test_packed_rows_hold_the_same_words_in_few_bytes(spark):
+    """Rows that travel to every shard: about three bytes a word, which were sixteen."""
+    source = random.Random(5)
+    listed = [(f, pos, [f"w{source.randrange(3000)}" for _ in range(300)]) for f in ("a", "b") for pos in range(50)] + [("a", 50, ["w1"] * 70_000 + ["w2"] * 300)]
+    words = spark.createDataFrame(listed, "framework STRING, pos BIGINT, terms ARRAY<STRING>").withColumn("weight", F.lit(1))
+    kept = term_join.numbered(words, 0.1)
+    packed = term_join.packed(kept)
+    number, size = kept.agg(F.sum(F.size("terms"))).first()[0], packed.agg(F.sum(F.length("words"))).first()[0]
+    assert number > 20_000 and size < 3.2 * number
+    assert rows(term_join.prefixes(packed).select("framework", "pos", "prefix", F.to_json("terms"))) == rows(kept.select("framework", "pos", "prefix", F.to_json("terms")))
+    assert found(words, 0.1, shard=16) == brute(words, 0.1, 5)
+
+
+def test_sums_beyond_single_precision_are_exact(spark):
+    listed = [(f, pos, ["x"] * (9000 + pos) + ["y"] * (7000 + 3 * pos) + ["z"] * pos) for f in ("a", "b") for pos in range(60)]
+    words = spark.createDataFrame(listed, "framework STRING, pos BIGINT, terms ARRAY<STRING>").withColumn("weight", F.lit(1))
+    assert found(words, 0.5) == brute(words, 0.5, 5)
