@@ -6,6 +6,10 @@ at the same time, until no pair of any sequence has a rank. That equals merging
 one pair after the other if no symbol is made by two merges and every merge
 comes after those that make its parts; the vocabulary is checked for it, and
 otherwise only the leftmost pair of the lowest rank is applied in a round.
+
+The texts of a slice are cut into pre-tokens as one array of characters, so that
+only distinct pre-tokens become Python values; those met before are remembered.
+Files with another pattern than SPLIT have it applied to distinct words.
 """
 
 from __future__ import annotations
@@ -15,13 +19,17 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import regex
 
 from crossmap.llm.common import Words
 
 #: Distinct strings that a worker remembers, and the longest one that it does.
-REMEMBERED, LONGEST = 200_000, 48
+REMEMBERED, LONGEST = 500_000, 48
 _NONE = np.int32(np.iinfo(np.int32).max)
+#: The pattern of pre-tokens that `Bpe.pretokens` follows, and its kinds of characters; ones not met yet are UNKNOWN.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_UNKNOWN, _WHITE, _LETTER, _DIGIT, _OTHER, _SPECIAL = range(6)
 
 
 def _byte_letters() -> list[str]:
@@ -59,6 +67,9 @@ class Bpe:
         self.special = {x["content"].encode(): x["id"] for x in spec["added_tokens"]}
         self.cut = regex.compile(b"(" + b"|".join(regex.escape(x) for x in sorted(self.special, key=len, reverse=True)) + b")") if self.special else None
         self.known: dict[bytes, bytes] = {}
+        self.at_once = splits[0]["pattern"]["Regex"] == SPLIT and not any(self.pattern.fullmatch(_normal(x)) for x in self.special)
+        self.kinds = np.zeros(0x110000, np.uint8)
+        self.cased = [(regex.compile(x), kind) for x, kind in ((r"\s", _WHITE), (r"\p{L}", _LETTER), (r"\p{N}", _DIGIT), ("(?s).", _OTHER))]
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs of symbols, _NONE for pairs that are not merged."""
@@ -132,35 +143,95 @@ class Bpe:
         edges = (stops[places == mark] * 4).tolist() + [len(raw)]
         return [raw[a:b] for a, b in zip([0, *edges], edges)]
 
-    def _distinct(self, chunks: list[bytes]) -> list[bytes]:
-        """The token ids of distinct strings; those met before are remembered."""
+    def _kind(self, characters: np.ndarray) -> np.ndarray:
+        kind = self.kinds[characters]
+        if (kind == _UNKNOWN).any():
+            for c in np.unique(characters[kind == _UNKNOWN]).tolist():
+                self.kinds[c] = next(k for pattern, k in self.cased if pattern.match(chr(c)))
+            kind = self.kinds[characters]
+        return kind
+
+    def pretokens(self, words: Words) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Pre-tokens and special strings of all texts by number, where each text ends, and the distinct ones."""
+        texts, parts, special, last = words.utf8(), [], [], []
+        for text in texts:
+            pieces = self.cut.split(text) if self.cut and any(x in text for x in self.special) else [text]
+            special += [n for n, x in enumerate(pieces, len(parts)) if x in self.special]
+            parts += [x.decode() if x in self.special else _normal(x) for x in pieces]
+            last.append(len(parts) - 1)
+        joined = "\n".join([*parts, "\n"])  # white space behind every part, and two more characters behind the last
+        raw = np.frombuffer(joined.encode(), np.uint8)
+        characters = raw if joined.isascii() else np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        kind = self._kind(characters)
+        stops = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
+        for n in special:
+            kind[stops[n] - len(parts[n]):stops[n]] = _SPECIAL
+        inside = kind != _WHITE
+        new = np.empty(len(kind), bool)
+        new[0] = True
+        np.not_equal(kind[1:], kind[:-1], out=new[1:])
+        new |= kind == _DIGIT
+        new &= inside
+        quotes = np.flatnonzero((characters == ord("'")) & new & (kind == _OTHER))
+        first, second = characters[quotes + 1], characters[quotes + 2]
+        short = np.isin(first, [ord(x) for x in "stmd"])
+        long = (second == ord("e")) & ((first == ord("r")) | (first == ord("v"))) | (first == ord("l")) & (second == ord("l"))
+        quotes, behind = quotes[short | long], (quotes + np.where(short, 2, 3))[short | long]
+        new[quotes + 1] = False
+        new[behind[kind[behind] == _LETTER]] = True
+        at = np.flatnonzero(new)
+        if characters is raw:
+            data, offsets = raw[inside], np.flatnonzero(new[inside])
+        else:
+            width = 1 + (characters >= 0x80) + (characters >= 0x800).view(np.uint8) + (characters >= 0x10000)
+            data = raw[np.repeat(inside, width)]
+            width *= inside
+            offsets = (np.cumsum(width, dtype=np.int64) - width)[at]
+        offsets = np.append(offsets, len(data))
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        ends = np.searchsorted(at, stops[last]) if last else np.zeros(0, np.int64)
+        return coded.indices.to_numpy(zero_copy_only=False), ends, coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+
+    def _distinct(self, words: Words) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The token ids of distinct pre-tokens or words, those of the texts by number, and where each text ends."""
         known = self.known
+        codes, ends, chunks = self.pretokens(words) if self.at_once else (words.codes, words.ends, words.distinct)
         out = list(map(known.get, chunks))
         missing = [i for i, x in enumerate(out) if x is None]
-        found = self.encode_words([chunks[i] for i in missing])
+        found = self._encoded([chunks[i] for i in missing])
         if len(known) + len(found) > REMEMBERED:
             known.clear()
         for i, ids in zip(missing, found):
             out[i] = ids
             if len(chunks[i]) <= LONGEST:
                 known[chunks[i]] = ids
-        return out
+        return out, codes, ends
+
+    def _encoded(self, chunks: list[bytes]) -> list[bytes]:
+        if not self.at_once:
+            return self.encode_words(chunks)
+        plain = [x for x in chunks if x not in self.special]
+        symbols, ends = self.merged(plain) if plain else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        raw, ends = symbols.astype("<u4").tobytes(), (ends * 4).tolist()
+        found = (raw[a:b] for a, b in zip([0, *ends], ends))
+        return [int(self.special[x]).to_bytes(4, "little") if x in self.special else next(found) for x in chunks]
 
     def counts(self, words: Words) -> np.ndarray:
         """Tokens of each text."""
-        sizes = np.fromiter(map(len, self._distinct(words.distinct)), np.int64, len(words.distinct)) // 4
-        total = np.concatenate(([0], np.cumsum(sizes[words.codes])))[words.ends]
+        ids, codes, ends = self._distinct(words)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        total = np.concatenate(([0], np.cumsum(sizes[codes])))[ends]
         return np.diff(total, prepend=0)
 
     def encode(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """The token ids of all texts, one after the other, and where each text ends."""
-        ids = self._distinct(words.distinct)
+        ids, codes, ends = self._distinct(words)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat, firsts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
-        each = sizes[words.codes]
+        each = sizes[codes]
         stops = np.cumsum(each)
-        out = flat[np.arange(stops[-1] if len(stops) else 0) + np.repeat(firsts[words.codes] - stops + each, each)]
-        return out, np.concatenate(([0], stops))[words.ends]
+        out = flat[np.arange(stops[-1] if len(stops) else 0) + np.repeat(firsts[codes] - stops + each, each)]
+        return out, np.concatenate(([0], stops))[ends]
 
 
 def _in_order(finished: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:

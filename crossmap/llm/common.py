@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -94,23 +95,35 @@ def joined_sha256(items: Column) -> Column:
 
 
 class Words:
-    """The words between ASCII white space of a slice of texts.
+    """The words between ASCII white space of a slice of texts, cut when first asked for.
 
     codes: the number of each word, text after text; ends: where each text ends;
-    distinct: the words by number, as bytes.
+    distinct: the words by number, as bytes; counts: the words of each text.
     """
 
     def __init__(self, texts: pa.Array):
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+        self.texts = texts
+
+    def utf8(self) -> list[bytes]:
+        """The texts as bytes, null as empty."""
+        return [x or b"" for x in self.texts.cast(pa.binary()).to_pylist()]
+
+    @cached_property
+    def _parts(self) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        lists = pc.ascii_split_whitespace(pc.fill_null(self.texts.cast(pa.string()), ""))
         coded = lists.flatten().dictionary_encode()
         codes, ends = coded.indices.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()[1:].astype(np.int64) - lists.offsets[0].as_py()
-        self.distinct: list[bytes] = coded.dictionary.cast(pa.binary()).to_pylist()
-        if b"" in self.distinct:  # before and after the outer white space
-            real = codes != self.distinct.index(b"")
+        distinct = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        if b"" in distinct:  # before and after the outer white space
+            real = codes != distinct.index(b"")
             ends = np.concatenate(([0], np.cumsum(real)))[ends]
             codes = codes[real]
-        self.codes, self.ends = codes, ends
-        self.counts = np.diff(ends, prepend=0)
+        return codes, ends, distinct
+
+    codes = property(lambda self: self._parts[0])
+    ends = property(lambda self: self._parts[1])
+    distinct = property(lambda self: self._parts[2])
+    counts = property(lambda self: np.diff(self.ends, prepend=0))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -44,6 +44,31 @@ def test_one_merge_a_round_gives_the_same(library):
     assert [flat[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends)] == wanted(library, words)
 
 
+def test_marks_at_the_edges_of_pretokens(library):
+    source = random.Random(7)
+    parts = ["a", "b", " ", "\n", "'", "s", "t", "re", "ve", "ll", "d", "M", "'S", "'RE", "<|endoftext|>", "<|", "|>", ".", "!", "é", "e\u0301", "\u0301", "H\u0331", "ß", "0", "\u0662", "²", "½", "Ⅷ", "🎉",
+             "\x1c", "\x85", "\u00a0", "\u200b", "İ", "ΑΣ", "日本", "ǅ", "ﬁ", "\u212a", "한", "\u0345", "\0", "_"]
+    texts = ["".join(source.choices(parts, k=source.randint(0, 30))) for _ in range(3000)]
+    assert found(texts) == wanted(library, texts)
+    assert [len(x) for x in wanted(library, texts)] == bpe.load(PATH).counts(Words(pa.array(texts))).tolist()
+
+
+def test_files_with_another_pattern_cut_words_by_it(library):
+    own = bpe.Bpe(PATH)
+    own.at_once = False
+    texts = ["don't I'LL x<|endoftext|>y", "", "ΑΣ é 12!", None]
+    flat, ends = own.encode(Words(pa.array(texts)))
+    assert [flat[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends)] == wanted(library, texts)
+
+
+def test_pretokens_met_in_other_words_are_not_merged_again(monkeypatch):
+    own, merged = bpe.Bpe(PATH), []
+    monkeypatch.setattr(bpe.Bpe, "merged", lambda self, x, run=bpe.Bpe.merged: merged.append(x) or run(self, x))
+    own.encode(Words(pa.array(["Ship schön"])))
+    own.encode(Words(pa.array(["ship, SHIP. (schön) Schön,"])))
+    assert not {b"ship", "schön".encode()} & set(merged[1])
+
+
 def test_memory_of_strings_is_bounded(monkeypatch, library):
     monkeypatch.setattr(bpe, "REMEMBERED", 10)
     own = bpe.Bpe(PATH)
