@@ -48,12 +48,18 @@ class EliasFano:
         n = len(values)
         top = int(values[-1]) if n else 0
         width = min(56, max(0, (top // max(n, 1)).bit_length() - 1))
-        low = np.unpackbits(values.astype("<u8").view(np.uint8).reshape(n, 8), axis=1, bitorder="little")[:, :width]
         high = (values >> np.uint64(width)).astype(np.int64)
         bits = np.zeros(n + (top >> width) + 1, np.uint8)
         bits[high + np.arange(n)] = 1
-        packed = np.packbits(low.reshape(-1), bitorder="little")
-        return {f"{name}.low": np.concatenate((packed, np.zeros(8, np.uint8))), f"{name}.high": np.packbits(bits, bitorder="little"), f"{name}.shape": np.array([n, width, len(bits)], np.int64)}
+        words = np.zeros(n * width // 64 + 2, "<u8")
+        if n and width:
+            low, bit = values & np.uint64((1 << width) - 1), np.arange(n, dtype=np.uint64) * np.uint64(width)
+            word, shift = (bit >> np.uint64(6)).astype(np.int64), bit & np.uint64(63)
+            starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            words[word[starts]] = np.bitwise_or.reduceat(low << shift, starts)
+            over = shift > 64 - width  # the rest of such a value begins the next word
+            words[word[over] + 1] |= low[over] >> np.uint64(64) - shift[over]
+        return {f"{name}.low": np.concatenate((words.view(np.uint8)[:-(-n * width // 8)], np.zeros(8, np.uint8))), f"{name}.high": np.packbits(bits, bitorder="little"), f"{name}.shape": np.array([n, width, len(bits)], np.int64)}
 
     def __init__(self, levels: Levels, name: str):
         self.n, self.width, bits = (int(x) for x in levels[f"{name}.shape"])
@@ -80,10 +86,11 @@ class EliasFano:
         place, end = self.first[bucket], self.first[bucket + 1]
         low = wanted & np.uint64((1 << self.width) - 1)
         live = np.flatnonzero(place < end)
-        while len(live):
-            smaller = self._low(place[live]) < low[live]
-            live = live[smaller]
-            place[live] += 1
+        while len(live):  # halves the bucket, which can be long below a context with many successors
+            middle = (place[live] + end[live]) >> 1
+            smaller = self._low(middle) < low[live]
+            place[live[smaller]] = middle[smaller] + 1
+            end[live[~smaller]] = middle[~smaller]
             live = live[place[live] < end[live]]
         return np.where(beyond, self.n, place)
 

@@ -204,11 +204,11 @@ def _pair_requests(hot: np.ndarray, bits: int):
     return ask
 
 
-def _long(five: np.ndarray) -> np.ndarray:
-    """Successors as 64-bit hashes whose dropped bits are 0."""
+def _short(five: np.ndarray) -> np.ndarray:
+    """The kept bits of successors' hashes as numbers."""
     width = PairTrie.BITS // 8
     out = np.zeros((len(five) // width, 8), np.uint8)
-    out[:, 8 - width:] = five.reshape(-1, width)
+    out[:, :width] = five.reshape(-1, width)
     return out.view("<u8").reshape(-1)
 
 
@@ -217,32 +217,35 @@ def _pair_answers(hot: np.ndarray, hot_counts: np.ndarray):
     hot, hot_counts = hot[order], hot_counts[order]
 
     def answer(table: pa.Table) -> pa.Table:
-        """Builds the trie of one range from its chunks' counts and answers their pairs."""
+        """Builds the trie of one range from its chunks' counts and asks it for each distinct context and pair of these once, in rising order."""
         chunks, asked = table.column("chunk").to_pylist(), [_unpacked(x) for x in table.column("asked").to_pylist()]
-        part = table.column("part")[0].as_py()
-        contexts = np.concatenate([np.repeat(x[0], x[1]) for x in asked])
-        successors = np.concatenate([_long(x[2]) for x in asked])
-        counts = np.concatenate([x[3] for x in asked]).astype(np.int64)
-        trie, partial = _trie(contexts, successors, counts, hot, hot_counts)
-        answers = []
+        part, bits = table.column("part")[0].as_py(), np.uint64(PairTrie.BITS)
+        contexts, place = np.unique(np.concatenate([x[0] for x in asked]), return_inverse=True)
+        keys = np.repeat(place.astype(np.uint64) << bits, np.concatenate([x[1] for x in asked])) | np.concatenate([_short(x[2]) for x in asked])
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.append(True, keys[1:] != keys[:-1])
+        pairs = np.empty(len(keys), np.int64)
+        pairs[order] = np.cumsum(new) - 1
+        starts = np.flatnonzero(new)
+        counts = np.add.reduceat(np.concatenate([x[3] for x in asked]).astype(np.int64)[order], starts)
+        number, successors = (keys[starts] >> bits).astype(np.int64), keys[starts] << np.uint64(64) - bits
+        trie, partial = _trie(contexts[number], successors, counts, hot, hot_counts)
+        known = trie.context(contexts)
+        weights, codes = trie.weights(known), trie.codes(known[number], successors)
+        answers, first, start = [], 0, 0
         for one in asked:
-            numbers = trie.context(one[0])
-            answers.append(_packed(trie.weights(numbers), trie.codes(np.repeat(numbers, one[1]), _long(one[2]))))
+            last, stop = first + len(one[0]), start + len(one[3])
+            answers.append(_packed(weights[place[first:last]], codes[pairs[start:stop]]))
+            first, start = last, stop
         return pa.table({"chunk": pa.array([*chunks, None], pa.string()), "part": pa.array([part] * (len(chunks) + 1), pa.int32()), "answer": pa.array([*answers, _packed(partial)], pa.binary())})
     return answer
 
 
 def _trie(contexts, successors, counts, hot, hot_counts) -> tuple[PairTrie, np.ndarray]:
-    """The trie of the pairs that training texts hold, and the distinct successors here of each frequent context."""
+    """The trie of those distinct pairs, in rising order, that training texts hold, and the distinct successors here of each frequent context."""
     learnt = counts > 0
     contexts, successors, counts = contexts[learnt], successors[learnt], counts[learnt]
-    order = np.lexsort((successors, contexts))
-    contexts, successors, counts = contexts[order], successors[order], counts[order]
-    new = np.ones(len(contexts), bool)
-    new[1:] = (contexts[1:] != contexts[:-1]) | (successors[1:] != successors[:-1])
-    starts = np.flatnonzero(new)
-    counts = np.add.reduceat(counts, starts) if len(starts) else counts
-    contexts, successors = contexts[starts], successors[starts]
     runs = _runs(contexts)
     own = contexts[runs[:-1]]
     distinct = np.diff(runs)
@@ -330,7 +333,7 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         best = sorted([*best, *zip(counts.tolist(), own.tolist())], reverse=True)[:HOT_SHARE]
     frequent = sorted((h, n) for n, h in best if n * HOT_SHARE > total or h == int(START))
     hot, hot_counts = np.array([h for h, _ in frequent], np.uint64), np.array([n for _, n in frequent], np.int64)
-    bits = _range_bits(max(shuffle_partitions(spark), total // TOKENS_PER_TRIE))
+    bits = _range_bits(max(shuffle_partitions(spark), total // TOKENS_PER_TRIE, -(-size // BYTES_PER_RANGE)))
     asked = rows.mapInArrow(_pair_requests(hot, bits), "chunk string, part int, asked binary")
     pairs = checkpointed(asked.groupBy("part").applyInArrow(_pair_answers(hot, hot_counts), _ANSWER))
     followers = np.zeros(len(hot), np.int64)

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from crossmap.llm import lm, queries
@@ -99,6 +100,29 @@ def test_elias_fano(n, top):
     assert (sequence.successor(wanted) == np.searchsorted(values, wanted)).all()
 
 
+def test_a_long_bucket_is_halved(monkeypatch):
+    values = np.sort(np.random.default_rng(5).integers(0, 2**30, 5000).astype(np.uint64))
+    far = np.array([2**50 - 1], np.uint64)
+    sequence = EliasFano(Levels(EliasFano.arrays("x", np.concatenate((values, far)))), "x")
+    steps = []
+    monkeypatch.setattr(EliasFano, "_low", lambda self, at, read=EliasFano._low: steps.append(len(at)) or read(self, at))
+    assert (sequence.successor(values) == np.searchsorted(values, values)).all()
+    assert len(steps) <= 14
+
+
+def test_the_trie_is_asked_for_a_pair_once(monkeypatch):
+    asked, codes = [], PairTrie.codes
+    monkeypatch.setattr(PairTrie, "codes", lambda self, contexts, successors: asked.append(len(contexts)) or codes(self, contexts, successors))
+    contexts, successors = np.array([3, 9], np.uint64) << np.uint64(50), np.array([5, 6, 7], np.uint64) << np.uint64(40)
+    five = (successors >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5].reshape(-1)
+    one = lm._packed(contexts, np.array([1, 2], np.uint8), five, np.array([2, 0, 3], np.uint8))
+    table = pa.table({"chunk": ["a", "b"], "part": pa.array([0, 0], pa.int32()), "asked": [one, one]})
+    found = lm._pair_answers(np.zeros(0, np.uint64), np.zeros(0, np.int64))(table).column("answer").to_pylist()
+    assert sum(asked) == 3 and found[0] == found[1]
+    weights, got = lm._unpacked(found[0])
+    assert restored(got) == pytest.approx([3.25 / 4, 0, 5.25 / 6], rel=1e-3) and restored(weights) == pytest.approx([0.75 / 4, 0.75 / 6], rel=1e-3)
+
+
 def test_trie_answers():
     source = np.random.default_rng(4)
     contexts = np.unique(source.integers(0, 2**63, 50).astype(np.uint64))
