@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -11,7 +12,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -64,6 +65,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """Rows computed once and kept in the shared folder, and how many they are, counted as they are written."""
+    seen = Observation()
+    kept = checkpointed(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return kept, seen.get["n"]
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps.
+
+    It does so once the driver has collected what refers to them, which a driver with free memory puts off.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

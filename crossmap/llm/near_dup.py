@@ -37,10 +37,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from crossmap.llm.common import Words, checkpointed, column, free_name, slices, with_fields
+from crossmap.llm.common import Words, checkpointed, column, counted, free_name, release, slices, with_fields
 
 SHINGLE, THRESHOLD = 5, (80, 100)
 REGISTERS, BAND = 128, 4
@@ -216,9 +216,9 @@ def _possible(pairs: DataFrame, classes: DataFrame, threshold: tuple[int, int],
 
 def _sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """(node, members): the full sets of some classes, each from the texts of its smallest identifier."""
-    wanted = checkpointed(classes.select("node", "n", "d1", "d2", "rep").join(nodes.toDF("node").distinct(), "node"))
-    ids = wanted.select("rep").distinct()
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+    wanted, number = counted(classes.select("node", "n", "d1", "d2", "rep").join(nodes.toDF("node").distinct(), "node"))
+    ids = wanted.select("rep")
+    if number <= BROADCAST_IDS:
         ids = F.broadcast(ids)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,15 +229,14 @@ def _sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int) -
             yield pa.RecordBatch.from_arrays([pa.array(counts, pa.int64()), pa.array(d1), pa.array(d2), sets], ["n", "d1", "d2", "members"])
 
     found = docs.join(ids, docs["doc_id"].eqNullSafe(ids["rep"]), "left_semi").select("text")
-    sets = found.mapInArrow(collect, "n bigint, d1 bigint, d2 bigint, members binary")
-    return sets.join(wanted.select("node", "n", "d1", "d2"), ["n", "d1", "d2"]).dropDuplicates(["node"]).select("node", "members")
+    sets = found.mapInArrow(collect, "n bigint, d1 bigint, d2 bigint, members binary").dropDuplicates(["n", "d1", "d2"])
+    return sets.join(wanted.select("node", "n", "d1", "d2"), ["n", "d1", "d2"]).select("node", "members")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) of classes whose full sets reach the threshold."""
+def _verified(pairs: DataFrame, number: int, classes: DataFrame, docs: DataFrame, shingle: int, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of classes whose full sets reach the threshold; pairs are kept and so many."""
     num, den = threshold
-    pairs = checkpointed(pairs.select("a", "b"))
-    if pairs.isEmpty():
+    if not number:
         return pairs
     sets = checkpointed(_sets(pairs.select("a").union(pairs.select("b")), classes, docs, shingle))
     copies = pairs.groupBy("a").agg((F.floor(F.count("*") / PER_COPY) + 1).alias("copies"))
@@ -263,22 +262,23 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: in
 def components(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """(node, label): the smallest node that each linked node can reach; links as (a, b), may go on from earlier labels.
 
-    Labels pass along links and then jump to the label of their label, until nothing changes.
+    Labels pass along links and then jump to the label of their label, until
+    nothing changes. Each node is linked with itself, so its own label comes
+    with those of its neighbours.
     """
     if before is not None:
-        if links.isEmpty():
-            return before
         links = links.union(before.select("node", "label").toDF("a", "b"))
-    both = checkpointed(links.union(links.select("b", "a").toDF("a", "b")).filter("a <> b").distinct())
-    labels = checkpointed(both.groupBy("a").agg(F.min("b").alias("label")).select(F.col("a").alias("node"), F.least("a", "label").alias("label")))
+    ends = F.array(*(F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x in "ab" for y in "ab"))
+    both = checkpointed(links.filter("a <> b").select(F.explode(ends).alias("end")).select("end.*").distinct())
+    labels = checkpointed(both.groupBy("a").agg(F.min("b").alias("label")).toDF("node", "label"))
     while True:
-        passed = both.join(labels.toDF("b", "passed"), "b").groupBy("a").agg(F.min("passed").alias("passed"))
-        near = labels.join(passed.withColumnRenamed("a", "node"), "node").select("node", F.least("label", "passed").alias("near"), F.col("label").alias("old"))
-        jump = labels.toDF("near", "far")
-        moved = near.join(jump, "near", "left").select("node", F.coalesce(F.least("near", "far"), "near").alias("label"), "old")
-        moved = checkpointed(moved)
+        own = F.max(F.when(F.col("a") == F.col("b"), F.col("passed"))).alias("old")
+        near = both.join(labels.toDF("b", "passed").hint("merge"), "b").groupBy("a").agg(F.min("passed").alias("near"), own)
+        moved = near.join(labels.toDF("near", "label").hint("merge"), "near").select(F.col("a").alias("node"), "label", "old")
+        seen = Observation()
+        moved = checkpointed(moved.observe(seen, F.count_if(F.col("label") != F.col("old")).alias("changed")))
         labels = moved.select("node", "label")
-        if not moved.filter("label <> old").limit(1).count():
+        if not seen.get["changed"]:
             return labels
 
 
@@ -318,15 +318,15 @@ def _linked_in_clusters(state: DataFrame, classes: DataFrame, docs: DataFrame, s
     and a component.
     """
     num, den = threshold
-    state = checkpointed(state)
-    if state.isEmpty():
+    state, number = counted(state)
+    if not number:
         return state.select(F.col("node").alias("a"), F.col("node").alias("b"))
     clusters = components(state.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
     rows = state.select("node", "n", F.col("label").alias("component")).distinct().join(clusters.toDF("node", "cluster"), "node")
     rows = _majority(rows.withColumnRenamed("component", "label"), "cluster").withColumn("outside", F.col("label") != F.col("main"))
     sizes = rows.groupBy("cluster").agg((1 + F.floor(F.sum("n") / CELL)).alias("blocks"), (1 + F.floor(F.sum(F.when(F.col("outside"), F.col("n"))) / CELL)).alias("parts"))
-    rows = checkpointed(rows.join(sizes, "cluster").select("cluster", "node", "label", "outside", "blocks", "parts"))
-    if rows.isEmpty():
+    rows, number = counted(rows.join(sizes, "cluster").select("cluster", "node", "label", "outside", "blocks", "parts"))
+    if not number:
         return rows.select(F.col("node").alias("a"), F.col("node").alias("b"))
     number = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
@@ -377,17 +377,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bands = _banded(classes, band)
     buckets = bands.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("size")).filter("size > 1")
     members = checkpointed(bands.join(buckets, "key"))
+    release(df.sparkSession)
 
     stars = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     likely = _possible(stars, classes, threshold, registers)
-    best = checkpointed(likely.groupBy("b").agg(F.max_by("a", "guess").alias("a")).select("a", "b"))
-    labels = components(_verified(best, classes, docs, shingle, threshold))
+    best, number = counted(likely.groupBy("b").agg(F.max_by("a", "guess").alias("a")).select("a", "b"))
+    labels = components(_verified(best, number, classes, docs, shingle, threshold))
+    release(df.sparkSession)
 
     state = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    few = _crossing(state.filter(F.col("size") <= SMALL), best, classes, threshold, registers)
-    few = _verified(few, classes, docs, shingle, threshold)
+    few, number = counted(_crossing(state.filter(F.col("size") <= SMALL), best, classes, threshold, registers).select("a", "b"))
+    few = _verified(few, number, classes, docs, shingle, threshold)
+    release(df.sparkSession)
     many = _linked_in_clusters(state.filter(F.col("size") > SMALL), classes, docs, shingle, threshold)
     labels = components(few.union(many), labels)
+    release(df.sparkSession)
 
     named = classes.select("node", "n", "d1", "d2", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))

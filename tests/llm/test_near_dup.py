@@ -1,11 +1,13 @@
 import random
+import time
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from crossmap.llm import near_dup, queries
+from crossmap.llm import common, near_dup, queries
 from tests.llm import data
 
 
@@ -150,6 +152,34 @@ def test_components_of_links(spark):
     assert labels == {x: root(x) for x in linked}
 
 
+def test_rounds_of_components_take_few_stages(spark):
+    """Each stage leaves files for all of its tasks, so few rows in many partitions take disk by their stages."""
+    links = common.checkpointed(spark.createDataFrame([(i, i + 1) for i in range(8)], "a bigint, b bigint"))
+    tracker, group = spark.sparkContext.statusTracker(), "rounds of components"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        assert {r.label for r in near_dup.components(links).collect()} == {0}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    known = {stage for job in tracker.getJobIdsForGroup(group) for stage in tracker.getJobInfo(job).stageIds}
+    ran = [stage for stage in known if tracker.getStageInfo(stage).numCompletedTasks]
+    assert 0 < len(ran) <= 33
+
+
+def test_finished_steps_leave_no_shuffle_files(spark):
+    def files():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    before = files()
+    spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().collect()
+    assert files() > before
+    common.release(spark)
+    end = time.time() + 60
+    while files() > before and time.time() < end:
+        time.sleep(0.2)
+    assert files() <= before
+
+
 def test_shingles_do_not_cross_texts():
     values, counts = near_dup.shingle_sets(pa.array(["a b c d", "a b", None, "A  B", "b c d a", "c"]), 3)
     ends = np.cumsum(counts)
