@@ -34,10 +34,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Observation
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from crossmap.llm.common import Words, checkpointed, column, counted, free_name, release, slices, with_fields
@@ -46,8 +48,10 @@ SHINGLE, THRESHOLD = 5, (80, 100)
 REGISTERS, BAND = 128, 4
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 1
 ERRORS = 6
-#: Identifiers of documents to look up that may be broadcast; beyond it both sides are shuffled.
-BROADCAST_IDS = 1_000_000
+#: Identifiers of documents to look up that may be broadcast; beyond it a bitmap of their hashes goes to the tasks.
+BROADCAST_IDS = 100_000
+#: Bits of that bitmap, and of the slots of it that tasks fill.
+BITMAP_BITS, SLOT_BITS = 26, 20
 #: Members up to which a bucket is compared pair by pair; larger ones are compared in cells of so many shingles a side.
 SMALL, CELL = 32, 1 << 18
 #: Pairs with one leader that share a copy of its set.
@@ -214,21 +218,52 @@ def _possible(pairs: DataFrame, classes: DataFrame, threshold: tuple[int, int],
     return pairs.join(side("b"), "b").join(side("a"), "a").filter(near).mapInArrow(estimate, "a bigint, b bigint, guess double")
 
 
+def _place(identifier: Column) -> Column:
+    """The bit of an identifier, a null one included."""
+    return F.shiftrightunsigned(F.xxhash64(identifier), 64 - BITMAP_BITS)
+
+
+def bitmap(ids: DataFrame) -> Broadcast:
+    """Which hashes the identifiers of a column have: of a fixed size, however many they are. Each task fills a slot."""
+    (name,) = ids.columns
+
+    def mark(cell: pa.Table) -> pa.Table:
+        bits = np.zeros(1 << SLOT_BITS, bool)
+        bits[cell.column("place").to_numpy() & ((1 << SLOT_BITS) - 1)] = True
+        return pa.table({"slot": cell.column("slot").slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+    places = ids.select(_place(column(ids, name)).alias("place")).distinct().withColumn("slot", F.shiftright("place", SLOT_BITS))
+    bits = np.zeros((1 << (BITMAP_BITS - SLOT_BITS), 1 << (SLOT_BITS - 3)), np.uint8)
+    for slot, own in places.groupBy("slot").applyInArrow(mark, "slot bigint, bits binary").collect():
+        bits[slot] = np.frombuffer(own, np.uint8)
+    return ids.sparkSession.sparkContext.broadcast(bits.reshape(-1))
+
+
+def marked(places: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which places have their bit set: all of the identifiers, and few others."""
+    return (bits[places >> 3] >> (7 - (places & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def _sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """(node, members): the full sets of some classes, each from the texts of its smallest identifier."""
     wanted, number = counted(classes.select("node", "n", "d1", "d2", "rep").join(nodes.toDF("node").distinct(), "node"))
-    ids = wanted.select("rep")
+    ids, shared = wanted.select("rep"), None
     if number <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+        found = docs.join(F.broadcast(ids), docs["doc_id"].eqNullSafe(ids["rep"]), "left_semi").select("text")
+    else:  # A document of another identifier that has the same bit gives a set that is not asked for.
+        shared = bitmap(ids)
+        found = docs.select(_place(docs["doc_id"]).alias("place"), "text")
+
+    def asked(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch if shared is None else batch.filter(pa.array(marked(batch.column("place").to_numpy(), shared.value)))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(map(asked, batches), "text"):
             values, counts = shingle_sets(part.column("text"), shingle)
             d1, d2 = _digests(values, counts)
             sets = pa.array([x.tobytes() for x in np.split(values, np.cumsum(counts)[:-1])], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(counts, pa.int64()), pa.array(d1), pa.array(d2), sets], ["n", "d1", "d2", "members"])
 
-    found = docs.join(ids, docs["doc_id"].eqNullSafe(ids["rep"]), "left_semi").select("text")
     sets = found.mapInArrow(collect, "n bigint, d1 bigint, d2 bigint, members binary").dropDuplicates(["n", "d1", "d2"])
     return sets.join(wanted.select("node", "n", "d1", "d2"), ["n", "d1", "d2"]).select("node", "members")
 
@@ -412,11 +447,18 @@ def distinct_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if total == unique:
         dropped = found.filter("not kept").select(F.col("doc_id").alias(free_name(df.columns, "dropped")))
         if dropped.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-            dropped = F.broadcast(dropped)
-        return df.join(dropped, column(df, id_col) == dropped[dropped.columns[0]], "left_anti")
+            return _without(df, id_col, F.broadcast(dropped))
+        # Only rows with the bit of a dropped one are shuffled.
+        shared = bitmap(dropped)
+        among = F.pandas_udf(lambda places: pd.Series(marked(places.to_numpy(), shared.value)), "boolean")(_place(column(df, id_col)))
+        return df.filter(~among).union(_without(df.filter(among), id_col, dropped))
     return _distinct_rows(df, found, id_col, text_col, shingle)
 
 
+def _without(df: DataFrame, id_col: str, dropped: DataFrame) -> DataFrame:
+    return df.join(dropped, column(df, id_col) == dropped[dropped.columns[0]], "left_anti")
+
+
 def _distinct_rows(df: DataFrame, found: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """The same where identifiers repeat: rows are numbered, fingerprinted and the first of each kept set stays."""
     names = [f"c{i}" for i in range(len(df.columns))]
