@@ -75,6 +75,13 @@ def shifted(base: float, delta: Column, bounds: tuple[float, float]) -> Column:
     return exact_round(F.greatest(F.lit(low), F.least(F.lit(high), F.lit(base) + delta)), 3)
 
 
+def shorter_score(score: Column, digits: int, known: int) -> Column:
+    """What `round` gives for a score within [0, 1] that has `known` decimals at most, 12 or fewer, by whole numbers alone."""
+    step = 10 ** (known - digits)
+    whole = F.rint(score * float(10**known)).cast("bigint") + step // 2
+    return F.floor(whole / F.lit(step)) / float(10**digits)
+
+
 def exact_round(value: Column, digits: int) -> Column:
     """Value rounded on its exact binary amount, which can differ from `round` at a five."""
     return F.regexp_replace(F.format_number(value, digits), ",", "").cast("double")

@@ -17,6 +17,8 @@ FREQUENT_CELLS = 4096
 TERMS_AT_ONCE = 4096
 NUMBERS_AT_ONCE = 1 << 20
 MANY_TIES = 64
+#: Groups of the columns of a tile, of which the greatest scores bound the best of a row.
+GROUPS = 64
 #: Rows of a shard that are scored at once, and how often a word is in them at least to be kept as a dense column too.
 INDEXED_AT_ONCE, DENSE_FROM = 1024, 32
 #: Cells that a word touches in such a part and a slice of rows, from which it is multiplied as a dense column.
@@ -24,6 +26,8 @@ INDEXED_CELLS = 2048
 #: Sums of products of whole numbers below it are exact in single precision.
 EXACT_SINGLE = 1 << 24
 KINDS = [np.dtype(x) for x in ("<u1", "<u2", "<u4", "<u8")]
+#: The rows of strip_job.
+STRIP = pa.schema([(name, pa.string()) for name in ("framework_A", "framework_B")] + [(name, pa.int64()) for name in ("first_A", "first_B", "low_A", "high_A", "low_B", "high_B")] + [(name, pa.float64()) for name in ("low", "high")])
 #: Cells that a task keeps before it gives them away.
 HELD_CELLS = 1 << 21
 
@@ -41,10 +45,12 @@ def dense_tile(cell):
 
 
 def dense_scores(tile_a, tile_b):
-    """Yields (first row, cosine rows) of two dense tiles."""
+    """Yields (first row, cosine rows) of two dense tiles; the next rows take the place of these."""
     unit_a, unit_b = tile_a[1], tile_b[1]
+    room = np.empty((min(ROWS_AT_ONCE, len(unit_a)), len(unit_b)))
     for start in range(0, len(unit_a), ROWS_AT_ONCE):
-        yield start, unit_a[start : start + ROWS_AT_ONCE] @ unit_b.T
+        part = unit_a[start : start + ROWS_AT_ONCE]
+        yield start, np.matmul(part, unit_b.T, out=room[: len(part)])
 
 
 def first_best(scores, threshold, k):
@@ -62,8 +68,8 @@ def first_best(scores, threshold, k):
     return rows, columns, scores[rows, columns]
 
 
-def dense_best(tile_a, tile_b, threshold, k, digits):
-    """Yields (rows, columns, scores) that hold the k best cells of every row.
+def dense_best(tile_a, tile_b, floors, k, digits):
+    """Yields (rows, columns, scores) that hold the k best cells of every row among those from its floor up.
 
     A first pass in single precision leaves out what cannot be among the best:
     for unit vectors its error is at most (dimension + 4) roundings, to which
@@ -73,31 +79,40 @@ def dense_best(tile_a, tile_b, threshold, k, digits):
     _, unit_a, short_a = tile_a
     _, unit_b, short_b = tile_b
     slack = 3 * (unit_a.shape[1] + 4) * 2.0**-24 + 10.0**-digits
-    floor = threshold - slack
+    floors = np.broadcast_to(np.asarray(floors, np.float64), len(unit_a))
+    room = np.empty((min(ROWS_AT_ONCE, len(unit_a)), len(unit_b)), np.float32)
+    wanted = np.empty(room.shape, bool)
     for start in range(0, len(unit_a), ROWS_AT_ONCE):
-        rough = short_a[start : start + ROWS_AT_ONCE] @ short_b.T
-        keep = rough >= floor
+        part = short_a[start : start + ROWS_AT_ONCE]
+        rough = np.matmul(part, short_b.T, out=room[: len(part)])
+        floor = (floors[start : start + ROWS_AT_ONCE] - slack).astype(np.float32)[:, None]
+        width = rough.shape[1] // max(GROUPS, 8 * k)
+        if width > 1:  # The k-th of the greatest scores of groups of columns is at most the k-th score.
+            tops = np.fmax.reduce(rough[:, : width * max(GROUPS, 8 * k)].reshape(len(rough), width, -1), axis=1)
+            tops = np.partition(np.nan_to_num(tops, nan=-np.inf), tops.shape[1] - k, axis=1)[:, tops.shape[1] - k, None]
+            floor = np.fmax(floor, tops - np.float32(slack))
+        keep = np.greater_equal(rough, floor, out=wanted[: len(part)])
         counts = np.count_nonzero(keep, axis=1)
-        crowded = np.flatnonzero(counts > k)
+        crowded = np.flatnonzero(counts > (k + MANY_TIES if width > 1 else k))
         if len(crowded):
             part = rough[crowded]
             last = part.shape[1] - k
             level = np.partition(part, last, axis=1)[:, last] - slack
-            keep[crowded] = part >= np.maximum(level, floor)[:, None]
+            keep[crowded] = part >= np.maximum(level[:, None], floor[crowded])
             counts[crowded] = np.count_nonzero(keep[crowded], axis=1)
         tied = np.flatnonzero(counts > k + MANY_TIES)
         if len(tied):
             exact = np.round(unit_a[start + tied] @ unit_b.T, digits)
-            rows, columns, kept = first_best(exact, threshold, k)
+            rows, columns, kept = first_best(exact, floors[start + tied, None], k)
             yield start + tied[rows], columns, kept
             keep[tied] = False
-        rows, columns = np.nonzero(keep)
+        rows, columns = np.divmod(np.flatnonzero(keep), max(len(unit_b), 1))
         rows += start
         step = max(NUMBERS_AT_ONCE // max(unit_a.shape[1], 1), 1)
         for low in range(0, len(rows), step):
             r, c = rows[low : low + step], columns[low : low + step]
             kept = np.round(np.einsum("ij,ij->i", unit_a[r], unit_b[c]), digits)
-            strong = kept >= threshold
+            strong = kept >= floors[r]
             yield r[strong], c[strong], kept[strong]
 
 
@@ -184,9 +199,9 @@ def term_scores(tile_a, tile_b):
     return np.divide(dots, lengths, out=np.zeros_like(dots), where=lengths > 0)
 
 
-def term_best(tile_a, tile_b, threshold, k, digits):
-    """Yields (rows, columns, scores) of the k best cells of every row."""
-    yield first_best(np.round(term_scores(tile_a, tile_b), digits), threshold, k)
+def term_best(tile_a, tile_b, floors, k, digits):
+    """Yields (rows, columns, scores) of the k best cells of every row among those from its floor up."""
+    yield first_best(np.round(term_scores(tile_a, tile_b), digits), floors[:, None], k)
 
 
 def packed_rows(owner, n, terms, counts):
@@ -378,18 +393,28 @@ def merged_best(first, second, k):
     return tuple(x[place < k] for x in (rows, pos, kept))
 
 
-def cell_job(pairs, read, cells, k=None):
+def raised(best, floors, k):
+    """The floors of all rows, raised to the k-th score of rows that have k cells; no lower cell can be among the k best."""
+    rows, _, kept = best
+    last = np.flatnonzero(rows[k - 1 :] == rows[: max(len(rows) - k + 1, 0)]) + k - 1
+    out = floors.copy()
+    out[rows[last]] = np.maximum(out[rows[last]], kept[last])
+    return out
+
+
+def cell_job(pairs, read, cells, k=None, threshold=0.0):
     """Arrow task that gives the wanted cells of every pair of tiles.
 
-    With k, the k best of each row are kept while the task stays with a group of
-    tiles of A, and leave the task once; beyond HELD_CELLS they leave earlier.
+    With k, the k best of each row from the threshold up are kept while the task stays with a group of
+    tiles of A, and leave the task once; beyond HELD_CELLS they leave earlier. What a row has kept is
+    the floor of its cells in the next tile.
     """
 
     def run(batches):
         held, group, size = {}, None, 0
 
         def flush():
-            for name_a, name_b, tile_a, (rows, pos, kept) in held.values():
+            for name_a, name_b, tile_a, (rows, pos, kept), _ in held.values():
                 yield _cells_batch(name_a, name_b, tile_a[0][rows], pos, kept)
             held.clear()
 
@@ -397,15 +422,20 @@ def cell_job(pairs, read, cells, k=None):
             if own != group or size > HELD_CELLS:
                 yield from flush()
                 group, size = own, 0
-            for rows, columns, kept in cells(tile_a, tile_b):
-                if k is None:
+            if k is None:
+                for rows, columns, kept in cells(tile_a, tile_b):
                     yield _cells_batch(name_a, name_b, tile_a[0][rows], tile_b[0][columns], kept)
-                else:
-                    key, found = (id(tile_a), name_b), (rows, tile_b[0][columns], kept)
-                    before = held[key][3] if key in held else None
-                    merged = found if before is None else merged_best(before, found, k)
-                    size += len(merged[0]) - (0 if before is None else len(before[0]))
-                    held[key] = (name_a, name_b, tile_a, merged)
+                continue
+            key, before = (id(tile_a), name_b), (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+            floors = np.full(len(tile_a[0]), float(threshold))
+            if key in held:
+                before, floors = held[key][3:]
+            found = list(cells(tile_a, tile_b, floors))
+            rows, columns, kept = (np.concatenate(x) for x in zip(*found)) if found else before
+            if len(rows) and found:
+                merged = merged_best(before, (rows, tile_b[0][columns], kept), k)
+                size += len(merged[0]) - len(before[0])
+                held[key] = (name_a, name_b, tile_a, merged, raised(merged, floors, k))
         yield from flush()
 
     return run
@@ -432,6 +462,25 @@ def grid_job(pairs, digits):
     return run
 
 
+def strip_job(pairs, digits):
+    """Arrow task that goes through the same grids and gives the range of positions and of scores of each."""
+
+    def run(batches):
+        for _, name_a, name_b, tile_a, tile_b in pairs(batches, dense_tile):
+            for start, scores in dense_scores(tile_a, tile_b):
+                pos_a, pos_b = tile_a[0][start : start + len(scores)], tile_b[0]
+                # Rounding keeps the order; the least score is that of the cells that are numbers, if there are any.
+                high = scores.max()
+                low = scores.min() if high == high else np.fmin.reduce(scores, axis=None)
+                low, high = np.round(np.array([low, high]), digits).tolist()
+                yield pa.RecordBatch.from_pylist([{
+                    "framework_A": name_a, "framework_B": name_b, "first_A": pos_a[0], "first_B": pos_b[0],
+                    "low_A": pos_a.min(), "high_A": pos_a.max(), "low_B": pos_b.min(), "high_B": pos_b.max(), "low": low, "high": high,
+                }], STRIP)
+
+    return run
+
+
 def summary_job(pairs, digits):
     """Arrow task that gives count, sum and extremes of every pair of tiles."""
 

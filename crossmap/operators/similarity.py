@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from crossmap.functions import text, tiles
 from crossmap.operators import pivots as V
 from crossmap.operators.sizes import TASKS_PER_CORE, broadcast_if_small, busy_partitions
-from crossmap.sources.schemas import CELL, GRID, GRID_SUMMARY
+from crossmap.sources.schemas import CELL, GRID, GRID_STRIP, GRID_SUMMARY
 
 cloudpickle.register_pickle_by_value(tiles)
 
@@ -232,14 +232,14 @@ def cosine_cells(
     rows: int = DENSE_ROWS, digits: int = DIGITS, sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Cells from the threshold up that hold the k best of each row, for (framework, pos, embedding)."""
-    best = partial(tiles.dense_best, threshold=threshold, k=k, digits=digits)
+    best = partial(tiles.dense_best, k=k, digits=digits)
     layout, dimension = _dense_layout(vectors, rows, sizes)
     most = layout.counts.agg(F.max("blocks")).first()[0] or 0
     if most >= PRUNED_FROM and threshold > 0:
         paired = _near_pairs(vectors, pairs, _least(threshold, digits), layout, dimension)
     else:
         paired = paired_tiles(vectors, pairs, "embedding", layout)
-    return paired.rows.mapInArrow(tiles.cell_job(paired.read, tiles.dense_tile, best, k), CELL)
+    return paired.rows.mapInArrow(tiles.cell_job(paired.read, tiles.dense_tile, best, k, threshold), CELL)
 
 
 def term_cells(
@@ -249,8 +249,8 @@ def term_cells(
     """The same for term counts, (framework, pos, terms, weight)."""
     sizes = framework_sizes(vectors) if sizes is None else sizes
     paired = paired_tiles(vectors, pairs, "terms", _layout(sizes, rows, BYTES_PER_LETTER))
-    best = partial(tiles.term_best, threshold=threshold, k=k, digits=digits)
-    return paired.rows.mapInArrow(tiles.cell_job(paired.read, tiles.term_tile, best, k), CELL)
+    best = partial(tiles.term_best, k=k, digits=digits)
+    return paired.rows.mapInArrow(tiles.cell_job(paired.read, tiles.term_tile, best, k, threshold), CELL)
 
 
 def display_cells(vectors: DataFrame, pairs: DataFrame, names: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -270,6 +270,15 @@ def similarity_matrix(
     return paired.rows.mapInArrow(tiles.grid_job(paired.read, digits), GRID)
 
 
+def matrix_strips(
+    vectors: DataFrame, pairs: DataFrame, rows: int = DENSE_ROWS, digits: int = DIGITS,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """The range of positions and of scores of every grid of the whole matrices; the cells stay in the task that scores them."""
+    paired = _dense_pairs(vectors, pairs, rows, sizes)
+    return paired.rows.mapInArrow(tiles.strip_job(paired.read, digits), GRID_STRIP)
+
+
 def grids_of_tiles(work: DataFrame, blocks: DataFrame, digits: int = DIGITS) -> DataFrame:
     """The grids of listed pairs of tiles (framework_A, block_A, framework_B, block_B), whose tiles are at hand."""
     size = F.size("rows").cast("bigint") * F.size(F.get("rows.payload", F.lit(0))) * BYTES_PER_NUMBER

@@ -96,8 +96,7 @@ def update_matrices(vectors: DataFrame, folder: str, threshold: float = SEMANTIC
     used = broadcast_if_small(pairs.select(F.col("framework_A").alias("framework")).union(pairs.select("framework_B")).distinct())
     kept = blocks.join(used, "framework", "left_semi").select("framework", _name(F.col("block"), written).alias("block"), "rows", written.alias("written"))
     _write(kept, f"{folder}/{TILES}", ["framework", "block"])
-    grids = similarity.similarity_matrix(vectors, pairs, rows, digits, sizes)
-    strips = grids.select(*PAIR, F.get("pos_A", F.lit(0)).alias("first_A"), F.get("pos_B", F.lit(0)).alias("first_B"), *_ends())
+    strips = similarity.matrix_strips(vectors, pairs, rows, digits, sizes)
     for letter in "AB":
         strips = _placed(strips, layout.counts, letter, written)
     _write(cut(strips.withColumn("written", written)), f"{folder}/{GRIDS}", [*PAIR, "low_A", "low_B"])

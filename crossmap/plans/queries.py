@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crossmap.functions import relations as R
 from crossmap.functions import text
 from crossmap.operators import candidates as C
 from crossmap.operators import cleanup as K
@@ -611,4 +612,4 @@ def stored_matrix_floor(spark, sf):
 def stored_matrix_cells(spark, sf):
     """The whole matrix of one framework pair, cell by cell, from the store."""
     grids = matrices.stored_grids(spark, _with_matrices(spark, sf), B.VECTOR_THRESHOLD, B.K, pair=("2", "7"))
-    return similarity.matrix_cells(grids).withColumn("score", F.round("score", 6))
+    return similarity.matrix_cells(grids).withColumn("score", R.shorter_score(F.col("score"), 6, similarity.DIGITS))

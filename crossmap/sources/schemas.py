@@ -13,6 +13,10 @@ GRID = (
     "framework_A STRING, framework_B STRING, pos_A ARRAY<BIGINT>, pos_B ARRAY<BIGINT>, "
     "scores ARRAY<DOUBLE>"
 )
+GRID_STRIP = (
+    "framework_A STRING, framework_B STRING, first_A BIGINT, first_B BIGINT, "
+    "low_A BIGINT, high_A BIGINT, low_B BIGINT, high_B BIGINT, low DOUBLE, high DOUBLE"
+)
 GRID_SUMMARY = (
     "framework_A STRING, framework_B STRING, cells BIGINT, total DOUBLE, low DOUBLE, high DOUBLE"
 )

@@ -1,11 +1,14 @@
 """Stored matrices: reuse, versions, and what a reader skips."""
 
 from pathlib import Path
+from tempfile import mkdtemp
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from crossmap.functions import relations as R
+from crossmap.operators import pairs as P
 from crossmap.operators import similarity
 from crossmap.plans import bindings as B
 from crossmap.plans import matrices, stored
@@ -101,3 +104,24 @@ def test_a_store_grows_with_the_vectors_and_not_with_the_cells(spark, tmp_path):
     assert one.filter("high < 0.5 OR low_A > 900").count() == 0
     same = similarity.matrix_cells(matrices.stored_grids(spark, folder, **SETTINGS, pair=("2", "7"))).withColumn("score", F.round("score", 6))
     assert rows(same) == rows(similarity.matrix_cells(plain).withColumn("score", F.round("score", 6)))
+
+
+def test_strips_are_made_without_their_cells_leaving_the_task(spark, monkeypatch):
+    """The ranges of grids come from the tasks that score them, as the grids themselves would give them."""
+    vectors = spark.range(120).select(
+        (F.col("id") % 3).cast("string").alias("framework"), F.col("id").alias("pos"),
+        F.array(*(F.when(F.col("id") == 5, F.lit(float("nan"))).when(F.col("id") == 8, 0.0).otherwise(F.sin(F.col("id") * (i + 1))) for i in range(8))).cast("array<float>").alias("embedding"))
+    pairs = P.framework_pairs(P.frameworks_of(vectors))
+    grids = similarity.similarity_matrix(vectors, pairs, rows=16)
+    ends = grids.select("framework_A", "framework_B", F.get("pos_A", F.lit(0)).alias("first_A"), F.get("pos_B", F.lit(0)).alias("first_B"), *matrices._ends())
+    strips = similarity.matrix_strips(vectors, pairs, rows=16)
+    assert rows(strips.withColumns({x: F.col(x).cast("string") for x in ("low", "high")})) == rows(ends.withColumns({x: F.col(x).cast("string") for x in ("low", "high")}))
+    monkeypatch.setattr(similarity, "similarity_matrix", None)
+    folder = mkdtemp(prefix="run-")
+    assert made(spark, folder)[1] == 6
+
+
+def test_a_score_is_cut_as_round_does(spark):
+    values = [0.0, 1.0, 0.5, 0.1234565, 0.123456499999, 0.1234575, 0.000000499999, 0.0000005, 0.999999500001, None] + [round(i / 999983, 12) for i in range(0, 999983, 97)]
+    scores = spark.createDataFrame([(x,) for x in values], "score double")
+    assert scores.filter(~R.shorter_score(F.col("score"), 6, 12).eqNullSafe(F.round("score", 6))).count() == 0

@@ -191,3 +191,28 @@ def test_cells_are_merged_inside_a_task(spark):
     wanted = {(i, int(j)) for i in range(64) for j in np.argsort(-scores[i])[:3]}
     assert wanted <= {(c["pos_A"], c["pos_B"]) for c in cells}
     assert len(cells) <= 64 * 3 * 4  # runs of tiles of B for a tile of A, not one set of cells for each of 8 tiles
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_what_a_row_has_kept_is_its_floor_in_the_next_tile(k, monkeypatch):
+    """Cells below the k-th best of the tiles before are not scored again, and ties go by position."""
+    monkeypatch.setattr(tiles, "GROUPS", 4)
+    source = np.random.default_rng(3)
+    raw = [np.round(source.normal(size=(40, 4))) for _ in range(4)]
+    units = [x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9) for x in raw]
+    made = [(np.arange(40) + 100 * i, u, u.astype(np.float32)) for i, u in enumerate(units)]
+    seen = []
+
+    def cells(a, b, floors):
+        for rows_, columns, kept in tiles.dense_best(a, b, floors, k, 9):
+            seen.append((floors.copy(), rows_, kept))
+            yield rows_, columns, kept
+
+    job = tiles.cell_job(lambda batches, read: (("g", "a", "b", made[0], b) for b in made[1:]), None, cells, k, 0.2)
+    found = sorted((r["pos_A"], r["pos_B"], r["semantic_score"]) for batch in job([]) for r in batch.to_pylist())
+    wanted = []
+    for i in range(40):
+        scored = sorted((-round(float(units[0][i] @ b[1][j]), 9), int(b[0][j])) for b in made[1:] for j in range(40))
+        wanted += [(i, pos, -s) for s, pos in scored if -s >= 0.2][:k]
+    assert [x[:2] for x in found] == [x[:2] for x in sorted(wanted)] and all(abs(x[2] - y[2]) < 1e-9 for x, y in zip(found, sorted(wanted)))
+    assert all((kept >= floors[rows_]).all() for floors, rows_, kept in seen) and max(f.max() for f, _, _ in seen) > 0.5
