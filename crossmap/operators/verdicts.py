@@ -45,6 +45,20 @@ def _with_texts(candidates: DataFrame, requirements: DataFrame) -> DataFrame:
     return plain
 
 
+def _sides(candidates: DataFrame, requirements: DataFrame) -> DataFrame:
+    """Both requirements of each candidate, a row each, with the text that its identifier stands for, without those that have none."""
+    texts = lookup_last(requirements).select("framework", "id", text.side_text(*map(F.col, ("framework", "tags", "title", "description"))).alias("text"))
+    sides = [F.struct(F.lit(x).alias("side"), F.col(f"framework_{x}").alias("framework"), F.col(f"id_{x}").alias("id")) for x in "AB"]
+    of = [*PAIR, "batch_no", F.struct("idx", "id_A", "id_B").alias("of")]
+    return join_lookup(candidates.select(*of, F.explode(F.array(*sides)).alias("_side")).select(*PAIR, "batch_no", "of", "_side.*"), texts, ["framework", "id"])
+
+
+def _also_in(own: str, other: str) -> Column:
+    """The sides of a batch whose pair has the other side too."""
+    known = F.transform(other, lambda x: x["of"])
+    return F.filter(own, lambda x: F.array_contains(known, x["of"]))
+
+
 def build_requests(
     candidates: DataFrame, requirements: DataFrame, size: int = R.BATCH_SIZE, instructions: str | None = None
 ) -> DataFrame:
@@ -52,12 +66,13 @@ def build_requests(
     if "batch_no" not in candidates.columns:
         candidates = assign_batches(candidates, size)
     head = request.instructions() if instructions is None else instructions
-    numbered = _with_texts(candidates, requirements).withColumn("_number", F.col("idx") + 1)
-    block = F.struct("idx", text.pair_block(F.col("_number")).alias("block"))
-    batches = numbered.groupBy(*PAIR, "batch_no").agg(
-        F.count("*").alias("n"), F.sort_array(F.collect_list(block)).alias("_blocks")
-    )
-    joined = F.array_join(F.transform("_blocks", lambda b: b["block"]), "\n\n")
+    # One text travels with a row, straight to its batch; a pair counts if both its sides are there.
+    lists = [F.sort_array(F.collect_list(F.when(F.col("side") == x, F.struct("of", "text")))).alias(f"_{x}") for x in "AB"]
+    found = _sides(candidates, requirements).groupBy(*PAIR, "batch_no").agg(*lists)
+    pairs = F.arrays_zip(_also_in("_A", "_B").alias("a"), _also_in("_B", "_A").alias("b"))
+    batches = found.select(*PAIR, "batch_no", pairs.alias("_pairs")).withColumn("n", F.size("_pairs").cast("bigint")).filter("n > 0")
+    blocks = F.transform("_pairs", lambda x: F.struct(x["a"]["of"]["idx"].alias("idx"), text.pair_of_sides(x["a"]["of"]["idx"] + 1, x["a"]["text"], x["b"]["text"]).alias("block")))
+    joined = F.array_join(F.transform(F.sort_array(blocks), lambda b: b["block"]), "\n\n")
     return batches.select(
         *PAIR, "batch_no", "n", request.request_text(joined, F.col("n"), head).alias("text")
     )

@@ -1,7 +1,10 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from crossmap.functions import text
+from crossmap.operators import candidates as C
 from crossmap.operators import verdicts as V
 
 GOOD = {"coverage_A_to_B": 0.5, "coverage_B_to_A": 0.6, "confidence": 0.7, "relation_type": "partial", "justification": "why"}
@@ -107,3 +110,30 @@ def test_pairs_without_thresholds_are_classified_with_the_basic_ones(spark):
     scored = spark.createDataFrame([("a", "b", 0.8, 0.1), ("a", "c", 0.8, 0.1)], "framework_A STRING, framework_B STRING, coverage_A_to_B DOUBLE, coverage_B_to_A DOUBLE")
     limits = spark.createDataFrame([("a", "b", 0.95, 0.85)], "framework_A STRING, framework_B STRING, thresh_eq DOUBLE, thresh_cov DOUBLE")
     assert {r["framework_B"]: r["relation_type"] for r in V.classify(scored, limits).collect()} == {"b": "partial", "c": "A_covers_B"}
+
+
+def test_texts_go_to_their_batch_once(spark):
+    """Each row that is shuffled holds one text; candidates without one of their texts are left out of their batch, null texts out of its blocks."""
+    requirements = spark.createDataFrame(
+        [(f, str(i), f"{f}{i}" if i != 4 else None, "text " * 400, ["tag"], i) for f in "ab" for i in range(9)],
+        "framework STRING, id STRING, title STRING, description STRING, tags ARRAY<STRING>, pos BIGINT",
+    )
+    listed = [("a", "b", str(i), str(8 - i), i // 5, i % 5) for i in range(9)] + [("a", "b", "x", "1", 0, 5), ("a", "b", "1", None, 0, 6), ("a", "b", "x", "y", 2, 0), ("a", "b", "2", "3", 0, 1)]
+    found = spark.createDataFrame(listed, "framework_A STRING, framework_B STRING, id_A STRING, id_B STRING, batch_no BIGINT, idx BIGINT")
+    made = V.build_requests(found, requirements)
+    got = {r["batch_no"]: r for r in made.collect()}
+    assert {b: r["n"] for b, r in got.items()} == {0: 6, 1: 4}
+    whole = V._with_texts(found, requirements).withColumn("_number", F.col("idx") + 1).select("batch_no", "idx", text.pair_block(F.col("_number")).alias("block")).collect()
+    for b, r in got.items():
+        blocks = [x["block"] for x in sorted((x for x in whole if x["batch_no"] == b and x["block"] is not None), key=lambda x: (x["idx"], x["block"]))]
+        assert "\n\n".join(blocks) in r["text"] and len(blocks) == r["text"].count("--- Paire")
+    assert "title_A" not in (plan := made._jdf.queryExecution().optimizedPlan().toString()) and plan.count("Join ") == 1
+
+
+def test_candidates_without_titles_are_the_same_rows(spark):
+    rows = spark.createDataFrame(
+        [(f, str(i % 7), f"title {f} {i % 3}", f"word{i % 4} word{i % 5} other", ["t"], i) for f in "abc" for i in range(20)],
+        "framework STRING, id STRING, title STRING, description STRING, tags ARRAY<STRING>, pos BIGINT",
+    )
+    named, plain = (C.candidates(rows, threshold=0.15, k=5, digits=4, titles=titles) for titles in (True, False))
+    assert "title_A" not in plain.columns and sorted(map(tuple, named.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
